@@ -156,7 +156,7 @@ def q_enrich_arrival_order(spark, sf_dir):
     out = enrich_stateful(raw, upd, arrival_col="event_id", enrichment_first_on_tie=False)
     table = scratch_path(spark, "arrival")
     _await(append_sink(table, scratch_path(spark, "arrival-ckpt"), trigger="available_now")(
-        to_enriched(out, grain="minute")))
+        to_enriched(out, grain=TABLE_GRAIN)))
     return read_snapshot(spark, table, require=True)
 
 
@@ -239,7 +239,7 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT epoch_us(ts) // 1000 AS event_time, CAST(user_id AS INTEGER) AS data,"
         " lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS enrichment,"
         " CAST(epoch_us(ts) // 1000 AS VARCHAR) || '|' || CAST(CAST(user_id AS INTEGER) AS VARCHAR)"
-        " AS key, strftime(make_timestamp((epoch_us(ts) // 1000) * 1000), '%Y%m%d-%H%M')"
+        " AS key, strftime(make_timestamp((epoch_us(ts) // 1000) * 1000), '%Y%m%d')"
         " AS partition FROM events"),
     "enrichment_watermark": ("SELECT epoch_us(ts) // 1000 AS timestamp, CAST(user_id AS INTEGER)"
                              " AS key, event_type AS enrichment FROM events"),

@@ -77,7 +77,7 @@ class ArrivalOrderEnricher(StatefulProcessor):
         pdf = pd.concat(list(rows), ignore_index=True)
         if pdf.empty:
             return
-        stored = self.latest.get() if self.latest.exists() else None
+        stored = self.latest.get()  # None when the group has no state yet
         is_enr = pdf["is_enrichment"].to_numpy(dtype=bool)
 
         if self.ordered:
