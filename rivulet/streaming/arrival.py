@@ -124,6 +124,12 @@ class ArrivalOrderEnricher(StatefulProcessor):
         pass
 
 
+def _salt(c):
+    # Non-nullable on both sides, whatever a side's plan is in a batch: the
+    # grouping key schema is checked against the state store on restart.
+    return F.coalesce(c.cast("int"), F.lit(0)).alias("salt")
+
+
 def _tagged_union(raw: DataFrame, enr: DataFrame, arrival_col: str | None,
                   salt_buckets: int) -> DataFrame:
     arrival_raw = F.col(arrival_col).cast("bigint") if arrival_col else F.lit(0).cast("bigint")
@@ -131,7 +137,7 @@ def _tagged_union(raw: DataFrame, enr: DataFrame, arrival_col: str | None,
     n = int(salt_buckets)
     raw_t = raw.select(
         F.col("data").cast("int").alias("gkey"),
-        F.pmod(F.xxhash64(F.col("event_time"), F.col("data"), arrival_raw), F.lit(n)).cast("int").alias("salt"),
+        _salt(F.pmod(F.xxhash64(F.col("event_time"), F.col("data"), arrival_raw), F.lit(n))),
         F.lit(False).alias("is_enrichment"),
         arrival_raw.alias("arrival"),
         F.col("event_time").cast("bigint").alias("event_time"),
@@ -139,9 +145,9 @@ def _tagged_union(raw: DataFrame, enr: DataFrame, arrival_col: str | None,
         F.lit(None).cast("bigint").alias("timestamp"),
         F.lit(None).cast("string").alias("enrichment"),
     )
-    enr_t = enr.select(
+    enr_t = enr.withColumn("_replica", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).select(
         F.col("key").cast("int").alias("gkey"),
-        F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("salt"),
+        _salt(F.col("_replica")),
         F.lit(True).alias("is_enrichment"),
         arrival_enr.alias("arrival"),
         F.lit(None).cast("bigint").alias("event_time"),

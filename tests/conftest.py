@@ -1,0 +1,35 @@
+import os
+import sys
+import tempfile
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+sys.path.insert(0, os.path.join(ROOT, "tests"))
+# Python workers of pandas-based operators import the package by name.
+os.environ["PYTHONPATH"] = os.pathsep.join(
+    p for p in (ROOT, os.environ.get("PYTHONPATH", "")) if p)
+
+SF001 = "/root/testdata/sf0.001"
+SF01 = "/root/testdata/sf0.01"
+T0 = 1_700_000_000_000
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from rivulet.session import local_session
+
+    s = local_session(4, 4)
+    # Tests have no cluster-named checkpoint folder: set our own.
+    if not s.sparkContext.getCheckpointDir():
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="rivulet-test-"))
+    yield s
+
+
+@pytest.fixture()
+def tmp(spark):
+    from rivulet.session import scratch_path
+
+    path = scratch_path(spark, "test")
+    return path[len("file:"):] if path.startswith("file:") else path

@@ -1,0 +1,97 @@
+"""Lookup enrichment, last write wins, join strategies."""
+
+import pytest
+from conftest import SF01, T0
+
+from rivulet.operators import attach_enrichment, broadcast_size_ok, enrich, latest_by_key
+from rivulet.schemas import ENRICHED, ENRICHMENT
+from rivulet.sources import enrichment_updates, enrichments, events_as_raw, load_table, raw_events
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _types(schema):
+    return [(f.name, f.dataType) for f in schema.fields]
+
+
+def test_enrich_raw_small(spark):
+    # FIXTURES raw_small: 1,000 rows, P = 2; 100 matched, 900 null.
+    out = enrich(raw_events(spark, 1000, 2, T0), enrichments(spark, 100, T0))
+    assert _types(out.schema) == _types(ENRICHED)
+    rows = out.collect()
+    assert len(rows) == 1000
+    matched = [r for r in rows if r.enrichment is not None]
+    assert len(matched) == 100
+    assert all(r.enrichment == f"Enrichment-{r.data}" for r in matched)
+    assert all(r.key == f"{r.event_time}|{r.data}" for r in rows)
+    assert len({r.partition for r in rows}) == 5
+
+
+def test_broadcast_plan_for_small_dim(spark):
+    out = enrich(raw_events(spark, 1000, 2, T0), enrichments(spark, 100, T0))
+    plan = _plan(out)
+    assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
+    assert "SortMergeJoin" not in plan
+
+
+@pytest.mark.parametrize("strategy", ["broadcast", "shuffle", "salted"])
+def test_strategies_agree(spark, strategy):
+    events = load_table(spark, SF01, "events")
+    raw = events_as_raw(events)
+    dim = enrichment_updates(events, keep=("event_id",))
+    ref = enrich(raw, dim, order=("timestamp", "event_id"), strategy="broadcast")
+    got = enrich(raw, dim, order=("timestamp", "event_id"), strategy=strategy, salt_buckets=8)
+    assert got.count() == 10_000
+    assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
+    if strategy != "broadcast":
+        assert "BroadcastHashJoin" not in _plan(got) or "AdaptiveSparkPlan" in _plan(got)
+
+
+def test_size_check_refuses_large_dim(spark):
+    dim = enrichments(spark, 100, T0)
+    assert broadcast_size_ok(dim, max_rows=100)
+    assert not broadcast_size_ok(dim, max_rows=99)
+    assert not broadcast_size_ok(dim, max_bytes=100)
+
+
+def test_auto_falls_back_to_shuffle(spark):
+    raw = raw_events(spark, 1000, 2, T0)
+    out = attach_enrichment(raw, enrichments(spark, 100, T0), max_broadcast_rows=10)
+    assert out.count() == 1000
+    assert out.filter("enrichment is not null").count() == 100
+
+
+def test_latest_by_key_last_write_wins(spark):
+    # FIXTURES enrichments_dup: (1,1,a) (3,1,c) (2,1,b) (1,2,z) -> 1: c, 2: z.
+    dim = spark.createDataFrame([(1, 1, "a"), (3, 1, "c"), (2, 1, "b"), (1, 2, "z")], ENRICHMENT)
+    got = {r.key: r.enrichment for r in latest_by_key(dim).collect()}
+    assert got == {1: "c", 2: "z"}
+
+
+def test_duplicate_keys_never_multiply_rows(spark):
+    dim = spark.createDataFrame([(1, 1, "a"), (3, 1, "c"), (2, 1, "b")], ENRICHMENT)
+    raw = spark.createDataFrame([(10, 1), (11, 1), (12, 2)], "event_time bigint, data int")
+    rows = sorted(enrich(raw, dim).collect())
+    assert [(r.event_time, r.enrichment) for r in rows] == [(10, "c"), (11, "c"), (12, None)]
+
+
+def test_null_data_gets_null_enrichment(spark):
+    raw = spark.createDataFrame([(10, None), (11, 1)], "event_time bigint, data int")
+    rows = sorted(attach_enrichment(raw, enrichments(spark, 5, T0)).collect())
+    assert [r.enrichment for r in rows] == [None, "Enrichment-1"]
+
+
+def test_stream_static_plan_is_broadcast(spark, tmp, capsys):
+    raw_events(spark, 100, 2, T0).write.parquet(f"{tmp}/raw")
+    stream = spark.readStream.schema("event_time bigint, data int").parquet(f"{tmp}/raw")
+    out = enrich(stream, enrichments(spark, 100, T0))
+    q = (out.writeStream.format("parquet").option("path", f"{tmp}/out")
+         .option("checkpointLocation", f"{tmp}/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    capsys.readouterr()
+    q.explain()
+    plan = capsys.readouterr().out
+    assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
+    assert spark.read.parquet(f"{tmp}/out").count() == 100

@@ -1,0 +1,37 @@
+"""S1, S2 and the driver-table adapters."""
+
+from conftest import SF001, T0
+
+from rivulet.functions import record_key, utc_bucket
+from rivulet.schemas import ENRICHMENT, RAW
+from rivulet.sources import enrichments, events_as_raw, load_table, raw_events
+
+
+def test_raw_events_shape(spark):
+    df = raw_events(spark, 1000, parallelism=2, t0_ms=T0)
+    assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in RAW]
+    rows = df.collect()
+    assert sorted(r.data for r in rows) == list(range(1000))
+    # n-th record of a subtask is backed off by (n mod 5) minutes; n = data div P.
+    for r in rows[:50]:
+        assert r.event_time == T0 - ((r.data // 2) % 5) * 60_000
+    parts = df.groupBy(utc_bucket("event_time").alias("p")).count().collect()
+    assert len(parts) == 5 and {p["count"] for p in parts} == {200}
+    assert df.select(record_key()).distinct().count() == 1000
+    assert df.rdd.getNumPartitions() == 2
+
+
+def test_enrichments(spark):
+    df = enrichments(spark, 100, T0)
+    assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in ENRICHMENT]
+    rows = sorted(df.collect(), key=lambda r: r.key)
+    assert len(rows) == 100
+    assert rows[0].enrichment == "Enrichment-0" and rows[99].enrichment == "Enrichment-99"
+    assert rows[5].timestamp == T0 - 100 + 5
+
+
+def test_events_as_raw(spark):
+    raw = events_as_raw(load_table(spark, SF001, "events"))
+    assert raw.columns == ["event_time", "data"]
+    assert raw.count() == 1000
+    assert raw.filter("event_time is null or data is null").count() == 0
