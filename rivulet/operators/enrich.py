@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from rivulet.functions.keys import record_key
 from rivulet.functions.time import utc_bucket
 from rivulet.schemas import ENRICHED, conform
+from rivulet.session import materialize
 
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -92,19 +93,25 @@ def attach_enrichment(raw: DataFrame, dim: DataFrame, on: str = "data",
                       strategy: str = "auto", dedup: bool = True,
                       max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                       max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
-                      salt_buckets: int = DEFAULT_SALT_BUCKETS) -> DataFrame:
+                      salt_buckets: int = DEFAULT_SALT_BUCKETS,
+                      materialize_dim: bool = True) -> DataFrame:
     """Left outer lookup (J1, P4): ``raw`` plus column ``value`` from the
     dimension row whose ``key`` equals ``raw[on]``, or null.
 
     ``dedup`` applies last-write-wins first so a duplicated key can never
     multiply raw rows. ``dim`` must be a static DataFrame; ``raw`` may be a
-    stream.
+    stream. With ``strategy="auto"`` the (deduplicated) dimension is
+    checkpointed once, so its size check and the join do not compute it
+    twice; for a stream this also fixes the dimension as of query start.
     """
     if dim.isStreaming:
         raise ValueError("dimension must be static; use enrich_stateful for two streams")
     if dedup:
         dim = latest_by_key(dim, key=key, order=order, values=[value])
     lookup = dim.select(F.col(key).alias("_dim_key"), F.col(value).alias("_dim_value"))
+    if strategy == "auto" and materialize_dim:
+        # One computation serves both the size check and the join.
+        lookup = materialize(lookup)
 
     if strategy == "auto":
         if broadcast_size_ok(lookup, ["_dim_value"], max_broadcast_rows, max_broadcast_bytes):

@@ -54,6 +54,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def materialize(df):
+    """Compute ``df`` once and cut its lineage with a reliable checkpoint in
+    the shared checkpoint folder (survives executor loss; never a
+    local checkpoint). Keeps the plan's output partitioning."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/rivulet/{name}-{uuid.uuid4().hex[:12]}"
