@@ -1,7 +1,7 @@
 """Reader job (E3): incremental read of the table -> count -> discard.
 
     spark-submit jobs/reader.py --input-dir <table> [--poll-interval S]
-        [--once] [--max-files-per-trigger K]
+        [--once] [--max-files-per-trigger K] [--parallelism N]
 
 Starts even if the table does not exist yet (T6) and then waits for the
 first commit. Prints the running count every poll; ``--once`` reads what is
@@ -30,6 +30,8 @@ def parse(argv=None):
     p.add_argument("--input-dir", required=True)
     p.add_argument("--poll-interval", type=int, default=10, help="seconds")
     p.add_argument("--max-files-per-trigger", type=int)
+    p.add_argument("--parallelism", type=int,
+                   help="minimum number of read tasks per micro-batch (S9)")
     p.add_argument("--checkpoint")
     p.add_argument("--once", action="store_true")
     p.add_argument("--expect", type=int, help="stop after this many rows")
@@ -40,6 +42,8 @@ def parse(argv=None):
 def main(argv=None) -> int:
     a = parse(argv)
     spark = SparkSession.builder.appName("rivulet-reader").getOrCreate()
+    if a.parallelism:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(a.parallelism))
     sink = discard_sink(a.checkpoint or scratch_path(spark, "reader-ckpt"),
                         trigger="available_now" if a.once else f"{a.poll_interval} seconds",
                         query_name="reader")
