@@ -130,7 +130,9 @@ def attach_enrichment(raw: DataFrame, dim: DataFrame, on: str = "data",
         n = int(salt_buckets)
         salted_raw = raw.withColumn(
             "_salt", F.pmod(F.xxhash64(*[F.col(c) for c in raw.columns]), F.lit(n)).cast("int"))
-        salted_dim = lookup.withColumn("_dim_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+        # The size check said no broadcast: keep the optimizer from choosing one.
+        salted_dim = lookup.withColumn(
+            "_dim_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).hint("merge")
         joined = salted_raw.join(
             salted_dim,
             (F.col(on) == F.col("_dim_key")) & (F.col("_salt") == F.col("_dim_salt")),

@@ -95,3 +95,24 @@ def test_stream_static_plan_is_broadcast(spark, tmp, capsys):
     plan = capsys.readouterr().out
     assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
     assert spark.read.parquet(f"{tmp}/out").count() == 100
+
+
+def test_stream_static_salted_join_matches_broadcast(spark, tmp, capsys):
+    # The path a too-big dimension takes in a stream (AQE is off there).
+    events = load_table(spark, SF01, "events")
+    dim = enrichment_updates(events, keep=("event_id",))
+    events_as_raw(events).write.parquet(f"{tmp}/raw")
+    stream = spark.readStream.schema("event_time bigint, data int").parquet(f"{tmp}/raw")
+    out = enrich(stream, dim, order=("timestamp", "event_id"), max_broadcast_rows=10,
+                 salt_buckets=4)
+    q = (out.writeStream.format("parquet").option("path", f"{tmp}/out")
+         .option("checkpointLocation", f"{tmp}/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    capsys.readouterr()
+    q.explain()
+    plan = capsys.readouterr().out
+    assert "BroadcastHashJoin" not in plan and "_salt" in plan
+    got = spark.read.parquet(f"{tmp}/out")
+    ref = enrich(events_as_raw(events), dim, order=("timestamp", "event_id"), strategy="broadcast")
+    assert got.count() == 10_000
+    assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
