@@ -100,17 +100,20 @@ def attach_enrichment(raw: DataFrame, dim: DataFrame, on: str = "data",
 
     ``dedup`` applies last-write-wins first so a duplicated key can never
     multiply raw rows. ``dim`` must be a static DataFrame; ``raw`` may be a
-    stream. With ``strategy="auto"`` the (deduplicated) dimension is
-    checkpointed once, so its size check and the join do not compute it
-    twice; for a stream this also fixes the dimension as of query start.
+    stream. With ``materialize_dim`` the (deduplicated) dimension is
+    checkpointed once into the shared checkpoint folder, so its size check
+    and the join do not compute it twice; for a stream this also fixes the
+    dimension as of query start.
     """
     if dim.isStreaming:
         raise ValueError("dimension must be static; use enrich_stateful for two streams")
     if dedup:
         dim = latest_by_key(dim, key=key, order=order, values=[value])
     lookup = dim.select(F.col(key).alias("_dim_key"), F.col(value).alias("_dim_value"))
-    if strategy == "auto" and materialize_dim:
-        # One computation serves both the size check and the join.
+    if materialize_dim:
+        # One computation serves both the size check and the join; and the
+        # join then reads the dimension through its own exchange, which is
+        # the shape AQE's skew-join rule needs to split a hot raw key.
         lookup = materialize(lookup)
 
     if strategy == "auto":
