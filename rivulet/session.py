@@ -18,7 +18,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # transformWithState (arrival-ordered enrichment) needs RocksDB state.
+    # Keyed state of the arrival-ordered enrichment: off-heap, spills to
+    # local disk, incremental checkpoints. Fixed at a query's first start.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
@@ -65,13 +66,3 @@ def materialize(df):
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/rivulet/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def ensure_state_store(spark: SparkSession) -> None:
-    """Use the RocksDB state store (needed by transformWithState).
-
-    Must be set before the stateful query starts; it is fixed in the
-    checkpoint at the first start.
-    """
-    key = "spark.sql.streaming.stateStore.providerClass"
-    spark.conf.set(key, RECOMMENDED_CONF[key])

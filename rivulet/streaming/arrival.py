@@ -6,7 +6,8 @@ it; it is never revisited, never waits, and has no time bound. A native
 stream-stream outer join is not this (it needs watermarks and waits).
 
 Spark plan: both streams are unioned into one tagged stream, grouped by
-``(key, salt)`` and run through ``transformWithStateInPandas``. The state
+``(key, salt)`` and run through ``applyInPandasWithState`` (Arrow batches
+sliced per group; no per-row Python on the way in). The state
 per group is the latest enrichment (value, timestamp, arrival). Inside a
 micro-batch the order is:
 
@@ -17,8 +18,9 @@ micro-batch the order is:
   ``timestamp`` wins), then the raw rows see the result.
 
 Across micro-batches the later batch wins (arrival), whatever the
-``timestamp``. The state lives in the checkpoint (RocksDB store), so unlike
-the reference, enrichments survive a restart (J4).
+``timestamp``. The state lives in the checkpoint's state store (RocksDB
+recommended, see ``session.RECOMMENDED_CONF``), so unlike the reference,
+enrichments survive a restart (J4).
 
 Hot keys: a raw row's salt comes from a hash of the row, and each enrichment
 row is replicated to all ``salt_buckets`` salts. Every ``(key, salt)``
@@ -38,13 +40,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from pyspark import cloudpickle
 
-from rivulet.session import ensure_state_store
-
-# The processor runs in Python workers, which may not have this package on
+# The group function runs in Python workers, which may not have this package on
 # their path: ship this module's code inside the pickled processor.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -63,65 +63,55 @@ _OUT_SCHEMA = T.StructType([
 ])
 
 
-class ArrivalOrderEnricher(StatefulProcessor):
-    """Keeps the latest enrichment of one ``(key, salt)`` group."""
-
-    def __init__(self, ordered: bool, enrichment_first_on_tie: bool = True):
-        self.ordered = ordered
-        self.enrichment_first_on_tie = enrichment_first_on_tie
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.latest = handle.getValueState("latest", _STATE_SCHEMA)
+def _arrival_order_fn(ordered: bool, enrichment_first_on_tie: bool):
+    """Per ``(key, salt)`` group: look up enrichments, update the state."""
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True)
+    def fn(key, chunks: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(chunks), ignore_index=True)
         if pdf.empty:
             return
-        stored = self.latest.get()  # None when the group has no state yet
+        stored = state.get if state.exists else None  # (enrichment, timestamp, arrival)
         is_enr = pdf["is_enrichment"].to_numpy(dtype=bool)
-
-        if self.ordered:
-            # Sort by arrival, then by kind at equal arrival.
-            tie = np.where(is_enr, 0, 1) if self.enrichment_first_on_tie else np.where(is_enr, 1, 0)
-            order = np.lexsort((tie, pdf["arrival"].to_numpy()))
-            pdf = pdf.iloc[order].reset_index(drop=True)
-            is_enr = is_enr[order]
-            # Index of the last enrichment at or before each row.
-            pos = np.where(is_enr, np.arange(len(pdf)), -1)
-            last = np.maximum.accumulate(pos)
-            values = pdf["enrichment"].to_numpy(dtype=object)
-            seen = last >= 0
+        values = pdf["enrichment"].to_numpy(dtype=object)
+        stamps = pdf["timestamp"].to_numpy()
+        arrivals = pdf["arrival"].to_numpy()
+        event_time = pdf["event_time"].to_numpy()
+        data = pdf["data"].to_numpy()
+        new_state = None
+
+        if ordered:
+            # Arrival order; at equal arrival, enrichments first (or last).
+            tie = np.where(is_enr, 0, 1) if enrichment_first_on_tie else np.where(is_enr, 1, 0)
+            order = np.lexsort((tie, arrivals))
+            is_enr, values, stamps, arrivals = is_enr[order], values[order], stamps[order], arrivals[order]
+            event_time, data = event_time[order], data[order]
+            # Position of the last enrichment at or before each row.
+            last = np.maximum.accumulate(np.where(is_enr, np.arange(len(is_enr)), -1))
             fallback = stored[0] if stored is not None else None
-            looked_up = np.where(seen, values[np.maximum(last, 0)], fallback)
-            new_state = None
+            looked_up = np.where(last >= 0, values[np.maximum(last, 0)], fallback)
             if is_enr.any():
                 i = int(np.flatnonzero(is_enr)[-1])
-                new_state = (values[i], int(pdf["timestamp"].iloc[i]), int(pdf["arrival"].iloc[i]))
+                new_state = (values[i], int(stamps[i]), int(arrivals[i]))
         else:
-            enr = pdf[is_enr]
-            new_state = None
-            if len(enr):
-                # Newest timestamp wins inside the batch; arrival breaks ties.
-                i = enr.sort_values(["timestamp", "arrival"], kind="mergesort").index[-1]
-                new_state = (enr.at[i, "enrichment"], int(enr.at[i, "timestamp"]),
-                             int(enr.at[i, "arrival"]))
+            # No order inside the batch: enrichments first, newest timestamp
+            # wins (arrival breaks ties), then the raw rows see the result.
+            if is_enr.any():
+                idx = np.flatnonzero(is_enr)
+                i = int(idx[np.lexsort((arrivals[idx], stamps[idx]))[-1]])
+                new_state = (values[i], int(stamps[i]), int(arrivals[i]))
             current = new_state if new_state is not None else stored
-            looked_up = np.full(len(pdf), current[0] if current is not None else None, dtype=object)
+            looked_up = np.full(len(is_enr), current[0] if current is not None else None,
+                                dtype=object)
 
         if new_state is not None:
-            self.latest.update(new_state)
-
+            state.update(new_state)
         raw = ~is_enr
         if raw.any():
-            out = pd.DataFrame({
-                "event_time": pdf["event_time"].to_numpy()[raw].astype("int64"),
-                "data": pdf["data"].to_numpy()[raw].astype("int32"),
-                "enrichment": looked_up[raw],
-            })
-            yield out
+            yield pd.DataFrame({"event_time": event_time[raw].astype("int64"),
+                                "data": data[raw].astype("int32"),
+                                "enrichment": looked_up[raw]})
 
-    def close(self) -> None:
-        pass
+    return fn
 
 
 def _salt(c):
@@ -167,11 +157,11 @@ def enrich_stateful(raw: DataFrame, enrichments: DataFrame, arrival_col: str | N
     ``arrival_col`` (present in both inputs) orders rows inside a
     micro-batch; across micro-batches the batch order is the arrival order.
     """
-    ensure_state_store(raw.sparkSession)
     tagged = _tagged_union(raw, enrichments, arrival_col, salt_buckets)
-    return tagged.groupBy("gkey", "salt").transformWithStateInPandas(
-        statefulProcessor=ArrivalOrderEnricher(arrival_col is not None, enrichment_first_on_tie),
+    return tagged.groupBy("gkey", "salt").applyInPandasWithState(
+        _arrival_order_fn(arrival_col is not None, enrichment_first_on_tie),
         outputStructType=_OUT_SCHEMA,
-        outputMode="Append",
-        timeMode="None",
+        stateStructType=_STATE_SCHEMA,
+        outputMode="append",
+        timeoutConf=GroupStateTimeout.NoTimeout,
     )
