@@ -3,7 +3,9 @@
 Each query is forced with a ``noop`` write (full computation, nothing
 collected). The writer job (stream of events -> enrich -> count -> table)
 and the reader job (incremental read -> count -> discard) are also timed on
-their own and reported as rows/s, the BASELINE metric (floor: 10,000 rows/s).
+their own and reported as rows/s, the BASELINE metric (floor: 10,000 rows/s),
+as is the reference writer job at its default size (1,000,000 generated
+records, landed once then streamed).
 Prints one JSON line.
 """
 
@@ -18,10 +20,11 @@ ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
 os.environ["PYTHONPATH"] = os.pathsep.join(p for p in (ROOT, os.environ.get("PYTHONPATH", "")) if p)
 
-from rivulet.operators.metrics import READ_COUNTER, ProgressCounter  # noqa: E402
-from rivulet.plans import build_reader, catalog  # noqa: E402
+from rivulet.operators.metrics import READ_COUNTER, WRITTEN_COUNTER, ProgressCounter  # noqa: E402
+from rivulet.plans import build_reader, build_writer, catalog, stage_bounded  # noqa: E402
 from rivulet.session import local_session, scratch_path  # noqa: E402
-from rivulet.streaming import discard_sink  # noqa: E402
+from rivulet.sources import enrichments, raw_events  # noqa: E402
+from rivulet.streaming import append_sink, discard_sink  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -55,6 +58,16 @@ def main() -> None:
     read = ProgressCounter(READ_COUNTER).poll(q)
     reader_sec = time.perf_counter() - t
 
+    # The reference writer job's default size: 1,000,000 generated records,
+    # P = 2, minute grain (5 partitions), 100 enrichments.
+    t = time.perf_counter()
+    landing, table1m = scratch_path(spark, "bench-landing"), scratch_path(spark, "bench-1m")
+    raw = stage_bounded(spark, raw_events(spark, 1_000_000, 2), landing)
+    q = build_writer(raw, enrichments(spark), append_sink(table1m, scratch_path(spark, "bench-1m-ck")))
+    q.awaitTermination()
+    gen_written = ProgressCounter(WRITTEN_COUNTER).poll(q)
+    gen_sec = time.perf_counter() - t
+
     print(json.dumps({
         "metric": "total_query_time",
         "value": round(sum(times.values()), 3),
@@ -65,6 +78,8 @@ def main() -> None:
         "writer_rows_per_sec": round(written / writer_sec, 1),
         "reader_rows": read,
         "reader_rows_per_sec": round(read / reader_sec, 1),
+        "generated_writer_rows": gen_written,
+        "generated_writer_rows_per_sec": round(gen_written / gen_sec, 1),
         "cpus": CPUS,
     }))
 
