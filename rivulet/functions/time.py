@@ -51,6 +51,8 @@ def utc_bucket(ms: Column | str, grain: str = "minute") -> Column:
         raise ValueError(f"grain must be one of {sorted(GRAIN_FORMATS)}, not {grain!r}")
     ms = _col(ms).cast("bigint")
     in_day = F.pmod(ms, F.lit(_MS_PER_DAY))  # 0 .. day-1, also for ms < 0
+    # An exact multiple of a day divided by a day: exact in double arithmetic
+    # for every |ms| < 2**53.
     day = ((ms - in_day) / F.lit(_MS_PER_DAY)).cast("int")
     # Casting a DATE to string is zone-free: yyyy-MM-dd.
     ymd = F.translate(F.date_from_unix_date(day).cast("string"), "-", "")
