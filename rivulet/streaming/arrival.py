@@ -67,7 +67,8 @@ def _arrival_order_fn(ordered: bool, enrichment_first_on_tie: bool):
     """Per ``(key, salt)`` group: look up enrichments, update the state."""
 
     def fn(key, chunks: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(chunks), ignore_index=True)
+        parts = list(chunks)
+        pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
         if pdf.empty:
             return
         stored = state.get if state.exists else None  # (enrichment, timestamp, arrival)
