@@ -58,8 +58,9 @@ def main(argv=None) -> int:
     if a.input_dir:
         raw = raw_stream(spark, a.input_dir, RAW, a.max_files_per_trigger)
     else:
-        raw = stage_bounded(spark, raw_events(spark, a.num_records, a.parallelism),
-                            scratch_path(spark, "landing"))
+        landing = scratch_path(spark, "landing")
+        stage_bounded(spark, raw_events(spark, a.num_records, a.parallelism), landing)
+        raw = raw_stream(spark, landing, RAW, a.max_files_per_trigger)
     dim = (spark.read.schema(ENRICHMENT).parquet(a.enrichments) if a.enrichments
            else enrichments(spark))
     sink = append_sink(
@@ -70,8 +71,11 @@ def main(argv=None) -> int:
         write_parallelism=None if a.cluster_by_partition else a.parallelism,
         query_name="writer")
     q = build_writer(raw, dim, sink, grain=a.grain)
-    q.awaitTermination()
-    print(f"{WRITTEN_COUNTER}={ProgressCounter(WRITTEN_COUNTER).poll(q)}")
+    counter = ProgressCounter(WRITTEN_COUNTER)
+    # Poll while running: a query keeps only its last 100 progress events.
+    while not q.awaitTermination(max(1.0, a.checkpoint_interval / 1000)):
+        counter.poll(q)
+    print(f"{WRITTEN_COUNTER}={counter.poll(q)}")
     return 0 if q.exception() is None else 1
 
 
