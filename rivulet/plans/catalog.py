@@ -27,7 +27,7 @@ from rivulet.plans.writer import build_writer
 from rivulet.session import scratch_path
 from rivulet.sources.generated import DEFAULT_T0_MS, NUM_ENRICHMENTS, enrichments, raw_from_ids
 from rivulet.sources.lake import read_snapshot
-from rivulet.sources.tables import enrichment_updates, events_as_raw, load_table
+from rivulet.sources.tables import enrichment_updates, events_as_raw, load_table, table_stream
 from rivulet.streaming.arrival import enrich_stateful
 from rivulet.streaming.sinks import append_sink, discard_sink
 from rivulet.streaming.watermark import with_enrichment_watermark
@@ -41,10 +41,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = _events(spark, sf_dir).schema
-    return (spark.readStream.schema(schema)
-            .option("pathGlobFilter", "events.parquet")
-            .parquet(sf_dir.rstrip("/")))
+    return table_stream(spark, sf_dir, "events")
 
 
 def _await(query: StreamingQuery) -> StreamingQuery:

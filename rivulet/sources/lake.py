@@ -9,17 +9,11 @@ seen. The schema is always passed: a day-grain partition value such as
 
 from __future__ import annotations
 
-import os
-from urllib.parse import urlparse
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from rivulet.schemas import ENRICHED, conform
-
-
-def _is_local(path: str) -> bool:
-    return urlparse(path).scheme in ("", "file")
+from rivulet.sources.fs import mkdirs
 
 
 def make_table_dir(spark: SparkSession, path: str) -> None:
@@ -28,12 +22,7 @@ def make_table_dir(spark: SparkSession, path: str) -> None:
     It must stay empty: a stray file would make a file stream reader decide
     the directory has no commit log and list files directly for good.
     """
-    if _is_local(path):
-        os.makedirs(urlparse(path).path or path, exist_ok=True)
-        return
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(hpath)
+    mkdirs(spark, path)
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: T.StructType = ENRICHED,

@@ -11,12 +11,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet.functions.time import epoch_ms_from_ntz
+from rivulet.sources.fs import is_dir
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str,
+                 max_files_per_trigger: int | None = None) -> DataFrame:
+    """A driver table as a file stream (schema from its footer).
+
+    A stream source must be a folder: ``<name>.parquet`` itself when it is
+    one, else its parent folder filtered to that one file name.
+    """
+    base = sf_dir.rstrip("/")
+    path = f"{base}/{name}.parquet"
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    if is_dir(spark, path):
+        return reader.parquet(path)
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(base)
+
+
 def events_as_raw(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """events -> RAW (event_time, data), plus any ``keep`` columns."""
     return events.select(

@@ -35,3 +35,22 @@ def test_events_as_raw(spark):
     assert raw.columns == ["event_time", "data"]
     assert raw.count() == 1000
     assert raw.filter("event_time is null or data is null").count() == 0
+
+
+def test_table_stream_from_file_or_folder(spark, tmp):
+    from rivulet.sources import table_stream
+
+    # A single driver file: streamed through its parent folder.
+    s = table_stream(spark, SF001, "events")
+    q = (s.writeStream.format("parquet").option("path", f"{tmp}/a")
+         .option("checkpointLocation", f"{tmp}/ca").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert spark.read.parquet(f"{tmp}/a").count() == 1000
+    # The same table stored as a folder of files.
+    load_table(spark, SF001, "events").repartition(3).write.parquet(f"{tmp}/d/events.parquet")
+    s = table_stream(spark, f"{tmp}/d", "events", max_files_per_trigger=1)
+    q = (s.writeStream.format("parquet").option("path", f"{tmp}/b")
+         .option("checkpointLocation", f"{tmp}/cb").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert spark.read.parquet(f"{tmp}/b").count() == 1000
+    assert len([p for p in q.recentProgress if p.numInputRows > 0]) == 3
