@@ -9,7 +9,8 @@ Join strategy, chosen per call:
 
 * ``broadcast``  -- only after a bounded check that the deduplicated
   dimension is at most ``max_broadcast_rows`` rows and
-  ``max_broadcast_bytes`` bytes. Plan: BroadcastHashJoin LeftOuter
+  ``max_broadcast_bytes`` bytes (64 MiB for batch, 16 MiB for a stream,
+  whose broadcast is re-sent every micro-batch). Plan: BroadcastHashJoin LeftOuter
   BuildRight, no shuffle of the raw side; the same plan runs per micro-batch
   in a stream-static join.
 * ``shuffle``    -- sort-merge join on the key; with AQE on, a hot key on the
@@ -39,6 +40,9 @@ from rivulet.session import materialize
 
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+# A stream-static broadcast is rebuilt and re-sent to every executor in every
+# micro-batch, so streams get a tighter byte cap.
+DEFAULT_MAX_STREAM_BROADCAST_BYTES = 16 * 1024 * 1024
 DEFAULT_SALT_BUCKETS = 16
 # Rough per-row cost of a broadcast hash relation entry beyond its strings.
 _ROW_OVERHEAD_BYTES = 32
@@ -92,7 +96,7 @@ def attach_enrichment(raw: DataFrame, dim: DataFrame, on: str = "data",
                       order: Sequence[str] = ("timestamp",),
                       strategy: str = "auto", dedup: bool = True,
                       max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                      max_broadcast_bytes: int = DEFAULT_MAX_BROADCAST_BYTES,
+                      max_broadcast_bytes: int | None = None,
                       salt_buckets: int = DEFAULT_SALT_BUCKETS,
                       materialize_dim: bool = True) -> DataFrame:
     """Left outer lookup (J1, P4): ``raw`` plus column ``value`` from the
@@ -116,6 +120,9 @@ def attach_enrichment(raw: DataFrame, dim: DataFrame, on: str = "data",
         # the shape AQE's skew-join rule needs to split a hot raw key.
         lookup = materialize(lookup)
 
+    if max_broadcast_bytes is None:
+        max_broadcast_bytes = (DEFAULT_MAX_STREAM_BROADCAST_BYTES if raw.isStreaming
+                               else DEFAULT_MAX_BROADCAST_BYTES)
     if strategy == "auto":
         if broadcast_size_ok(lookup, ["_dim_value"], max_broadcast_rows, max_broadcast_bytes):
             strategy = "broadcast"
