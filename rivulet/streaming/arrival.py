@@ -76,8 +76,7 @@ def _arrival_order_fn(ordered: bool, enrichment_first_on_tie: bool):
         values = pdf["enrichment"].to_numpy(dtype=object)
         stamps = pdf["timestamp"].to_numpy()
         arrivals = pdf["arrival"].to_numpy()
-        event_time = pdf["event_time"].to_numpy()
-        data = pdf["data"].to_numpy()
+        event_time = pdf["event_time"]  # may hold nulls: keep the Series
         new_state = None
 
         if ordered:
@@ -85,7 +84,7 @@ def _arrival_order_fn(ordered: bool, enrichment_first_on_tie: bool):
             tie = np.where(is_enr, 0, 1) if enrichment_first_on_tie else np.where(is_enr, 1, 0)
             order = np.lexsort((tie, arrivals))
             is_enr, values, stamps, arrivals = is_enr[order], values[order], stamps[order], arrivals[order]
-            event_time, data = event_time[order], data[order]
+            event_time = event_time.iloc[order]
             # Position of the last enrichment at or before each row.
             last = np.maximum.accumulate(np.where(is_enr, np.arange(len(is_enr)), -1))
             fallback = stored[0] if stored is not None else None
@@ -107,10 +106,14 @@ def _arrival_order_fn(ordered: bool, enrichment_first_on_tie: bool):
         if new_state is not None:
             state.update(new_state)
         raw = ~is_enr
-        if raw.any():
-            yield pd.DataFrame({"event_time": event_time[raw].astype("int64"),
-                                "data": data[raw].astype("int32"),
-                                "enrichment": looked_up[raw]})
+        n_raw = int(raw.sum())
+        if n_raw:
+            # ``data`` is the group key itself (null data: null key).
+            yield pd.DataFrame({
+                "event_time": event_time[raw].astype("Int64").to_numpy(),
+                "data": pd.array([key[0]] * n_raw, dtype="Int32"),
+                "enrichment": looked_up[raw],
+            })
 
     return fn
 
@@ -121,31 +124,42 @@ def _salt(c):
     return F.coalesce(c.cast("int"), F.lit(0)).alias("salt")
 
 
+_MIN_ARRIVAL = -(2 ** 63)
+
+
 def _tagged_union(raw: DataFrame, enr: DataFrame, arrival_col: str | None,
                   salt_buckets: int) -> DataFrame:
-    arrival_raw = F.col(arrival_col).cast("bigint") if arrival_col else F.lit(0).cast("bigint")
-    arrival_enr = F.col(arrival_col).cast("bigint") if arrival_col else F.lit(0).cast("bigint")
+    """One stream of both inputs: (gkey, salt, is_enrichment, arrival,
+    event_time, timestamp, enrichment). Unused fields are 0, not null, so
+    the integer columns reach pandas as integers."""
+    if arrival_col:
+        arrival = F.coalesce(F.col(arrival_col).cast("bigint"), F.lit(_MIN_ARRIVAL))
+    else:
+        arrival = F.lit(0).cast("bigint")
     n = int(salt_buckets)
     raw_t = raw.select(
         F.col("data").cast("int").alias("gkey"),
-        _salt(F.pmod(F.xxhash64(F.col("event_time"), F.col("data"), arrival_raw), F.lit(n))),
+        _salt(F.pmod(F.xxhash64(F.col("event_time"), F.col("data"), arrival), F.lit(n))),
         F.lit(False).alias("is_enrichment"),
-        arrival_raw.alias("arrival"),
+        arrival.alias("arrival"),
         F.col("event_time").cast("bigint").alias("event_time"),
-        F.col("data").cast("int").alias("data"),
-        F.lit(None).cast("bigint").alias("timestamp"),
+        F.lit(0).cast("bigint").alias("timestamp"),
         F.lit(None).cast("string").alias("enrichment"),
     )
-    enr_t = enr.withColumn("_replica", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).select(
-        F.col("key").cast("int").alias("gkey"),
-        _salt(F.col("_replica")),
-        F.lit(True).alias("is_enrichment"),
-        arrival_enr.alias("arrival"),
-        F.lit(None).cast("bigint").alias("event_time"),
-        F.lit(None).cast("int").alias("data"),
-        F.col("timestamp").cast("bigint").alias("timestamp"),
-        F.col("enrichment").cast("string").alias("enrichment"),
-    )
+    # A null key matches nothing (as in the lookup join), so such an
+    # enrichment can never be seen and is not sent.
+    enr_t = (enr.filter(F.col("key").isNotNull())
+             .withColumn("_replica", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+             .select(
+                 F.col("key").cast("int").alias("gkey"),
+                 _salt(F.col("_replica")),
+                 F.lit(True).alias("is_enrichment"),
+                 arrival.alias("arrival"),
+                 F.lit(0).cast("bigint").alias("event_time"),
+                 F.coalesce(F.col("timestamp").cast("bigint"), F.lit(0).cast("bigint"))
+                 .alias("timestamp"),
+                 F.col("enrichment").cast("string").alias("enrichment"),
+             ))
     return raw_t.unionByName(enr_t)
 
 

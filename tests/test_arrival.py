@@ -111,3 +111,17 @@ def test_arrival_column_matches_lag(spark, tmp, salts):
     joined = raw.join(want.select("event_id", "prev"), "event_id").collect()
     assert len(got) == 1000
     assert all(got[(r.event_time, r.data)] == r.prev for r in joined)
+
+
+def test_null_keys_never_match(spark, tmp):
+    s = Script(spark, tmp).start()
+    spark.createDataFrame([(5, None, "ghost"), (6, 1, "v1")],
+                          "timestamp bigint, key int, enrichment string").coalesce(1) \
+        .write.mode("append").parquet(f"{tmp}/enr")
+    s.q.processAllAvailable()
+    s.land(raws=[(10, 1)])
+    spark.createDataFrame([(11, None)], "event_time bigint, data int").coalesce(1) \
+        .write.mode("append").parquet(f"{tmp}/raw")
+    s.q.processAllAvailable()
+    s.stop()
+    assert s.rows() == [(10, 1, "v1"), (11, None, None)]
