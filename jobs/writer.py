@@ -43,6 +43,8 @@ def parse(argv=None):
     p.add_argument("--grain", default="minute", choices=["minute", "hour", "day"])
     p.add_argument("--checkpoint")
     p.add_argument("--max-records-per-file", type=int)
+    p.add_argument("--parquet-block-size", type=int, help="bytes (row group size)")
+    p.add_argument("--parquet-page-size", type=int, help="bytes")
     p.add_argument("--cluster-by-partition", action="store_true")
     p.add_argument("--once", action="store_true")
     return p.parse_args(argv)
@@ -67,6 +69,8 @@ def main(argv=None) -> int:
         a.output_dir, a.checkpoint or scratch_path(spark, "writer-ckpt"),
         trigger="available_now" if a.once else f"{a.checkpoint_interval} milliseconds",
         max_records_per_file=a.max_records_per_file,
+        parquet_block_size=a.parquet_block_size,
+        parquet_page_size=a.parquet_page_size,
         cluster_by_partition=a.cluster_by_partition,
         write_parallelism=None if a.cluster_by_partition else a.parallelism,
         query_name="writer")

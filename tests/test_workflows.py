@@ -63,3 +63,17 @@ def test_jobs_cli(spark, tmp, capsys):
     assert f"{READ_COUNTER}=1000" in capsys.readouterr().out
     rows = read_snapshot(spark, f"{tmp}/table").collect()
     assert len(rows) == 1000 and sum(r.enrichment is not None for r in rows) == 100
+
+
+def test_writer_file_sizing_options(spark, tmp, capsys):
+    import os
+
+    assert writer_job.main(["--output-dir", f"{tmp}/table", "--num-records", "2000", "--once",
+                            "--checkpoint", f"{tmp}/wck", "--max-records-per-file", "100",
+                            "--parquet-block-size", str(1 << 20),
+                            "--parquet-page-size", str(1 << 20)]) == 0
+    capsys.readouterr()
+    files = [f for d in os.listdir(f"{tmp}/table") if d.startswith("partition=")
+             for f in os.listdir(f"{tmp}/table/{d}") if f.endswith(".parquet")]
+    assert len(files) >= 20  # at most 100 rows per file
+    assert read_snapshot(spark, f"{tmp}/table").count() == 2000
