@@ -127,8 +127,23 @@ def _salt(c):
 _MIN_ARRIVAL = -(2 ** 63)
 
 
+def find_hot_keys(df: DataFrame, key_col: str, min_share: float = 0.01) -> list:
+    """Keys that hold at least ``min_share`` of the rows of ``df`` (exact).
+
+    One distributed count per key; at most ``1 / min_share`` keys can pass
+    the filter, so the list brought to the driver has a proven size bound.
+    """
+    total = df.count()
+    if total == 0:
+        return []
+    hot = (df.groupBy(key_col).count()
+           .filter(F.col("count") >= F.lit(min_share * total))
+           .filter(F.col(key_col).isNotNull()))
+    return sorted(r[0] for r in hot.select(key_col).collect())
+
+
 def _tagged_union(raw: DataFrame, enr: DataFrame, arrival_col: str | None,
-                  salt_buckets: int) -> DataFrame:
+                  salt_buckets: int, hot_keys=None) -> DataFrame:
     """One stream of both inputs: (gkey, salt, is_enrichment, arrival,
     event_time, timestamp, enrichment). Unused fields are 0, not null, so
     the integer columns reach pandas as integers."""
@@ -137,9 +152,17 @@ def _tagged_union(raw: DataFrame, enr: DataFrame, arrival_col: str | None,
     else:
         arrival = F.lit(0).cast("bigint")
     n = int(salt_buckets)
+    raw_salt = F.pmod(F.xxhash64(F.col("event_time"), F.col("data"), arrival), F.lit(n))
+    replicas = F.sequence(F.lit(0), F.lit(n - 1))
+    if hot_keys is not None:
+        # Only the listed keys are spread; every other key is one group.
+        hot_raw = F.col("data").cast("int").isin(list(hot_keys)) if hot_keys else F.lit(False)
+        hot_enr = F.col("key").cast("int").isin(list(hot_keys)) if hot_keys else F.lit(False)
+        raw_salt = F.when(hot_raw, raw_salt).otherwise(F.lit(0))
+        replicas = F.when(hot_enr, replicas).otherwise(F.array(F.lit(0)))
     raw_t = raw.select(
         F.col("data").cast("int").alias("gkey"),
-        _salt(F.pmod(F.xxhash64(F.col("event_time"), F.col("data"), arrival), F.lit(n))),
+        _salt(raw_salt),
         F.lit(False).alias("is_enrichment"),
         arrival.alias("arrival"),
         F.col("event_time").cast("bigint").alias("event_time"),
@@ -149,7 +172,7 @@ def _tagged_union(raw: DataFrame, enr: DataFrame, arrival_col: str | None,
     # A null key matches nothing (as in the lookup join), so such an
     # enrichment can never be seen and is not sent.
     enr_t = (enr.filter(F.col("key").isNotNull())
-             .withColumn("_replica", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+             .withColumn("_replica", F.explode(replicas))
              .select(
                  F.col("key").cast("int").alias("gkey"),
                  _salt(F.col("_replica")),
@@ -165,14 +188,21 @@ def _tagged_union(raw: DataFrame, enr: DataFrame, arrival_col: str | None,
 
 def enrich_stateful(raw: DataFrame, enrichments: DataFrame, arrival_col: str | None = None,
                     enrichment_first_on_tie: bool = True,
-                    salt_buckets: int = DEFAULT_STATE_SALT_BUCKETS) -> DataFrame:
+                    salt_buckets: int = DEFAULT_STATE_SALT_BUCKETS,
+                    hot_keys=None) -> DataFrame:
     """RAW stream + ENRICHMENT stream -> (event_time, data, enrichment) in
     arrival order; add key and partition with ``operators.to_enriched``.
 
     ``arrival_col`` (present in both inputs) orders rows inside a
     micro-batch; across micro-batches the batch order is the arrival order.
+
+    ``hot_keys=None`` spreads every key over ``salt_buckets`` groups. A list
+    (e.g. from ``find_hot_keys`` over history) spreads only those keys and
+    keeps every other key in one group, saving the replication of their
+    enrichments. The salting is part of the state layout: keep
+    ``salt_buckets`` and ``hot_keys`` fixed for the life of a checkpoint.
     """
-    tagged = _tagged_union(raw, enrichments, arrival_col, salt_buckets)
+    tagged = _tagged_union(raw, enrichments, arrival_col, salt_buckets, hot_keys)
     return tagged.groupBy("gkey", "salt").applyInPandasWithState(
         _arrival_order_fn(arrival_col is not None, enrichment_first_on_tie),
         outputStructType=_OUT_SCHEMA,

@@ -125,3 +125,21 @@ def test_null_keys_never_match(spark, tmp):
     s.q.processAllAvailable()
     s.stop()
     assert s.rows() == [(10, 1, "v1"), (11, None, None)]
+
+
+def test_selective_salting_gives_same_result(spark, tmp):
+    events = load_table(spark, SF001, "events")
+    results = []
+    for i, hot in enumerate([None, [3], []]):
+        stream = spark.readStream.schema(events.schema) \
+            .option("pathGlobFilter", "events.parquet").parquet(SF001)
+        out = enrich_stateful(events_as_raw(stream, keep=("event_id",)),
+                              enrichment_updates(stream, keep=("event_id",)),
+                              arrival_col="event_id", enrichment_first_on_tie=False,
+                              salt_buckets=4, hot_keys=hot)
+        q = (out.writeStream.format("parquet").option("path", f"{tmp}/o{i}")
+             .option("checkpointLocation", f"{tmp}/c{i}").trigger(availableNow=True).start())
+        q.awaitTermination()
+        results.append(sorted(tuple(r) for r in spark.read.parquet(f"{tmp}/o{i}").collect()))
+    assert len(results[0]) == 1000
+    assert results[0] == results[1] == results[2]

@@ -62,3 +62,18 @@ def test_state_salting_spreads_hot_key_and_replicates_enrichments(spark):
     assert max(hot_raw.values()) < 10_000 / 8 * 1.3  # near-even split
     hot_enr = tagged.filter(F.col("is_enrichment") & (F.col("gkey") == HOT))
     assert sorted(r.salt for r in hot_enr.collect()) == list(range(8))
+
+
+def test_find_hot_keys_and_selective_salting(spark):
+    from rivulet.streaming.arrival import find_hot_keys
+
+    raw = _skewed_raw(spark).withColumn("arrival", F.col("event_time"))
+    assert find_hot_keys(raw, "data", min_share=0.05) == [HOT]
+    enr = _dim(spark).withColumn("arrival", F.lit(0).cast("bigint"))
+    tagged = _tagged_union(raw, enr, "arrival", 8, hot_keys=[HOT])
+    salts = {r.gkey: r.n for r in tagged.groupBy("gkey").agg(
+        F.countDistinct("salt").alias("n")).collect()}
+    assert salts[HOT] == 8
+    assert {n for k, n in salts.items() if k != HOT} == {1}
+    # Only the hot key's enrichment is replicated.
+    assert tagged.filter("is_enrichment").count() == 1000 - 1 + 8
