@@ -43,7 +43,7 @@ DEFAULT_MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 # A stream-static broadcast is rebuilt and re-sent to every executor in every
 # micro-batch, so streams get a tighter byte cap.
 DEFAULT_MAX_STREAM_BROADCAST_BYTES = 16 * 1024 * 1024
-DEFAULT_SALT_BUCKETS = 16
+DEFAULT_SALT_BUCKETS = 8
 # Rough per-row cost of a broadcast hash relation entry beyond its strings.
 _ROW_OVERHEAD_BYTES = 32
 
@@ -55,9 +55,11 @@ def latest_by_key(dim: DataFrame, key: str = "key",
     ``order`` tuple; output columns ``key, *order, *values``.
 
     In batch there is no arrival order, so "last" is the greatest ``order``
-    (give a unique tie-breaker as the last order column). It is one hash
-    aggregate of ``max_by``; the partial aggregate runs map-side, so a hot
-    key sends one row per map task to the shuffle, not all of its rows.
+    (give a unique tie-breaker as the last order column). It is one
+    aggregate of ``max_by`` with a partial aggregate map-side, so a hot key
+    sends one row per map task to the shuffle, not all of its rows. Spark
+    plans it sort-based (the struct buffer is not fixed-width): a per-task
+    sort that spills, never a shuffle of whole rows as a window would need.
     """
     order, values = list(order), list(values)
     picked = F.max_by(F.struct(*[F.col(c) for c in order + values]),
@@ -98,6 +100,7 @@ def attach_enrichment(raw: DataFrame, dim: DataFrame, on: str = "data",
                       max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                       max_broadcast_bytes: int | None = None,
                       salt_buckets: int = DEFAULT_SALT_BUCKETS,
+                      hot_keys: Sequence | None = None,
                       materialize_dim: bool = True) -> DataFrame:
     """Left outer lookup (J1, P4): ``raw`` plus column ``value`` from the
     dimension row whose ``key`` equals ``raw[on]``, or null.
@@ -107,7 +110,8 @@ def attach_enrichment(raw: DataFrame, dim: DataFrame, on: str = "data",
     stream. With ``materialize_dim`` the (deduplicated) dimension is
     checkpointed once into the shared checkpoint folder, so its size check
     and the join do not compute it twice; for a stream this also fixes the
-    dimension as of query start.
+    dimension as of query start. ``hot_keys`` limits the salted join's
+    spreading (and dimension replication) to those keys.
     """
     if dim.isStreaming:
         raise ValueError("dimension must be static; use enrich_stateful for two streams")
@@ -138,11 +142,16 @@ def attach_enrichment(raw: DataFrame, dim: DataFrame, on: str = "data",
         joined = raw.join(lookup, F.col(on) == F.col("_dim_key"), "left")
     elif strategy == "salted":
         n = int(salt_buckets)
-        salted_raw = raw.withColumn(
-            "_salt", F.pmod(F.xxhash64(*[F.col(c) for c in raw.columns]), F.lit(n)).cast("int"))
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in raw.columns]), F.lit(n)).cast("int")
+        replicas = F.sequence(F.lit(0), F.lit(n - 1))
+        if hot_keys is not None:
+            hot = list(hot_keys)
+            salt = F.when(F.col(on).isin(hot), salt).otherwise(F.lit(0)) if hot else F.lit(0)
+            replicas = (F.when(F.col("_dim_key").isin(hot), replicas).otherwise(F.array(F.lit(0)))
+                        if hot else F.array(F.lit(0)))
+        salted_raw = raw.withColumn("_salt", salt)
         # The size check said no broadcast: keep the optimizer from choosing one.
-        salted_dim = lookup.withColumn(
-            "_dim_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))).hint("merge")
+        salted_dim = lookup.withColumn("_dim_salt", F.explode(replicas)).hint("merge")
         joined = salted_raw.join(
             salted_dim,
             (F.col(on) == F.col("_dim_key")) & (F.col("_salt") == F.col("_dim_salt")),

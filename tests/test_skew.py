@@ -77,3 +77,10 @@ def test_find_hot_keys_and_selective_salting(spark):
     assert {n for k, n in salts.items() if k != HOT} == {1}
     # Only the hot key's enrichment is replicated.
     assert tagged.filter("is_enrichment").count() == 1000 - 1 + 8
+
+
+def test_salted_join_with_hot_key_list(spark):
+    out = enrich(_skewed_raw(spark), _dim(spark), strategy="salted", salt_buckets=8,
+                 hot_keys=[HOT])
+    rows = out.collect()
+    assert len(rows) == 30_000 and all(r.enrichment == f"v{r.data}" for r in rows)
