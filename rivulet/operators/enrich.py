@@ -14,11 +14,12 @@ Join strategy, chosen per call:
   BuildRight, no shuffle of the raw side; the same plan runs per micro-batch
   in a stream-static join.
 * ``shuffle``    -- sort-merge join on the key; with AQE on, a hot key on the
-  raw side is split by the skew-join rule (supported for LEFT OUTER).
-* ``salted``     -- for when AQE cannot help (streaming micro-batches, AQE
-  off): raw rows get a salt ``0..S-1`` from a hash of the row, dimension rows
-  are replicated S times, and the join key is ``(key, salt)``; a hot key is
-  spread over S tasks.
+  raw side is split by the skew-join rule (supported for LEFT OUTER, and
+  active in stateless streaming micro-batches too).
+* ``salted``     -- for when AQE cannot help (AQE or its skew join off): raw
+  rows get a salt ``0..S-1`` from a hash of the row, dimension rows are
+  replicated S times (only for ``hot_keys`` if given), and the join key is
+  ``(key, salt)``; a hot key is spread over S tasks.
 
 Difference from the reference, by design: the dimension is whatever it is
 when the plan runs (for a stream: when the query starts), so there is no
@@ -130,7 +131,7 @@ def attach_enrichment(raw: DataFrame, dim: DataFrame, on: str = "data",
     if strategy == "auto":
         if broadcast_size_ok(lookup, ["_dim_value"], max_broadcast_rows, max_broadcast_bytes):
             strategy = "broadcast"
-        elif raw.isStreaming or not _aqe_skew_join_on(raw):
+        elif not _aqe_skew_join_on(raw):
             strategy = "salted"
         else:
             strategy = "shuffle"

@@ -98,12 +98,12 @@ def test_stream_static_plan_is_broadcast(spark, tmp, capsys):
 
 
 def test_stream_static_salted_join_matches_broadcast(spark, tmp, capsys):
-    # The path a too-big dimension takes in a stream (AQE is off there).
+    # The path a too-big dimension takes when AQE's skew join is off.
     events = load_table(spark, SF01, "events")
     dim = enrichment_updates(events, keep=("event_id",))
     events_as_raw(events).write.parquet(f"{tmp}/raw")
     stream = spark.readStream.schema("event_time bigint, data int").parquet(f"{tmp}/raw")
-    out = enrich(stream, dim, order=("timestamp", "event_id"), max_broadcast_rows=10,
+    out = enrich(stream, dim, order=("timestamp", "event_id"), strategy="salted",
                  salt_buckets=4)
     q = (out.writeStream.format("parquet").option("path", f"{tmp}/out")
          .option("checkpointLocation", f"{tmp}/ck").trigger(availableNow=True).start())
@@ -116,3 +116,18 @@ def test_stream_static_salted_join_matches_broadcast(spark, tmp, capsys):
     ref = enrich(events_as_raw(events), dim, order=("timestamp", "event_id"), strategy="broadcast")
     assert got.count() == 10_000
     assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
+
+
+def test_auto_picks_shuffle_join_for_big_dim_in_stream(spark, tmp, capsys):
+    raw_events(spark, 1000, 2, T0).write.parquet(f"{tmp}/raw")
+    stream = spark.readStream.schema("event_time bigint, data int").parquet(f"{tmp}/raw")
+    out = enrich(stream, enrichments(spark, 100, T0), max_broadcast_rows=10)
+    q = (out.writeStream.format("parquet").option("path", f"{tmp}/out")
+         .option("checkpointLocation", f"{tmp}/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    capsys.readouterr()
+    q.explain()
+    plan = capsys.readouterr().out
+    assert "AdaptiveSparkPlan" in plan and "_salt" not in plan
+    got = spark.read.parquet(f"{tmp}/out")
+    assert got.count() == 1000 and got.filter("enrichment is not null").count() == 100

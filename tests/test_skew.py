@@ -21,6 +21,36 @@ def _dim(spark, n=1000):
                                  F.concat(F.lit("v"), F.col("id").cast("string")).alias("enrichment"))
 
 
+SKEW_CONF = {
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+}
+
+
+def test_aqe_splits_hot_key_in_streaming_micro_batch(spark, tmp, capsys):
+    old = {k: spark.conf.get(k, None) for k in SKEW_CONF}
+    for k, v in SKEW_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        _skewed_raw(spark).write.parquet(f"{tmp}/raw")
+        stream = spark.readStream.schema("event_time bigint, data int").parquet(f"{tmp}/raw")
+        out = enrich(stream, _dim(spark), strategy="shuffle")
+        q = (out.writeStream.format("parquet").option("path", f"{tmp}/out")
+             .option("checkpointLocation", f"{tmp}/ck").trigger(availableNow=True).start())
+        q.awaitTermination()
+        capsys.readouterr()
+        q.explain()
+        plan = capsys.readouterr().out
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert "SortMergeJoin(skew=true)" in plan
+    assert spark.read.parquet(f"{tmp}/out").count() == 30_000
+
+
 def test_aqe_splits_hot_key_in_shuffle_join(spark):
     conf = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
