@@ -131,3 +131,31 @@ def test_incremental_schema_keeps_day_partition_string(spark, tmp):
     assert dict(df.dtypes)["partition"] == "string"
     s = read_incremental(spark, f"{tmp}/table")
     assert s.isStreaming and dict(s.dtypes)["partition"] == "string"
+
+
+def test_task_failure_mid_write_then_restart_is_exactly_once(spark, tmp):
+    from pyspark.errors import StreamingQueryException
+
+    from faults import failing_once
+
+    raw_events(spark, 1000, 2, T0).repartition(4).write.parquet(f"{tmp}/landing")
+    boom = failing_once(f"{tmp}/marker", fail_on=999)
+
+    def start():
+        raw = spark.readStream.schema("event_time bigint, data int").parquet(f"{tmp}/landing")
+        raw = raw.withColumn("data", boom("data"))
+        return build_writer(raw, enrichments(spark, 100, T0),
+                            append_sink(f"{tmp}/table", f"{tmp}/wck"))
+
+    q = start()
+    try:
+        q.awaitTermination()
+        failed = False
+    except StreamingQueryException:
+        failed = True
+    assert failed and os.path.exists(f"{tmp}/marker")
+    q2 = start()  # same checkpoint: batch 0 runs again
+    q2.awaitTermination()
+    df = read_snapshot(spark, f"{tmp}/table", require=True)
+    assert df.count() == 1000
+    assert df.select("key").distinct().count() == 1000
