@@ -77,3 +77,28 @@ def test_writer_file_sizing_options(spark, tmp, capsys):
              for f in os.listdir(f"{tmp}/table/{d}") if f.endswith(".parquet")]
     assert len(files) >= 20  # at most 100 rows per file
     assert read_snapshot(spark, f"{tmp}/table").count() == 2000
+
+
+def test_writer_and_reader_in_separate_applications(spark, tmp):
+    """The only link between writer and reader is the table folder."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    table = f"{tmp}/table"
+    rq = build_reader(spark, table, discard_sink(f"{tmp}/rck", trigger="1 second"), create=True)
+    n = 20_000
+    proc = subprocess.run(
+        [sys.executable, os.path.join(root, "jobs", "writer.py"), "--output-dir", table,
+         "--num-records", str(n), "--once", "--checkpoint", f"{tmp}/wck"],
+        capture_output=True, text=True, timeout=300,
+        env={**os.environ, "PYTHONPATH": root, "PYSPARK_SUBMIT_ARGS": "--master local[2] pyspark-shell"})
+    assert proc.returncode == 0, proc.stderr[-2000:]
+    assert f"{WRITTEN_COUNTER}={n}" in proc.stdout
+    counter = ProgressCounter(READ_COUNTER)
+    deadline = time.time() + 60
+    while counter.poll(rq) < n and time.time() < deadline:
+        time.sleep(0.5)
+    rq.stop()
+    assert counter.total == n
