@@ -35,6 +35,10 @@ from rivulet.streaming.watermark import with_enrichment_watermark
 RAW_PARALLELISM = 2
 TABLE_GRAIN = "day"  # minute grain on driver data = one folder per event
 HOT_KEY_SHARE = 0.01  # a user with 1% of all events is spread over salt groups
+# Bounded micro-batches when ``events`` is a folder of many files: a failed
+# batch re-runs only its share, and a keyed-state group holds at most its
+# share of one batch. Files are taken oldest first (arrival order).
+FILES_PER_TRIGGER = 64
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,7 +46,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table_stream(spark, sf_dir, "events")
+    return table_stream(spark, sf_dir, "events", max_files_per_trigger=FILES_PER_TRIGGER)
 
 
 def _await(query: StreamingQuery) -> StreamingQuery:
