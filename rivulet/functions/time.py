@@ -12,10 +12,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Partition value formats per grain (the reference uses the
-# minute grain, "yyyyMMdd-HHmm" in UTC).
+from rivulet.fixed import PARTITION_FORMAT
+
+# Partition value format per grain; the minute grain is the reference's.
 GRAIN_FORMATS = {
-    "minute": "yyyyMMdd-HHmm",
+    "minute": PARTITION_FORMAT,
     "hour": "yyyyMMdd-HH",
     "day": "yyyyMMdd",
 }

@@ -14,9 +14,7 @@ import threading
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-# Counter names of the writer and the reader.
-WRITTEN_COUNTER = "enriched-record-written-counter"
-READ_COUNTER = "enriched-record-read-counter"
+from rivulet.fixed import READ_COUNTER, WRITTEN_COUNTER  # noqa: F401  (re-exported)
 
 
 class RecordCounter:

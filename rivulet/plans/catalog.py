@@ -25,7 +25,8 @@ from rivulet.operators.metrics import READ_COUNTER, WRITTEN_COUNTER, ProgressCou
 from rivulet.plans.reader import build_reader
 from rivulet.plans.writer import build_writer
 from rivulet.session import scratch_path
-from rivulet.sources.generated import DEFAULT_T0_MS, NUM_ENRICHMENTS, enrichments, raw_from_ids
+from rivulet.fixed import NUM_ENRICHMENTS
+from rivulet.sources.generated import DEFAULT_T0_MS, enrichments, raw_from_ids
 from rivulet.sources.lake import read_snapshot
 from rivulet.sources.tables import enrichment_updates, events_as_raw, load_table, table_stream
 from rivulet.streaming.arrival import enrich_stateful, find_hot_keys

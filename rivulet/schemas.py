@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rivulet.fixed import PARTITION_COLUMN, RECORD_KEY_COLUMN  # noqa: F401  (re-exported)
+
 # Raw record: event time in epoch milliseconds (UTC) and an int payload.
 RAW = T.StructType(
     [
@@ -39,8 +41,6 @@ ENRICHED = T.StructType(
     ]
 )
 
-PARTITION_COLUMN = "partition"
-RECORD_KEY_COLUMN = "key"
 
 
 def _required(c: Column, name: str, dtype: T.DataType) -> Column:

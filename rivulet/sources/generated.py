@@ -9,15 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rivulet.fixed import ENRICHMENT_PREFIX, NUM_ENRICHMENTS, RAW_TIME_STEP_MS, RAW_TIME_STEPS
 from rivulet.schemas import ENRICHMENT, RAW, conform
 
-# Fixed values of the reference's generators: the raw source backs event time
-# off by 0..4 minutes in turn, the enrichment source makes 100 records whose
-# value is the text "Enrichment-" followed by the key.
-RAW_TIME_STEPS = 5
-RAW_TIME_STEP_MS = 60_000
-NUM_ENRICHMENTS = 100
-ENRICHMENT_PREFIX = "Enrichment-"
 
 DEFAULT_T0_MS = 1_700_000_000_000
 

@@ -18,10 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from rivulet.schemas import PARTITION_COLUMN
+from rivulet.fixed import DEFAULT_PARTITION_NAME, PARTITION_COLUMN
 
-# Fixed value: name used for a missing partition value.
-DEFAULT_PARTITION_NAME = "no_partition"
 
 Sink = Callable[[DataFrame], StreamingQuery]
 
