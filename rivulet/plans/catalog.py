@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rivulet.functions.keys import record_key
 from rivulet.functions.time import utc_bucket
+from rivulet.operators.arrival_bounded import enrich_arrival_bounded
 from rivulet.operators.enrich import enrich, latest_by_key, to_enriched
 from rivulet.operators.metrics import READ_COUNTER, WRITTEN_COUNTER, ProgressCounter
 from rivulet.plans.reader import build_reader
@@ -168,6 +169,16 @@ def q_enrich_arrival_order(spark, sf_dir):
     return read_snapshot(spark, table, require=True)
 
 
+def q_enrich_arrival_order_bounded(spark, sf_dir):
+    """The same enrichment as ``enrich_arrival_order`` on the table as a
+    whole (T4): Catalyst windows over arrival blocks, no Python."""
+    events = _events(spark, sf_dir)
+    out = enrich_arrival_bounded(events_as_raw(events, keep=("event_id",)),
+                                 enrichment_updates(events, keep=("event_id",)),
+                                 "event_id", enrichment_first_on_tie=False)
+    return to_enriched(out, grain="minute")
+
+
 def q_enrichment_watermark(spark, sf_dir):
     upd = with_enrichment_watermark(enrichment_updates(_events_stream(spark, sf_dir)))
     path = scratch_path(spark, "watermarked")
@@ -191,6 +202,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "count_written": q_count_written,
     "count_read": q_count_read,
     "enrich_arrival_order": q_enrich_arrival_order,
+    "enrich_arrival_order_bounded": q_enrich_arrival_order_bounded,
     "enrichment_watermark": q_enrichment_watermark,
 }
 
@@ -249,6 +261,12 @@ ORACLE_SQL: dict[str, str] = {
         " CAST(epoch_us(ts) // 1000 AS VARCHAR) || '|' || CAST(CAST(user_id AS INTEGER) AS VARCHAR)"
         " AS key, strftime(make_timestamp((epoch_us(ts) // 1000) * 1000), '%Y%m%d')"
         " AS partition FROM events"),
+    "enrich_arrival_order_bounded": (
+        "SELECT epoch_us(ts) // 1000 AS event_time, CAST(user_id AS INTEGER) AS data,"
+        " lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS enrichment,"
+        " CAST(epoch_us(ts) // 1000 AS VARCHAR) || '|' || CAST(CAST(user_id AS INTEGER) AS VARCHAR)"
+        " AS key, strftime(make_timestamp((epoch_us(ts) // 1000) * 1000), '%Y%m%d-%H%M')"
+        " AS partition FROM events"),
     "enrichment_watermark": ("SELECT epoch_us(ts) // 1000 AS timestamp, CAST(user_id AS INTEGER)"
                              " AS key, event_type AS enrichment FROM events"),
 }

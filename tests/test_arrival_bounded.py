@@ -1,0 +1,58 @@
+"""J3 on bounded input (T4): the Catalyst-only form agrees with the stream."""
+
+import pytest
+from conftest import SF001
+
+from rivulet.operators.arrival_bounded import enrich_arrival_bounded
+from rivulet.sources import enrichment_updates, events_as_raw, load_table
+
+RAW_A = "event_time bigint, data int, arrival bigint"
+ENR_A = "timestamp bigint, key int, enrichment string, arrival bigint"
+
+
+def _run(spark, raws, enrs, first=True, width=1 << 20):
+    out = enrich_arrival_bounded(spark.createDataFrame(raws, RAW_A),
+                                 spark.createDataFrame(enrs, ENR_A), "arrival", first, width)
+    return sorted(tuple(r) for r in out.collect())
+
+
+@pytest.mark.parametrize("width", [1, 2, 1 << 20])
+def test_arrival_script(spark, width):
+    # FIXTURES arrival_script with the steps numbered as arrivals.
+    raws = [(10, 1, 1), (11, 1, 3), (12, 2, 3), (13, 1, 5)]
+    enrs = [(5, 1, "v1", 2), (6, 1, "v2", 4)]
+    assert _run(spark, raws, enrs, width=width) == [
+        (10, 1, None), (11, 1, "v1"), (12, 2, None), (13, 1, "v2")]
+
+
+def test_ties(spark):
+    raws, enrs = [(10, 1, 7)], [(5, 1, "v1", 7)]
+    assert _run(spark, raws, enrs, first=True) == [(10, 1, "v1")]
+    assert _run(spark, raws, enrs, first=False) == [(10, 1, None)]
+
+
+@pytest.mark.parametrize("width", [1, 1 << 20])
+def test_null_value_overrides_and_null_keys_never_match(spark, width):
+    raws = [(1, 1, 2), (2, 1, 4), (3, None, 5)]
+    enrs = [(0, 1, "a", 1), (0, 1, None, 3), (0, None, "ghost", 0)]
+    assert _run(spark, raws, enrs, width=width) == [(1, 1, "a"), (2, 1, None), (3, None, None)]
+
+
+def test_matches_streaming_operator(spark, tmp):
+    from rivulet.streaming.arrival import enrich_stateful
+
+    events = load_table(spark, SF001, "events")
+    raw = events_as_raw(events, keep=("event_id",))
+    upd = enrichment_updates(events, keep=("event_id",))
+    stream = spark.readStream.schema(events.schema) \
+        .option("pathGlobFilter", "events.parquet").parquet(SF001)
+    q = (enrich_stateful(events_as_raw(stream, keep=("event_id",)),
+                         enrichment_updates(stream, keep=("event_id",)),
+                         arrival_col="event_id", enrichment_first_on_tie=False)
+         .writeStream.format("parquet").option("path", f"{tmp}/s")
+         .option("checkpointLocation", f"{tmp}/c").trigger(availableNow=True).start())
+    q.awaitTermination()
+    streamed = sorted(tuple(r) for r in spark.read.parquet(f"{tmp}/s").collect())
+    for width in (7, 100, 1 << 20):  # many blocks per user ... one block
+        got = enrich_arrival_bounded(raw, upd, "event_id", False, width)
+        assert sorted(tuple(r) for r in got.collect()) == streamed
