@@ -2,7 +2,6 @@
 
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql.utils import AnalysisException  # noqa: F401
 
 from rivulet.schemas import ENRICHED, RAW, conform
 
