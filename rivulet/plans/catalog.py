@@ -29,13 +29,14 @@ from rivulet.session import scratch_path
 from rivulet.sources.generated import DEFAULT_T0_MS, enrichments, raw_from_ids
 from rivulet.sources.lake import read_snapshot
 from rivulet.sources.tables import enrichment_updates, events_as_raw, load_table, table_stream
-from rivulet.streaming.arrival import enrich_stateful, find_hot_keys
+from rivulet.streaming.arrival import enrich_stateful, plan_state_layout
 from rivulet.streaming.sinks import append_sink, discard_sink
 from rivulet.streaming.watermark import with_enrichment_watermark
 
 RAW_PARALLELISM = 2
 TABLE_GRAIN = "day"  # minute grain on driver data = one folder per event
 HOT_KEY_SHARE = 0.01  # a user with 1% of all events is spread over salt groups
+KEYS_PER_GROUP = 64  # users per key group of the arrival-order state
 # Bounded micro-batches when ``events`` is a folder of many files: a failed
 # batch re-runs only its share, and a keyed-state group holds at most its
 # share of one batch. Files are taken oldest first (arrival order).
@@ -154,14 +155,18 @@ def q_enrich_arrival_order(spark, sf_dir):
     """Each event enriched with the type of the same user's previous event
     in arrival (``event_id``) order, by the keyed-state stream operator.
 
-    Users holding at least ``HOT_KEY_SHARE`` of the events are found first
-    (an exact count, a bounded list) and only they are salted."""
-    hot = find_hot_keys(events_as_raw(_events(spark, sf_dir)), "data", HOT_KEY_SHARE)
+    One per-user count of the table first gives the state layout: users
+    holding at least ``HOT_KEY_SHARE`` of the events (a bounded list) are
+    salted, and users are hashed into key groups of about
+    ``KEYS_PER_GROUP``, so per-group overhead is paid per group, not per user."""
+    min_groups = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hot, groups = plan_state_layout(events_as_raw(_events(spark, sf_dir)), "data",
+                                    HOT_KEY_SHARE, KEYS_PER_GROUP, min_groups)
     stream = _events_stream(spark, sf_dir)
     raw = events_as_raw(stream, keep=("event_id",))
     upd = enrichment_updates(stream, keep=("event_id",))
     out = enrich_stateful(raw, upd, arrival_col="event_id", enrichment_first_on_tie=False,
-                          hot_keys=hot)
+                          hot_keys=hot, key_groups=groups)
     table = scratch_path(spark, "arrival")
     _await(append_sink(table, scratch_path(spark, "arrival-ckpt"), trigger="available_now")(
         to_enriched(out, grain=TABLE_GRAIN)))

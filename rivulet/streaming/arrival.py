@@ -63,6 +63,104 @@ _OUT_SCHEMA = T.StructType([
 ])
 
 
+# Key-group state: the latest enrichment of every key of one group, as
+# parallel arrays sorted by key.
+_GROUP_STATE_SCHEMA = T.StructType([
+    T.StructField("keys", T.ArrayType(T.IntegerType(), False), False),
+    T.StructField("enrichments", T.ArrayType(T.StringType(), True), False),
+    T.StructField("timestamps", T.ArrayType(T.LongType(), False), False),
+    T.StructField("arrivals", T.ArrayType(T.LongType(), False), False),
+])
+
+
+def _key_group_fn(ordered: bool, enrichment_first_on_tie: bool):
+    """Per ``(key group, salt)``: the same lookups for many keys at once.
+
+    Rows are sorted by (key, order); inside each key's run the last
+    enrichment at or before a row is found with one running maximum, and a
+    row with none takes the key's stored value.
+    """
+
+    def fn(group, chunks: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        parts = list(chunks)
+        pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+        if pdf.empty:
+            return
+        is_enr = pdf["is_enrichment"].to_numpy(dtype=bool)
+        if group[0] is None or pd.isna(group[0]):  # null keys: nothing can match
+            raw = ~is_enr
+            if raw.any():
+                yield pd.DataFrame({"event_time": pdf["event_time"][raw].astype("Int64").to_numpy(),
+                                    "data": pd.array([None] * int(raw.sum()), dtype="Int32"),
+                                    "enrichment": np.full(int(raw.sum()), None, dtype=object)})
+            return
+        keys = pdf["k"].to_numpy(dtype=np.int64)
+        values = pdf["enrichment"].to_numpy(dtype=object)
+        stamps = pdf["timestamp"].to_numpy()
+        arrivals = pdf["arrival"].to_numpy()
+        event_time = pdf["event_time"]
+        if ordered:
+            tie = np.where(is_enr, 0, 1) if enrichment_first_on_tie else np.where(is_enr, 1, 0)
+            order = np.lexsort((tie, arrivals, keys))
+        else:
+            # Enrichments first, newest timestamp last; then the raw rows.
+            phase = np.where(is_enr, 0, 1)
+            order = np.lexsort((arrivals, stamps, phase, keys))
+        is_enr, keys, values = is_enr[order], keys[order], values[order]
+        stamps, arrivals, event_time = stamps[order], arrivals[order], event_time.iloc[order]
+
+        n = len(keys)
+        idx = np.arange(n)
+        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        run_start = np.maximum.accumulate(np.where(np.r_[True, keys[1:] != keys[:-1]], idx, 0))
+        # Earlier runs only ever contribute values below run_start.
+        last = np.maximum.accumulate(np.where(is_enr, idx, run_start - 1))
+        in_run = last >= run_start
+
+        if state.exists:
+            st_keys, st_vals, st_ts, st_arr = state.get
+            st_keys = np.asarray(st_keys, dtype=np.int64)
+            st_vals = np.asarray(st_vals, dtype=object)
+            st_ts = np.asarray(st_ts, dtype=np.int64)
+            st_arr = np.asarray(st_arr, dtype=np.int64)
+        else:
+            st_keys = np.empty(0, np.int64)
+            st_vals = np.empty(0, object)
+            st_ts = np.empty(0, np.int64)
+            st_arr = np.empty(0, np.int64)
+        fallback = np.full(n, None, dtype=object)
+        if len(st_keys):
+            j = np.minimum(np.searchsorted(st_keys, keys), len(st_keys) - 1)
+            hit = st_keys[j] == keys
+            fallback[hit] = st_vals[j[hit]]
+        looked_up = np.where(in_run, values[np.maximum(last, 0)], fallback)
+
+        ends = np.r_[starts[1:] - 1, n - 1]
+        has = last[ends] >= starts
+        if has.any():
+            src = last[ends][has]
+            upd_keys = keys[src]
+            keep = ~np.isin(st_keys, upd_keys)
+            new_keys = np.concatenate([st_keys[keep], upd_keys])
+            by_key = np.argsort(new_keys, kind="stable")
+            state.update((
+                new_keys[by_key].tolist(),
+                np.concatenate([st_vals[keep], values[src]])[by_key].tolist(),
+                np.concatenate([st_ts[keep], stamps[src].astype(np.int64)])[by_key].tolist(),
+                np.concatenate([st_arr[keep], arrivals[src].astype(np.int64)])[by_key].tolist(),
+            ))
+
+        raw = ~is_enr
+        if raw.any():
+            yield pd.DataFrame({
+                "event_time": event_time[raw].astype("Int64").to_numpy(),
+                "data": pd.array(keys[raw].astype(np.int32), dtype="Int32"),
+                "enrichment": looked_up[raw],
+            })
+
+    return fn
+
+
 def _arrival_order_fn(ordered: bool, enrichment_first_on_tie: bool):
     """Per ``(key, salt)`` group: look up enrichments, update the state."""
 
@@ -133,17 +231,29 @@ def find_hot_keys(df: DataFrame, key_col: str, min_share: float = 0.01) -> list:
     One distributed count per key; at most ``1 / min_share`` keys can pass
     the filter, so the list brought to the driver has a proven size bound.
     """
-    total = df.count()
-    if total == 0:
-        return []
-    hot = (df.groupBy(key_col).count()
-           .filter(F.col("count") >= F.lit(min_share * total))
-           .filter(F.col(key_col).isNotNull()))
-    return sorted(r[0] for r in hot.select(key_col).collect())
+    return plan_state_layout(df, key_col, min_share)[0]
+
+
+def plan_state_layout(df: DataFrame, key_col: str, min_share: float = 0.01,
+                      keys_per_group: int = 64, min_groups: int = 1) -> tuple[list, int]:
+    """``(hot_keys, key_groups)`` for ``enrich_stateful`` from one per-key
+    count of ``df`` (e.g. the history of the raw stream).
+
+    Only two numbers and at most ``1 / min_share`` hot keys reach the
+    driver. ``key_groups`` gives about ``keys_per_group`` keys per group.
+    """
+    counts = df.filter(F.col(key_col).isNotNull()).groupBy(key_col).count()
+    stats = counts.agg(F.count(F.lit(1)).alias("keys"), F.sum("count").alias("rows")).first()
+    n_keys, n_rows = int(stats["keys"] or 0), int(stats["rows"] or 0)
+    groups = max(int(min_groups), -(-n_keys // int(keys_per_group)), 1)
+    if n_rows == 0:
+        return [], groups
+    hot = counts.filter(F.col("count") >= F.lit(min_share * n_rows)).select(key_col)
+    return sorted(r[0] for r in hot.collect()), groups
 
 
 def _tagged_union(raw: DataFrame, enr: DataFrame, arrival_col: str | None,
-                  salt_buckets: int, hot_keys=None) -> DataFrame:
+                  salt_buckets: int, hot_keys=None, key_groups: int | None = None) -> DataFrame:
     """One stream of both inputs: (gkey, salt, is_enrichment, arrival,
     event_time, timestamp, enrichment). Unused fields are 0, not null, so
     the integer columns reach pandas as integers."""
@@ -160,8 +270,15 @@ def _tagged_union(raw: DataFrame, enr: DataFrame, arrival_col: str | None,
         hot_enr = F.col("key").cast("int").isin(list(hot_keys)) if hot_keys else F.lit(False)
         raw_salt = F.when(hot_raw, raw_salt).otherwise(F.lit(0))
         replicas = F.when(hot_enr, replicas).otherwise(F.array(F.lit(0)))
+    def group_of(k):
+        if not key_groups:
+            return k.alias("gkey")
+        return F.when(k.isNotNull(), F.pmod(F.xxhash64(k), F.lit(int(key_groups))).cast("int")) \
+            .alias("gkey")
+
     raw_t = raw.select(
-        F.col("data").cast("int").alias("gkey"),
+        group_of(F.col("data").cast("int")),
+        F.col("data").cast("int").alias("k"),
         _salt(raw_salt),
         F.lit(False).alias("is_enrichment"),
         arrival.alias("arrival"),
@@ -174,7 +291,8 @@ def _tagged_union(raw: DataFrame, enr: DataFrame, arrival_col: str | None,
     enr_t = (enr.filter(F.col("key").isNotNull())
              .withColumn("_replica", F.explode(replicas))
              .select(
-                 F.col("key").cast("int").alias("gkey"),
+                 group_of(F.col("key").cast("int")),
+                 F.col("key").cast("int").alias("k"),
                  _salt(F.col("_replica")),
                  F.lit(True).alias("is_enrichment"),
                  arrival.alias("arrival"),
@@ -189,7 +307,7 @@ def _tagged_union(raw: DataFrame, enr: DataFrame, arrival_col: str | None,
 def enrich_stateful(raw: DataFrame, enrichments: DataFrame, arrival_col: str | None = None,
                     enrichment_first_on_tie: bool = True,
                     salt_buckets: int = DEFAULT_STATE_SALT_BUCKETS,
-                    hot_keys=None) -> DataFrame:
+                    hot_keys=None, key_groups: int | None = None) -> DataFrame:
     """RAW stream + ENRICHMENT stream -> (event_time, data, enrichment) in
     arrival order; add key and partition with ``operators.to_enriched``.
 
@@ -199,14 +317,28 @@ def enrich_stateful(raw: DataFrame, enrichments: DataFrame, arrival_col: str | N
     ``hot_keys=None`` spreads every key over ``salt_buckets`` groups. A list
     (e.g. from ``find_hot_keys`` over history) spreads only those keys and
     keeps every other key in one group, saving the replication of their
-    enrichments. The salting is part of the state layout: keep
-    ``salt_buckets`` and ``hot_keys`` fixed for the life of a checkpoint.
+    enrichments.
+
+    ``key_groups=None`` keeps one state group per key. ``key_groups=B``
+    hashes keys into B groups whose state holds all their keys' values as
+    arrays: far fewer groups (PySpark's per-group cost is ~2 ms), at the price
+    of rewriting a group's arrays when any of its keys changes -- choose B so
+    a group holds tens to hundreds of keys.
+
+    Salting and key groups are part of the state layout: keep
+    ``salt_buckets``, ``hot_keys`` and ``key_groups`` fixed for the life of a
+    checkpoint.
     """
-    tagged = _tagged_union(raw, enrichments, arrival_col, salt_buckets, hot_keys)
+    tagged = _tagged_union(raw, enrichments, arrival_col, salt_buckets, hot_keys, key_groups)
+    ordered = arrival_col is not None
+    if key_groups:
+        fn, state_schema = _key_group_fn(ordered, enrichment_first_on_tie), _GROUP_STATE_SCHEMA
+    else:
+        fn, state_schema = _arrival_order_fn(ordered, enrichment_first_on_tie), _STATE_SCHEMA
     return tagged.groupBy("gkey", "salt").applyInPandasWithState(
-        _arrival_order_fn(arrival_col is not None, enrichment_first_on_tie),
+        fn,
         outputStructType=_OUT_SCHEMA,
-        stateStructType=_STATE_SCHEMA,
+        stateStructType=state_schema,
         outputMode="append",
         timeoutConf=GroupStateTimeout.NoTimeout,
     )

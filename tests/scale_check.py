@@ -20,7 +20,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from rivulet.operators import enrich, enrich_arrival_bounded  # noqa: E402
 from rivulet.session import local_session, scratch_path  # noqa: E402
 from rivulet.sources import enrichments  # noqa: E402
-from rivulet.streaming.arrival import enrich_stateful, find_hot_keys  # noqa: E402
+from rivulet.streaming.arrival import enrich_stateful, plan_state_layout  # noqa: E402
 
 HOT = 7
 
@@ -57,18 +57,20 @@ def main() -> None:
         print(json.dumps({"op": name, "rows": n, "sec": round(sec, 2),
                           "rows_per_sec": round(n / sec)}), flush=True)
 
-    t = time.perf_counter()
-    hot = find_hot_keys(ev, "data", 0.01)
-    stream = spark.readStream.schema(ev.schema).parquet(f"{base}/events")
-    out = enrich_stateful(stream.select("event_time", "data", "event_id"), updates(stream),
-                          arrival_col="event_id", enrichment_first_on_tie=False,
-                          salt_buckets=8, hot_keys=hot)
-    q = (out.writeStream.format("noop").option("checkpointLocation", f"{base}/ck")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    sec = time.perf_counter() - t
-    print(json.dumps({"op": "arrival_stream_one_batch", "rows": n, "hot_keys": hot,
-                      "sec": round(sec, 2), "rows_per_sec": round(n / sec)}), flush=True)
+    hot, groups = plan_state_layout(ev, "data", 0.01, keys_per_group=64)
+    for layout, key_groups in (("per_key", None), ("key_groups", groups)):
+        t = time.perf_counter()
+        stream = spark.readStream.schema(ev.schema).parquet(f"{base}/events")
+        out = enrich_stateful(stream.select("event_time", "data", "event_id"), updates(stream),
+                              arrival_col="event_id", enrichment_first_on_tie=False,
+                              salt_buckets=8, hot_keys=hot, key_groups=key_groups)
+        q = (out.writeStream.format("noop").option("checkpointLocation", f"{base}/ck-{layout}")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+        sec = time.perf_counter() - t
+        print(json.dumps({"op": f"arrival_stream_one_batch_{layout}", "rows": n,
+                          "hot_keys": hot, "key_groups": key_groups, "sec": round(sec, 2),
+                          "rows_per_sec": round(n / sec)}), flush=True)
 
 
 if __name__ == "__main__":

@@ -14,8 +14,9 @@ from rivulet.streaming.arrival import enrich_stateful
 class Script:
     """Raw and enrichment landing folders; each step lands one file."""
 
-    def __init__(self, spark, tmp, salt_buckets=4, raw_udf=None):
+    def __init__(self, spark, tmp, salt_buckets=4, raw_udf=None, key_groups=None):
         self.spark, self.tmp, self.salts, self.raw_udf = spark, tmp, salt_buckets, raw_udf
+        self.key_groups = key_groups
         os.makedirs(f"{tmp}/raw", exist_ok=True)
         os.makedirs(f"{tmp}/enr", exist_ok=True)
         self.q = None
@@ -25,7 +26,7 @@ class Script:
         if self.raw_udf is not None:
             raw = raw.withColumn("event_time", self.raw_udf("event_time").cast("bigint"))
         enr = self.spark.readStream.schema(ENRICHMENT).parquet(f"{self.tmp}/enr")
-        out = enrich_stateful(raw, enr, salt_buckets=self.salts)
+        out = enrich_stateful(raw, enr, salt_buckets=self.salts, key_groups=self.key_groups)
         self.q = (out.writeStream.format("parquet").option("path", f"{self.tmp}/out")
                   .option("checkpointLocation", f"{self.tmp}/ck").start())
         return self
@@ -47,9 +48,10 @@ class Script:
                       .select("event_time", "data", "enrichment").collect())
 
 
-def test_arrival_script(spark, tmp):
+@pytest.mark.parametrize("groups", [None, 2])
+def test_arrival_script(spark, tmp, groups):
     # FIXTURES arrival_script, one step per micro-batch.
-    s = Script(spark, tmp).start()
+    s = Script(spark, tmp, key_groups=groups).start()
     s.land(raws=[(10, 1)])
     s.land(enrs=[(5, 1, "v1")])
     s.land(raws=[(11, 1), (12, 2)])
@@ -59,9 +61,10 @@ def test_arrival_script(spark, tmp):
     assert s.rows() == [(10, 1, None), (11, 1, "v1"), (12, 2, None), (13, 1, "v2")]
 
 
-def test_same_batch_applies_enrichments_first(spark, tmp):
+@pytest.mark.parametrize("groups", [None, 2])
+def test_same_batch_applies_enrichments_first(spark, tmp, groups):
     # FIXTURES arrival_same_batch: enr(5,1,v1) and raw(10,1) in one batch.
-    s = Script(spark, tmp)
+    s = Script(spark, tmp, key_groups=groups)
     # Both files land before the query starts, so they share batch 0.
     spark.createDataFrame([(5, 1, "v1")], ENRICHMENT).coalesce(1).write.mode("append") \
         .parquet(f"{tmp}/enr")
@@ -72,8 +75,9 @@ def test_same_batch_applies_enrichments_first(spark, tmp):
     assert s.rows() == [(10, 1, "v1")]
 
 
-def test_later_batch_wins_over_newer_timestamp(spark, tmp):
-    s = Script(spark, tmp).start()
+@pytest.mark.parametrize("groups", [None, 2])
+def test_later_batch_wins_over_newer_timestamp(spark, tmp, groups):
+    s = Script(spark, tmp, key_groups=groups).start()
     s.land(enrs=[(100, 1, "new")])
     s.land(enrs=[(1, 1, "older-but-later")])
     s.land(raws=[(20, 1)])
@@ -81,25 +85,26 @@ def test_later_batch_wins_over_newer_timestamp(spark, tmp):
     assert s.rows() == [(20, 1, "older-but-later")]
 
 
-def test_state_survives_restart(spark, tmp):
-    s = Script(spark, tmp).start()
+@pytest.mark.parametrize("groups", [None, 2])
+def test_state_survives_restart(spark, tmp, groups):
+    s = Script(spark, tmp, key_groups=groups).start()
     s.land(enrs=[(5, 1, "v1")])
     s.stop()
-    s2 = Script(spark, tmp).start()  # same checkpoint
+    s2 = Script(spark, tmp, key_groups=groups).start()  # same checkpoint
     s2.land(raws=[(10, 1)])
     s2.stop()
     assert s2.rows() == [(10, 1, "v1")]
 
 
-@pytest.mark.parametrize("salts", [1, 3])
-def test_arrival_column_matches_lag(spark, tmp, salts):
+@pytest.mark.parametrize("salts,groups", [(1, None), (3, None), (1, 5), (3, 5)])
+def test_arrival_column_matches_lag(spark, tmp, salts, groups):
     events = load_table(spark, SF001, "events")
     stream = spark.readStream.schema(events.schema).option("pathGlobFilter", "events.parquet") \
         .parquet(SF001)
     out = enrich_stateful(events_as_raw(stream, keep=("event_id",)),
                           enrichment_updates(stream, keep=("event_id",)),
                           arrival_col="event_id", enrichment_first_on_tie=False,
-                          salt_buckets=salts)
+                          salt_buckets=salts, key_groups=groups)
     q = (to_enriched(out, grain="day").writeStream.format("parquet")
          .option("path", f"{tmp}/out").option("checkpointLocation", f"{tmp}/ck")
          .trigger(availableNow=True).start())
@@ -115,8 +120,9 @@ def test_arrival_column_matches_lag(spark, tmp, salts):
     assert all(got[(r.event_time, r.data)] == r.prev for r in joined)
 
 
-def test_null_keys_never_match(spark, tmp):
-    s = Script(spark, tmp).start()
+@pytest.mark.parametrize("groups", [None, 2])
+def test_null_keys_never_match(spark, tmp, groups):
+    s = Script(spark, tmp, key_groups=groups).start()
     spark.createDataFrame([(5, None, "ghost"), (6, 1, "v1")],
                           "timestamp bigint, key int, enrichment string").coalesce(1) \
         .write.mode("append").parquet(f"{tmp}/enr")
@@ -132,19 +138,19 @@ def test_null_keys_never_match(spark, tmp):
 def test_selective_salting_gives_same_result(spark, tmp):
     events = load_table(spark, SF001, "events")
     results = []
-    for i, hot in enumerate([None, [3], []]):
+    for i, (hot, groups) in enumerate([(None, None), ([3], None), ([], None), ([3], 4)]):
         stream = spark.readStream.schema(events.schema) \
             .option("pathGlobFilter", "events.parquet").parquet(SF001)
         out = enrich_stateful(events_as_raw(stream, keep=("event_id",)),
                               enrichment_updates(stream, keep=("event_id",)),
                               arrival_col="event_id", enrichment_first_on_tie=False,
-                              salt_buckets=4, hot_keys=hot)
+                              salt_buckets=4, hot_keys=hot, key_groups=groups)
         q = (out.writeStream.format("parquet").option("path", f"{tmp}/o{i}")
              .option("checkpointLocation", f"{tmp}/c{i}").trigger(availableNow=True).start())
         q.awaitTermination()
         results.append(sorted(tuple(r) for r in spark.read.parquet(f"{tmp}/o{i}").collect()))
     assert len(results[0]) == 1000
-    assert results[0] == results[1] == results[2]
+    assert results[0] == results[1] == results[2] == results[3]
 
 
 def test_failed_batch_rerun_keeps_state_exact(spark, tmp):

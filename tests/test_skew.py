@@ -114,3 +114,13 @@ def test_salted_join_with_hot_key_list(spark):
                  hot_keys=[HOT])
     rows = out.collect()
     assert len(rows) == 30_000 and all(r.enrichment == f"v{r.data}" for r in rows)
+
+
+def test_plan_state_layout(spark):
+    from rivulet.streaming.arrival import plan_state_layout
+
+    raw = _skewed_raw(spark)
+    hot, groups = plan_state_layout(raw, "data", min_share=0.05, keys_per_group=64)
+    assert hot == [HOT]
+    assert groups == -(-1000 // 64)  # 1,000 distinct keys
+    assert plan_state_layout(raw.limit(0), "data", min_groups=8) == ([], 8)
