@@ -23,11 +23,18 @@ recommended, see ``session.RECOMMENDED_CONF``), so unlike the reference,
 enrichments survive a restart (J4).
 
 Hot keys: a raw row's salt comes from a hash of the row, and each enrichment
-row is replicated to all ``salt_buckets`` salts. Every ``(key, salt)``
-group therefore sees every enrichment of its key and 1/S of its raw rows, so
-the state stays identical across salts while one key's raw rows are spread
-over S groups (and tasks). The micro-batch size is bounded by the source
-(``maxFilesPerTrigger``); one group buffers only its share of one batch.
+row is replicated to all ``salt_buckets`` salts (all keys, or only
+``hot_keys``). Every ``(key, salt)`` group therefore sees every enrichment of
+its key and 1/S of its raw rows, so the state stays identical across salts
+while one key's raw rows are spread over S groups (and tasks). The
+micro-batch size is bounded by the source (``maxFilesPerTrigger``); one group
+buffers only its share of one batch.
+
+Key groups: with ``key_groups=B`` the grouping key is a hash of the key into
+B groups; a group's state holds the latest enrichment of each of its keys as
+sorted arrays, and its rows are handled as vectorized runs per key. This
+pays PySpark's per-group cost once per group instead of once per key.
+``plan_state_layout`` chooses hot keys and B from one per-key count.
 """
 
 from __future__ import annotations
@@ -45,7 +52,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 from pyspark import cloudpickle
 
 # The group function runs in Python workers, which may not have this package on
-# their path: ship this module's code inside the pickled processor.
+# their path: ship this module's code inside the pickled function.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 DEFAULT_STATE_SALT_BUCKETS = 4
