@@ -8,7 +8,7 @@ stream-stream outer join is not this (it needs watermarks and waits).
 Spark plan: both streams are unioned into one tagged stream, grouped by
 ``(key, salt)`` and run through ``applyInPandasWithState`` (Arrow batches
 sliced per group; no per-row Python on the way in). The state
-per group is the latest enrichment (value, timestamp, arrival). Inside a
+per key is its latest enrichment (value, timestamp, arrival). Inside a
 micro-batch the order is:
 
 * with ``arrival_col``: rows are put in arrival order (ties: enrichments
@@ -57,12 +57,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 DEFAULT_STATE_SALT_BUCKETS = 4
 
-_STATE_SCHEMA = T.StructType([
-    T.StructField("enrichment", T.StringType(), True),
-    T.StructField("timestamp", T.LongType(), True),
-    T.StructField("arrival", T.LongType(), True),
-])
-
 _OUT_SCHEMA = T.StructType([
     T.StructField("event_time", T.LongType(), True),
     T.StructField("data", T.IntegerType(), True),
@@ -70,9 +64,9 @@ _OUT_SCHEMA = T.StructType([
 ])
 
 
-# Key-group state: the latest enrichment of every key of one group, as
-# parallel arrays sorted by key.
-_GROUP_STATE_SCHEMA = T.StructType([
+# State of one group: the latest enrichment of each of its keys, as parallel
+# arrays sorted by key (one key per group unless key groups are used).
+_STATE_SCHEMA = T.StructType([
     T.StructField("keys", T.ArrayType(T.IntegerType(), False), False),
     T.StructField("enrichments", T.ArrayType(T.StringType(), True), False),
     T.StructField("timestamps", T.ArrayType(T.LongType(), False), False),
@@ -80,8 +74,8 @@ _GROUP_STATE_SCHEMA = T.StructType([
 ])
 
 
-def _key_group_fn(ordered: bool, enrichment_first_on_tie: bool):
-    """Per ``(key group, salt)``: the same lookups for many keys at once.
+def _lookup_fn(ordered: bool, enrichment_first_on_tie: bool):
+    """Per ``(group, salt)``: the lookups of all keys of the group at once.
 
     Rows are sorted by (key, order); inside each key's run the last
     enrichment at or before a row is found with one running maximum, and a
@@ -168,61 +162,6 @@ def _key_group_fn(ordered: bool, enrichment_first_on_tie: bool):
     return fn
 
 
-def _arrival_order_fn(ordered: bool, enrichment_first_on_tie: bool):
-    """Per ``(key, salt)`` group: look up enrichments, update the state."""
-
-    def fn(key, chunks: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        parts = list(chunks)
-        pdf = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-        if pdf.empty:
-            return
-        stored = state.get if state.exists else None  # (enrichment, timestamp, arrival)
-        is_enr = pdf["is_enrichment"].to_numpy(dtype=bool)
-        values = pdf["enrichment"].to_numpy(dtype=object)
-        stamps = pdf["timestamp"].to_numpy()
-        arrivals = pdf["arrival"].to_numpy()
-        event_time = pdf["event_time"]  # may hold nulls: keep the Series
-        new_state = None
-
-        if ordered:
-            # Arrival order; at equal arrival, enrichments first (or last).
-            tie = np.where(is_enr, 0, 1) if enrichment_first_on_tie else np.where(is_enr, 1, 0)
-            order = np.lexsort((tie, arrivals))
-            is_enr, values, stamps, arrivals = is_enr[order], values[order], stamps[order], arrivals[order]
-            event_time = event_time.iloc[order]
-            # Position of the last enrichment at or before each row.
-            last = np.maximum.accumulate(np.where(is_enr, np.arange(len(is_enr)), -1))
-            fallback = stored[0] if stored is not None else None
-            looked_up = np.where(last >= 0, values[np.maximum(last, 0)], fallback)
-            if is_enr.any():
-                i = int(np.flatnonzero(is_enr)[-1])
-                new_state = (values[i], int(stamps[i]), int(arrivals[i]))
-        else:
-            # No order inside the batch: enrichments first, newest timestamp
-            # wins (arrival breaks ties), then the raw rows see the result.
-            if is_enr.any():
-                idx = np.flatnonzero(is_enr)
-                i = int(idx[np.lexsort((arrivals[idx], stamps[idx]))[-1]])
-                new_state = (values[i], int(stamps[i]), int(arrivals[i]))
-            current = new_state if new_state is not None else stored
-            looked_up = np.full(len(is_enr), current[0] if current is not None else None,
-                                dtype=object)
-
-        if new_state is not None:
-            state.update(new_state)
-        raw = ~is_enr
-        n_raw = int(raw.sum())
-        if n_raw:
-            # ``data`` is the group key itself (null data: null key).
-            yield pd.DataFrame({
-                "event_time": event_time[raw].astype("Int64").to_numpy(),
-                "data": pd.array([key[0]] * n_raw, dtype="Int32"),
-                "enrichment": looked_up[raw],
-            })
-
-    return fn
-
-
 def _salt(c):
     # Non-nullable on both sides, whatever a side's plan is in a batch: the
     # grouping key schema is checked against the state store on restart.
@@ -337,15 +276,10 @@ def enrich_stateful(raw: DataFrame, enrichments: DataFrame, arrival_col: str | N
     checkpoint.
     """
     tagged = _tagged_union(raw, enrichments, arrival_col, salt_buckets, hot_keys, key_groups)
-    ordered = arrival_col is not None
-    if key_groups:
-        fn, state_schema = _key_group_fn(ordered, enrichment_first_on_tie), _GROUP_STATE_SCHEMA
-    else:
-        fn, state_schema = _arrival_order_fn(ordered, enrichment_first_on_tie), _STATE_SCHEMA
     return tagged.groupBy("gkey", "salt").applyInPandasWithState(
-        fn,
+        _lookup_fn(arrival_col is not None, enrichment_first_on_tie),
         outputStructType=_OUT_SCHEMA,
-        stateStructType=state_schema,
+        stateStructType=_STATE_SCHEMA,
         outputMode="append",
         timeoutConf=GroupStateTimeout.NoTimeout,
     )
