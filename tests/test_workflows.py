@@ -93,7 +93,7 @@ def test_writer_and_reader_in_separate_applications(spark, tmp):
         [sys.executable, os.path.join(root, "jobs", "writer.py"), "--output-dir", table,
          "--num-records", str(n), "--once", "--checkpoint", f"{tmp}/wck"],
         capture_output=True, text=True, timeout=300,
-        env={**os.environ, "PYTHONPATH": root, "PYSPARK_SUBMIT_ARGS": "--master local[2] pyspark-shell"})
+        env={**os.environ, "PYTHONPATH": root, "PYSPARK_SUBMIT_ARGS": "--master local[2] --conf spark.ui.enabled=false pyspark-shell"})
     assert proc.returncode == 0, proc.stderr[-2000:]
     assert f"{WRITTEN_COUNTER}={n}" in proc.stdout
     counter = ProgressCounter(READ_COUNTER)
