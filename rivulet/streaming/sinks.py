@@ -4,9 +4,10 @@ the writer is independent of where the rows go (K8).
 ``append_sink`` appends ENRICHED rows to a partitioned Parquet table with
 the streaming file sink: insert only, no index, no dedup (K1, K10). Each
 micro-batch's files are committed to ``<table>/_spark_metadata`` under the
-batch id, after the offsets are logged in the checkpoint; a re-run batch
-overwrites its own commit entry, so a restart after an executor or driver
-loss neither loses nor duplicates rows (K3). ``availableNow`` processes
+batch id, after the offsets are logged in the checkpoint. On restart a batch
+already in that log is skipped, and files of a failed attempt are never
+listed in it, so readers that follow the log see each row once after any
+executor or driver loss (K3). ``availableNow`` processes
 everything present, commits and stops (K4).
 """
 
