@@ -25,7 +25,7 @@ from rivulet.operators.enrich import enrich, latest_by_key, to_enriched
 from rivulet.operators.metrics import READ_COUNTER, WRITTEN_COUNTER, ProgressCounter
 from rivulet.plans.reader import build_reader
 from rivulet.plans.writer import build_writer
-from rivulet.session import scratch_path
+from rivulet.session import scratch_path, session_conf, state_partitions
 from rivulet.sources.generated import DEFAULT_T0_MS, enrichments, raw_from_ids
 from rivulet.sources.lake import read_snapshot
 from rivulet.sources.tables import enrichment_updates, events_as_raw, load_table, table_stream
@@ -158,18 +158,20 @@ def q_enrich_arrival_order(spark, sf_dir):
     One per-user count of the table first gives the state layout: users
     holding at least ``HOT_KEY_SHARE`` of the events (a bounded list) are
     salted, and users are hashed into key groups of about
-    ``KEYS_PER_GROUP``, so per-group overhead is paid per group, not per user."""
-    min_groups = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ``KEYS_PER_GROUP``, so per-group overhead is paid per group, not per user.
+    The query gets two state partitions per core (kept in its checkpoint)."""
+    partitions = state_partitions(spark)
     hot, groups = plan_state_layout(events_as_raw(_events(spark, sf_dir)), "data",
-                                    HOT_KEY_SHARE, KEYS_PER_GROUP, min_groups)
-    stream = _events_stream(spark, sf_dir)
-    raw = events_as_raw(stream, keep=("event_id",))
-    upd = enrichment_updates(stream, keep=("event_id",))
-    out = enrich_stateful(raw, upd, arrival_col="event_id", enrichment_first_on_tie=False,
-                          hot_keys=hot, key_groups=groups)
+                                    HOT_KEY_SHARE, KEYS_PER_GROUP, 2 * partitions)
     table = scratch_path(spark, "arrival")
-    _await(append_sink(table, scratch_path(spark, "arrival-ckpt"), trigger="available_now")(
-        to_enriched(out, grain=TABLE_GRAIN)))
+    with session_conf(spark, {"spark.sql.shuffle.partitions": partitions}):
+        stream = _events_stream(spark, sf_dir)
+        raw = events_as_raw(stream, keep=("event_id",))
+        upd = enrichment_updates(stream, keep=("event_id",))
+        out = enrich_stateful(raw, upd, arrival_col="event_id", enrichment_first_on_tie=False,
+                              hot_keys=hot, key_groups=groups)
+        _await(append_sink(table, scratch_path(spark, "arrival-ckpt"), trigger="available_now")(
+            to_enriched(out, grain=TABLE_GRAIN)))
     return read_snapshot(spark, table, require=True)
 
 

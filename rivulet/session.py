@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -66,3 +67,28 @@ def materialize(df):
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/rivulet/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def session_conf(spark: SparkSession, settings: dict):
+    """Set SQL confs for the queries started (and awaited) inside the block,
+    then restore them. A streaming query keeps the values it started with in
+    its checkpoint (e.g. its number of state partitions)."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, str(v))
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def state_partitions(spark: SparkSession) -> int:
+    """State partitions for a new stateful query: two per core of the
+    cluster, never more than ``spark.sql.shuffle.partitions``."""
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(configured, 2 * spark.sparkContext.defaultParallelism))
