@@ -33,7 +33,8 @@ def enrich_arrival_bounded(raw: DataFrame, enrichments: DataFrame, arrival_col:
     """RAW + ENRICHMENT tables (both with ``arrival_col``) ->
     (event_time, data, enrichment)."""
     enr_tie, raw_tie = (0, 1) if enrichment_first_on_tie else (1, 0)
-    arrival = F.col(arrival_col).cast("bigint")
+    # A null arrival counts as the earliest, as in the streaming form.
+    arrival = F.coalesce(F.col(arrival_col).cast("bigint"), F.lit(-(2 ** 63)))
     rows = raw.select(
         F.col("data").cast("int").alias("k"), arrival.alias("arrival"),
         F.lit(raw_tie).alias("tie"), F.lit(None).cast("struct<v:string>").alias("enr"),

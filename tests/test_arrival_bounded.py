@@ -56,3 +56,9 @@ def test_matches_streaming_operator(spark, tmp):
     for width in (7, 100, 1 << 20):  # many blocks per user ... one block
         got = enrich_arrival_bounded(raw, upd, "event_id", False, width)
         assert sorted(tuple(r) for r in got.collect()) == streamed
+
+
+def test_null_arrival_counts_as_earliest(spark):
+    raws = [(1, 1, None), (2, 1, 5)]
+    enrs = [(0, 1, "a", 1)]
+    assert _run(spark, raws, enrs) == [(1, 1, None), (2, 1, "a")]

@@ -63,3 +63,11 @@ def test_latest_by_key_combines_map_side(spark):
     assert "partial_max_by" in plan
     assert plan.count("Exchange hashpartitioning") == 1
     assert "Window" not in plan
+
+
+def test_bounded_arrival_order_is_catalyst_only(spark):
+    df = catalog.QUERIES["enrich_arrival_order_bounded"](spark, SF01)
+    plan = _plan(df)
+    assert plan.count("Window [") == 2  # in-block lookups, carry-in over blocks
+    assert "partial_max_by" in plan  # block summaries pre-aggregated map-side
+    assert "Python" not in plan and "ArrowEval" not in plan
