@@ -124,3 +124,20 @@ def test_plan_state_layout(spark):
     assert hot == [HOT]
     assert groups == -(-1000 // 64)  # 1,000 distinct keys
     assert plan_state_layout(raw.limit(0), "data", min_groups=8) == ([], 8)
+
+
+def test_bucketed_stream_static_join_shuffles_only_raw(spark, tmp, capsys):
+    _skewed_raw(spark).write.parquet(f"{tmp}/raw")
+    stream = spark.readStream.schema("event_time bigint, data int").parquet(f"{tmp}/raw")
+    out = enrich(stream, _dim(spark), strategy="bucketed", buckets=8, salt_buckets=4,
+                 hot_keys=[HOT])
+    q = (out.writeStream.format("parquet").option("path", f"{tmp}/out")
+         .option("checkpointLocation", f"{tmp}/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    capsys.readouterr()
+    q.explain()
+    plan = capsys.readouterr().out.split("== Initial Plan ==")[0]
+    assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+    assert plan.count("Exchange") == 1  # the raw side only
+    rows = spark.read.parquet(f"{tmp}/out").collect()
+    assert len(rows) == 30_000 and all(r.enrichment == f"v{r.data}" for r in rows)
