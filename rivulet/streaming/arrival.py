@@ -185,17 +185,19 @@ def plan_state_layout(df: DataFrame, key_col: str, min_share: float = 0.01,
     """``(hot_keys, key_groups)`` for ``enrich_stateful`` from one per-key
     count of ``df`` (e.g. the history of the raw stream).
 
-    Only two numbers and at most ``1 / min_share`` hot keys reach the
-    driver. ``key_groups`` gives about ``keys_per_group`` keys per group.
+    A row count (no column data read), then a single aggregation over the
+    per-key counts returns the number of keys and the hot keys; at most
+    ``1 / min_share`` keys can be hot, so that list is bounded.
+    ``key_groups`` gives about ``keys_per_group`` keys per group.
     """
-    counts = df.filter(F.col(key_col).isNotNull()).groupBy(key_col).count()
-    stats = counts.agg(F.count(F.lit(1)).alias("keys"), F.sum("count").alias("rows")).first()
-    n_keys, n_rows = int(stats["keys"] or 0), int(stats["rows"] or 0)
+    n_rows = df.count()
+    keyed = df.filter(F.col(key_col).isNotNull()).groupBy(key_col).count()
+    hot_if = F.when(F.col("count") >= F.lit(min_share * n_rows), F.col(key_col))
+    stats = keyed.agg(F.count(F.lit(1)).alias("keys"),
+                      F.collect_list(hot_if).alias("hot")).first()
+    n_keys = int(stats["keys"] or 0)
     groups = max(int(min_groups), -(-n_keys // int(keys_per_group)), 1)
-    if n_rows == 0:
-        return [], groups
-    hot = counts.filter(F.col("count") >= F.lit(min_share * n_rows)).select(key_col)
-    return sorted(r[0] for r in hot.collect()), groups
+    return (sorted(stats["hot"]) if n_rows else []), groups
 
 
 def _tagged_union(raw: DataFrame, enr: DataFrame, arrival_col: str | None,
