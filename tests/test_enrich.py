@@ -36,7 +36,7 @@ def test_broadcast_plan_for_small_dim(spark):
     assert "SortMergeJoin" not in plan
 
 
-@pytest.mark.parametrize("strategy", ["broadcast", "shuffle", "salted"])
+@pytest.mark.parametrize("strategy", ["broadcast", "shuffle", "salted", "bucketed"])
 def test_strategies_agree(spark, strategy):
     events = load_table(spark, SF01, "events")
     raw = events_as_raw(events)
