@@ -45,11 +45,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a local one only if none is set."""
+    """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
+
+    Only a local-mode session (tests, a laptop) without one gets a folder
+    made here; on a cluster a machine-local folder would be invisible to the
+    executors, so a missing setting is an error there.
+    """
     root = spark.sparkContext.getCheckpointDir()
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
+        if root:
+            spark.sparkContext.setCheckpointDir(root)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
         root = tempfile.mkdtemp(prefix="rivulet-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
         root = spark.sparkContext.getCheckpointDir() or root
