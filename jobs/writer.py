@@ -2,12 +2,15 @@
 
     spark-submit jobs/writer.py --output-dir <table> [--num-records N]
         [--input-dir <raw parquet folder>] [--enrichments <parquet>]
+        [--enrichment-stream-dir <parquet folder>]
         [--parallelism P] [--checkpoint-interval MS] [--grain minute|hour|day]
         [--once]
 
 Without ``--input-dir`` the reference's generator (S1) makes ``N`` records,
 which are landed once and streamed (bounded input, T4). With it, the folder
-is an unbounded file stream (S3). ``--once`` processes what is there and
+is an unbounded file stream (S3). ``--enrichment-stream-dir`` switches from
+the static lookup to arrival-ordered enrichment from a second stream (J3).
+``--once`` processes what is there and
 stops (K4); otherwise a micro-batch runs every ``--checkpoint-interval``
 (T3). Checkpoint and landing folders go under the cluster's
 ``spark.checkpoint.dir`` unless ``--checkpoint`` is given.
@@ -24,10 +27,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import SparkSession  # noqa: E402
 
 from rivulet.operators.metrics import WRITTEN_COUNTER, ProgressCounter  # noqa: E402
-from rivulet.plans import build_writer, stage_bounded  # noqa: E402
+from rivulet.plans import build_stateful_writer, build_writer, stage_bounded  # noqa: E402
 from rivulet.schemas import ENRICHMENT, RAW  # noqa: E402
 from rivulet.session import RECOMMENDED_CONF, scratch_path  # noqa: E402
-from rivulet.sources import enrichments, raw_events, raw_stream  # noqa: E402
+from rivulet.sources import enrichment_stream, enrichments, raw_events, raw_stream  # noqa: E402
 from rivulet.streaming import append_sink  # noqa: E402
 
 
@@ -40,6 +43,9 @@ def parse(argv=None):
     p.add_argument("--input-dir")
     p.add_argument("--max-files-per-trigger", type=int)
     p.add_argument("--enrichments", help="parquet folder of enrichment records")
+    p.add_argument("--enrichment-stream-dir",
+                   help="folder of enrichment files read as a stream; enrich in arrival "
+                        "order with keyed state instead of a static lookup")
     p.add_argument("--grain", default="minute", choices=["minute", "hour", "day"])
     p.add_argument("--checkpoint")
     p.add_argument("--max-records-per-file", type=int)
@@ -64,7 +70,7 @@ def main(argv=None) -> int:
         stage_bounded(spark, raw_events(spark, a.num_records, a.parallelism), landing)
         raw = raw_stream(spark, landing, RAW, a.max_files_per_trigger)
     dim = (spark.read.schema(ENRICHMENT).parquet(a.enrichments) if a.enrichments
-           else enrichments(spark))
+           else enrichments(spark))  # static dimension of the lookup
     sink = append_sink(
         a.output_dir, a.checkpoint or scratch_path(spark, "writer-ckpt"),
         trigger="available_now" if a.once else f"{a.checkpoint_interval} milliseconds",
@@ -74,7 +80,12 @@ def main(argv=None) -> int:
         cluster_by_partition=a.cluster_by_partition,
         write_parallelism=None if a.cluster_by_partition else a.parallelism,
         query_name="writer")
-    q = build_writer(raw, dim, sink, grain=a.grain)
+    if a.enrichment_stream_dir:
+        enr = enrichment_stream(spark, a.enrichment_stream_dir, ENRICHMENT,
+                                a.max_files_per_trigger)
+        q = build_stateful_writer(raw, enr, sink, grain=a.grain)
+    else:
+        q = build_writer(raw, dim, sink, grain=a.grain)
     counter = ProgressCounter(WRITTEN_COUNTER)
     # Poll while running: a query keeps only its last 100 progress events.
     while not q.awaitTermination(max(1.0, a.checkpoint_interval / 1000)):

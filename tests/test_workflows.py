@@ -102,3 +102,17 @@ def test_writer_and_reader_in_separate_applications(spark, tmp):
         time.sleep(0.5)
     rq.stop()
     assert counter.total == n
+
+
+def test_writer_job_with_enrichment_stream(spark, tmp, capsys):
+    from rivulet.schemas import ENRICHMENT
+
+    spark.createDataFrame([(1, 5, "five"), (2, 6, "six")], ENRICHMENT).coalesce(1) \
+        .write.parquet(f"{tmp}/enr")
+    assert writer_job.main(["--output-dir", f"{tmp}/table", "--num-records", "100", "--once",
+                            "--checkpoint", f"{tmp}/wck",
+                            "--enrichment-stream-dir", f"{tmp}/enr"]) == 0
+    assert f"{WRITTEN_COUNTER}=100" in capsys.readouterr().out
+    rows = {r.data: r.enrichment for r in read_snapshot(spark, f"{tmp}/table").collect()}
+    # Both streams arrive in one batch: enrichments apply first.
+    assert len(rows) == 100 and rows[5] == "five" and rows[6] == "six" and rows[7] is None
