@@ -112,8 +112,9 @@ def _lookup_fn(ordered: bool, enrichment_first_on_tie: bool):
 
         n = len(keys)
         idx = np.arange(n)
-        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-        run_start = np.maximum.accumulate(np.where(np.r_[True, keys[1:] != keys[:-1]], idx, 0))
+        is_start = np.r_[True, keys[1:] != keys[:-1]]  # first row of a key's run
+        starts = np.flatnonzero(is_start)
+        run_start = np.maximum.accumulate(np.where(is_start, idx, 0))
         # Earlier runs only ever contribute values below run_start.
         last = np.maximum.accumulate(np.where(is_enr, idx, run_start - 1))
         in_run = last >= run_start
