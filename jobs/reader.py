@@ -30,6 +30,7 @@ def parse(argv=None):
     p.add_argument("--input-dir", required=True)
     p.add_argument("--poll-interval", type=int, default=10, help="seconds")
     p.add_argument("--max-files-per-trigger", type=int)
+    p.add_argument("--max-bytes-per-trigger", type=int)
     p.add_argument("--parallelism", type=int,
                    help="minimum number of read tasks per micro-batch (S9)")
     p.add_argument("--checkpoint")
@@ -48,7 +49,8 @@ def main(argv=None) -> int:
                         trigger="available_now" if a.once else f"{a.poll_interval} seconds",
                         query_name="reader")
     q = build_reader(spark, a.input_dir, sink, create=True,
-                     max_files_per_trigger=a.max_files_per_trigger)
+                     max_files_per_trigger=a.max_files_per_trigger,
+                     max_bytes_per_trigger=a.max_bytes_per_trigger)
     counter = ProgressCounter(READ_COUNTER)
     start = time.time()
     while q.isActive:

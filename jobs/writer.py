@@ -42,6 +42,7 @@ def parse(argv=None):
     p.add_argument("--checkpoint-interval", type=int, default=10_000, help="ms")
     p.add_argument("--input-dir")
     p.add_argument("--max-files-per-trigger", type=int)
+    p.add_argument("--max-bytes-per-trigger", type=int)
     p.add_argument("--enrichments", help="parquet folder of enrichment records")
     p.add_argument("--enrichment-stream-dir",
                    help="folder of enrichment files read as a stream; enrich in arrival "
@@ -64,11 +65,13 @@ def main(argv=None) -> int:
     spark = builder.getOrCreate()
 
     if a.input_dir:
-        raw = raw_stream(spark, a.input_dir, RAW, a.max_files_per_trigger)
+        raw = raw_stream(spark, a.input_dir, RAW, a.max_files_per_trigger,
+                         max_bytes_per_trigger=a.max_bytes_per_trigger)
     else:
         landing = scratch_path(spark, "landing")
         stage_bounded(spark, raw_events(spark, a.num_records, a.parallelism), landing)
-        raw = raw_stream(spark, landing, RAW, a.max_files_per_trigger)
+        raw = raw_stream(spark, landing, RAW, a.max_files_per_trigger,
+                         max_bytes_per_trigger=a.max_bytes_per_trigger)
     dim = (spark.read.schema(ENRICHMENT).parquet(a.enrichments) if a.enrichments
            else enrichments(spark))  # static dimension of the lookup
     sink = append_sink(
@@ -82,7 +85,8 @@ def main(argv=None) -> int:
         query_name="writer")
     if a.enrichment_stream_dir:
         enr = enrichment_stream(spark, a.enrichment_stream_dir, ENRICHMENT,
-                                a.max_files_per_trigger)
+                                a.max_files_per_trigger,
+                                max_bytes_per_trigger=a.max_bytes_per_trigger)
         q = build_stateful_writer(raw, enr, sink, grain=a.grain)
     else:
         q = build_writer(raw, dim, sink, grain=a.grain)

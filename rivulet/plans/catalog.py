@@ -40,7 +40,7 @@ KEYS_PER_GROUP = 64  # users per key group of the arrival-order state
 # Bounded micro-batches when ``events`` is a folder of many files: a failed
 # batch re-runs only its share, and a keyed-state group holds at most its
 # share of one batch. Files are taken oldest first (arrival order).
-FILES_PER_TRIGGER = 64
+BYTES_PER_TRIGGER = 2 * 1024 ** 3
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,7 +48,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table_stream(spark, sf_dir, "events", max_files_per_trigger=FILES_PER_TRIGGER)
+    return table_stream(spark, sf_dir, "events", max_bytes_per_trigger=BYTES_PER_TRIGGER)
 
 
 def _await(query: StreamingQuery) -> StreamingQuery:

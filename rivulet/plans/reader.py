@@ -13,9 +13,11 @@ from rivulet.streaming.sinks import Sink
 def build_reader(spark: SparkSession, table: str, sink: Sink,
                  counter_name: str = READ_COUNTER, create: bool = True,
                  max_files_per_trigger: int | None = None,
-                 require: bool = True) -> StreamingQuery:
+                 require: bool = True,
+                 max_bytes_per_trigger: int | None = None) -> StreamingQuery:
     """Start the reader. ``create=True`` lets it start before the table
     exists (T6); it then waits for the first commit."""
     rows = read_incremental(spark, table, create=create,
-                            max_files_per_trigger=max_files_per_trigger, require=require)
+                            max_files_per_trigger=max_files_per_trigger, require=require,
+                            max_bytes_per_trigger=max_bytes_per_trigger)
     return sink(RecordCounter(counter_name).wrap(rows))

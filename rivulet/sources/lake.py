@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from rivulet.schemas import ENRICHED, conform
 from rivulet.sources.fs import mkdirs
+from rivulet.sources.streams import batch_limit
 
 
 def make_table_dir(spark: SparkSession, path: str) -> None:
@@ -34,7 +35,8 @@ def read_snapshot(spark: SparkSession, path: str, schema: T.StructType = ENRICHE
 
 def read_incremental(spark: SparkSession, path: str, schema: T.StructType = ENRICHED,
                      create: bool = False, max_files_per_trigger: int | None = None,
-                     require: bool = False) -> DataFrame:
+                     require: bool = False,
+                     max_bytes_per_trigger: int | None = None) -> DataFrame:
     """Unbounded read of newly committed files, earliest first.
 
     A fresh checkpoint starts at the first commit; a restarted query resumes
@@ -43,7 +45,6 @@ def read_incremental(spark: SparkSession, path: str, schema: T.StructType = ENRI
     """
     if create:
         make_table_dir(spark, path)
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    reader = batch_limit(spark.readStream.schema(schema), max_files_per_trigger,
+                         max_bytes_per_trigger)
     return conform(reader.parquet(path), schema, require=require)

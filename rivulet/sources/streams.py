@@ -2,8 +2,9 @@
 
 The reference's sources keep no position and start over after a failure.
 A file stream keeps its offsets in the query checkpoint, so a restarted
-query resumes where it stopped. ``max_files_per_trigger`` bounds the size of
-a micro-batch; files are taken oldest first.
+query resumes where it stopped. ``max_files_per_trigger`` or
+``max_bytes_per_trigger`` bounds the size of a micro-batch; files are taken
+oldest first.
 """
 
 from __future__ import annotations
@@ -14,12 +15,24 @@ from pyspark.sql import types as T
 from rivulet.schemas import ENRICHMENT, RAW
 
 
-def _file_stream(spark: SparkSession, path: str, schema: T.StructType,
-                 max_files_per_trigger: int | None, fmt: str,
-                 path_glob: str | None) -> DataFrame:
-    reader = spark.readStream.schema(schema).format(fmt)
+def batch_limit(reader, max_files_per_trigger: int | None = None,
+                max_bytes_per_trigger: int | None = None):
+    """Bound a file stream's micro-batch by files or by bytes (Spark allows
+    one of the two; bytes are the better bound for per-batch memory)."""
+    if max_files_per_trigger and max_bytes_per_trigger:
+        raise ValueError("give max_files_per_trigger or max_bytes_per_trigger, not both")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", int(max_bytes_per_trigger))
+    return reader
+
+
+def _file_stream(spark: SparkSession, path: str, schema: T.StructType,
+                 max_files_per_trigger: int | None, fmt: str,
+                 path_glob: str | None, max_bytes_per_trigger: int | None = None) -> DataFrame:
+    reader = batch_limit(spark.readStream.schema(schema).format(fmt),
+                         max_files_per_trigger, max_bytes_per_trigger)
     if path_glob:
         reader = reader.option("pathGlobFilter", path_glob)
     return reader.load(path)
@@ -27,11 +40,15 @@ def _file_stream(spark: SparkSession, path: str, schema: T.StructType,
 
 def raw_stream(spark: SparkSession, path: str, schema: T.StructType = RAW,
                max_files_per_trigger: int | None = None, fmt: str = "parquet",
-               path_glob: str | None = None) -> DataFrame:
-    return _file_stream(spark, path, schema, max_files_per_trigger, fmt, path_glob)
+               path_glob: str | None = None,
+               max_bytes_per_trigger: int | None = None) -> DataFrame:
+    return _file_stream(spark, path, schema, max_files_per_trigger, fmt, path_glob,
+                        max_bytes_per_trigger)
 
 
 def enrichment_stream(spark: SparkSession, path: str, schema: T.StructType = ENRICHMENT,
                       max_files_per_trigger: int | None = None, fmt: str = "parquet",
-                      path_glob: str | None = None) -> DataFrame:
-    return _file_stream(spark, path, schema, max_files_per_trigger, fmt, path_glob)
+                      path_glob: str | None = None,
+                      max_bytes_per_trigger: int | None = None) -> DataFrame:
+    return _file_stream(spark, path, schema, max_files_per_trigger, fmt, path_glob,
+                        max_bytes_per_trigger)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from rivulet.functions.time import epoch_ms_from_ntz
 from rivulet.sources.fs import is_dir
+from rivulet.sources.streams import batch_limit
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,7 +20,8 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str,
-                 max_files_per_trigger: int | None = None) -> DataFrame:
+                 max_files_per_trigger: int | None = None,
+                 max_bytes_per_trigger: int | None = None) -> DataFrame:
     """A driver table as a file stream (schema from its footer).
 
     A stream source must be a folder: ``<name>.parquet`` itself when it is
@@ -27,9 +29,8 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str,
     """
     base = sf_dir.rstrip("/")
     path = f"{base}/{name}.parquet"
-    reader = spark.readStream.schema(spark.read.parquet(path).schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    reader = batch_limit(spark.readStream.schema(spark.read.parquet(path).schema),
+                         max_files_per_trigger, max_bytes_per_trigger)
     if is_dir(spark, path):
         return reader.parquet(path)
     return reader.option("pathGlobFilter", f"{name}.parquet").parquet(base)

@@ -1,5 +1,7 @@
 """S1, S2 and the driver-table adapters."""
 
+import os
+
 from conftest import SF001, T0
 
 from rivulet.functions import record_key, utc_bucket
@@ -54,3 +56,21 @@ def test_table_stream_from_file_or_folder(spark, tmp):
     q.awaitTermination()
     assert spark.read.parquet(f"{tmp}/b").count() == 1000
     assert len([p for p in q.recentProgress if p.numInputRows > 0]) == 3
+
+
+def test_stream_bounded_by_bytes(spark, tmp):
+    import pytest
+
+    from rivulet.sources import raw_stream
+
+    raw_events(spark, 10_000, 2, T0).repartition(10).write.parquet(f"{tmp}/raw")
+    size = os.path.getsize(next(os.path.join(f"{tmp}/raw", f) for f in os.listdir(f"{tmp}/raw")
+                                if f.endswith(".parquet")))
+    s = raw_stream(spark, f"{tmp}/raw", max_bytes_per_trigger=3 * size)
+    q = (s.writeStream.format("noop").option("checkpointLocation", f"{tmp}/ck")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    batches = [p.numInputRows for p in q.recentProgress if p.numInputRows > 0]
+    assert sum(batches) == 10_000 and len(batches) >= 3
+    with pytest.raises(ValueError):
+        raw_stream(spark, f"{tmp}/raw", max_files_per_trigger=1, max_bytes_per_trigger=1)
