@@ -116,3 +116,14 @@ def test_writer_job_with_enrichment_stream(spark, tmp, capsys):
     rows = {r.data: r.enrichment for r in read_snapshot(spark, f"{tmp}/table").collect()}
     # Both streams arrive in one batch: enrichments apply first.
     assert len(rows) == 100 and rows[5] == "five" and rows[6] == "six" and rows[7] is None
+
+
+def test_writer_job_on_input_folder_in_bounded_batches(spark, tmp, capsys):
+    raw_events(spark, 3000, 2, T0).repartition(6).write.parquet(f"{tmp}/in")
+    assert writer_job.main(["--output-dir", f"{tmp}/table", "--input-dir", f"{tmp}/in",
+                            "--max-files-per-trigger", "2", "--once", "--grain", "hour",
+                            "--checkpoint", f"{tmp}/wck"]) == 0
+    assert f"{WRITTEN_COUNTER}=3000" in capsys.readouterr().out
+    df = read_snapshot(spark, f"{tmp}/table")
+    assert df.count() == 3000
+    assert {len(r.partition) for r in df.select("partition").distinct().collect()} == {11}
