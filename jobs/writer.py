@@ -38,7 +38,10 @@ def parse(argv=None):
     p = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     p.add_argument("--num-records", type=int, default=1_000_000)
     p.add_argument("--output-dir", required=True)
-    p.add_argument("--parallelism", type=int, default=2)
+    p.add_argument("--parallelism", type=int, default=2,
+                   help="partitions of the generated input (S1)")
+    p.add_argument("--write-parallelism", type=int,
+                   help="coalesce to this many writing tasks (K7); default: as read")
     p.add_argument("--checkpoint-interval", type=int, default=10_000, help="ms")
     p.add_argument("--input-dir")
     p.add_argument("--max-files-per-trigger", type=int)
@@ -81,7 +84,7 @@ def main(argv=None) -> int:
         parquet_block_size=a.parquet_block_size,
         parquet_page_size=a.parquet_page_size,
         cluster_by_partition=a.cluster_by_partition,
-        write_parallelism=None if a.cluster_by_partition else a.parallelism,
+        write_parallelism=None if a.cluster_by_partition else a.write_parallelism,
         query_name="writer")
     if a.enrichment_stream_dir:
         enr = enrichment_stream(spark, a.enrichment_stream_dir, ENRICHMENT,
