@@ -127,3 +127,16 @@ def test_writer_job_on_input_folder_in_bounded_batches(spark, tmp, capsys):
     df = read_snapshot(spark, f"{tmp}/table")
     assert df.count() == 3000
     assert {len(r.partition) for r in df.select("partition").distinct().collect()} == {11}
+
+
+def test_reader_job_continuous_stops_at_expected_count(spark, tmp, capsys):
+    assert writer_job.main(["--output-dir", f"{tmp}/table", "--num-records", "500", "--once",
+                            "--checkpoint", f"{tmp}/wck"]) == 0
+    capsys.readouterr()
+    start = time.time()
+    assert reader_job.main(["--input-dir", f"{tmp}/table", "--poll-interval", "1",
+                            "--expect", "500", "--timeout", "60",
+                            "--checkpoint", f"{tmp}/rck"]) == 0
+    assert f"{READ_COUNTER}=500" in capsys.readouterr().out
+    assert time.time() - start < 60
+    assert not any(q.isActive for q in spark.streams.active if q.name == "reader")
