@@ -50,6 +50,11 @@ def parse(argv=None):
     p.add_argument("--enrichment-stream-dir",
                    help="folder of enrichment files read as a stream; enrich in arrival "
                         "order with keyed state instead of a static lookup")
+    p.add_argument("--key-groups", type=int,
+                   help="arrival-order state: hash keys into this many groups "
+                        "(fixed for the life of the checkpoint)")
+    p.add_argument("--salt-buckets", type=int, default=4,
+                   help="arrival-order state: salts per key (fixed per checkpoint)")
     p.add_argument("--grain", default="minute", choices=["minute", "hour", "day"])
     p.add_argument("--checkpoint")
     p.add_argument("--max-records-per-file", type=int)
@@ -90,7 +95,8 @@ def main(argv=None) -> int:
         enr = enrichment_stream(spark, a.enrichment_stream_dir, ENRICHMENT,
                                 a.max_files_per_trigger,
                                 max_bytes_per_trigger=a.max_bytes_per_trigger)
-        q = build_stateful_writer(raw, enr, sink, grain=a.grain)
+        q = build_stateful_writer(raw, enr, sink, grain=a.grain, salt_buckets=a.salt_buckets,
+                                  key_groups=a.key_groups)
     else:
         q = build_writer(raw, dim, sink, grain=a.grain)
     counter = ProgressCounter(WRITTEN_COUNTER)

@@ -111,7 +111,7 @@ def test_writer_job_with_enrichment_stream(spark, tmp, capsys):
         .write.parquet(f"{tmp}/enr")
     assert writer_job.main(["--output-dir", f"{tmp}/table", "--num-records", "100", "--once",
                             "--checkpoint", f"{tmp}/wck",
-                            "--enrichment-stream-dir", f"{tmp}/enr"]) == 0
+                            "--enrichment-stream-dir", f"{tmp}/enr", "--key-groups", "4"]) == 0
     assert f"{WRITTEN_COUNTER}=100" in capsys.readouterr().out
     rows = {r.data: r.enrichment for r in read_snapshot(spark, f"{tmp}/table").collect()}
     # Both streams arrive in one batch: enrichments apply first.
