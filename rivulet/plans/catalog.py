@@ -62,20 +62,23 @@ def _await(query: StreamingQuery) -> StreamingQuery:
 # ---------------------------------------------------------------- batch ---
 
 def q_events_as_raw(spark, sf_dir):
+    """events as raw records (S3 adapter, P1, P7): event_time, data."""
     return events_as_raw(_events(spark, sf_dir))
 
 
 def q_raw_source(spark, sf_dir):
-    # S1's generator formula over the events' id column.
+    """S1 generator formula over events.event_id (P = 2, fixed clock)."""
     return raw_from_ids(_events(spark, sf_dir), "event_id", RAW_PARALLELISM, DEFAULT_T0_MS)
 
 
 def q_record_key(spark, sf_dir):
+    """Record key "<event_time>|<data>" (P2)."""
     raw = events_as_raw(_events(spark, sf_dir))
     return raw.select("event_time", "data", record_key().alias("key"))
 
 
 def q_partition_key(spark, sf_dir):
+    """UTC time buckets at minute, hour and day grain."""
     raw = events_as_raw(_events(spark, sf_dir))
     return raw.select(
         "event_time",
@@ -96,11 +99,13 @@ def _updates(spark, sf_dir):
 
 
 def q_latest_enrichment(spark, sf_dir):
+    """Last write wins per user over event-type updates."""
     return latest_by_key(_updates(spark, sf_dir), order=("timestamp", "event_id")).select(
         "key", "timestamp", "enrichment")
 
 
 def q_enrich_latest(spark, sf_dir):
+    """Events enriched from the last-write-wins dimension (J2 + J1)."""
     raw = events_as_raw(_events(spark, sf_dir))
     return enrich(raw, _updates(spark, sf_dir), grain="minute", order=("timestamp", "event_id"))
 
@@ -120,6 +125,7 @@ def write_table(spark: SparkSession, sf_dir: str, table: str | None = None,
 
 
 def q_append_snapshot(spark, sf_dir):
+    """Writer stream into the partitioned table, read back as a snapshot."""
     table, _ = write_table(spark, sf_dir)
     return read_snapshot(spark, table, require=True)
 
@@ -134,17 +140,20 @@ def copy_incremental(spark: SparkSession, table: str) -> tuple[str, int]:
 
 
 def q_append_incremental(spark, sf_dir):
+    """Incremental read of the written table into a second table."""
     table, _ = write_table(spark, sf_dir)
     copy, _ = copy_incremental(spark, table)
     return read_snapshot(spark, copy, require=True)
 
 
 def q_count_written(spark, sf_dir):
+    """Records-written counter of the writer job (A1, F1)."""
     _, n = write_table(spark, sf_dir)
     return spark.createDataFrame([(n,)], "n bigint")
 
 
 def q_count_read(spark, sf_dir):
+    """Records-read counter of the reader job over a discard sink (A2, F2, K9)."""
     table, _ = write_table(spark, sf_dir)
     sink = discard_sink(scratch_path(spark, "count-ckpt"), trigger="available_now")
     q = _await(build_reader(spark, table, sink, create=True))
@@ -152,8 +161,9 @@ def q_count_read(spark, sf_dir):
 
 
 def q_enrich_arrival_order(spark, sf_dir):
-    """Each event enriched with the type of the same user's previous event
-    in arrival (``event_id``) order, by the keyed-state stream operator.
+    """Stream J3: each event gets its user's previous event type (arrival order).
+
+    Arrival order is ``event_id``; the keyed-state stream operator does it.
 
     One per-user count of the table first gives the state layout: users
     holding at least ``HOT_KEY_SHARE`` of the events (a bounded list) are
@@ -176,8 +186,7 @@ def q_enrich_arrival_order(spark, sf_dir):
 
 
 def q_enrich_arrival_order_bounded(spark, sf_dir):
-    """The same enrichment as ``enrich_arrival_order`` on the table as a
-    whole (T4): Catalyst windows over arrival blocks, no Python."""
+    """Table J3 (T4): same result as enrich_arrival_order, Catalyst windows only."""
     events = _events(spark, sf_dir)
     out = enrich_arrival_bounded(events_as_raw(events, keep=("event_id",)),
                                  enrichment_updates(events, keep=("event_id",)),
@@ -186,6 +195,7 @@ def q_enrich_arrival_order_bounded(spark, sf_dir):
 
 
 def q_enrichment_watermark(spark, sf_dir):
+    """Enrichment updates through the event-time watermark."""
     upd = with_enrichment_watermark(enrichment_updates(_events_stream(spark, sf_dir)))
     path = scratch_path(spark, "watermarked")
     q = (upd.select("timestamp", "key", "enrichment").writeStream.format("parquet")

@@ -140,3 +140,15 @@ def test_reader_job_continuous_stops_at_expected_count(spark, tmp, capsys):
     assert f"{READ_COUNTER}=500" in capsys.readouterr().out
     assert time.time() - start < 60
     assert not any(q.isActive for q in spark.streams.active if q.name == "reader")
+
+
+def test_query_cli(spark, tmp, capsys):
+    import jobs.query as query_job
+
+    assert query_job.main(["--list"]) == 0
+    assert "enrich_lookup" in capsys.readouterr().out
+    assert query_job.main(["latest_enrichment", "--sf-dir", "/root/testdata/sf0.001",
+                           "--out", f"{tmp}/out"]) == 0
+    assert spark.read.parquet(f"{tmp}/out").count() == 15
+    assert query_job.main(["enrich_lookup", "--sql"]) == 0
+    assert "LEFT JOIN" in capsys.readouterr().out
