@@ -108,7 +108,8 @@ def attach_enrichment(raw: DataFrame, dim: DataFrame, on: str = "data",
                       salt_buckets: int = DEFAULT_SALT_BUCKETS,
                       hot_keys: Sequence | None = None,
                       buckets: int | None = None,
-                      materialize_dim: bool = True) -> DataFrame:
+                      materialize_dim: bool = True,
+                      dim_rows_bound: int | None = None) -> DataFrame:
     """Left outer lookup (J1, P4): ``raw`` plus column ``value`` from the
     dimension row whose ``key`` equals ``raw[on]``, or null.
 
@@ -119,12 +120,19 @@ def attach_enrichment(raw: DataFrame, dim: DataFrame, on: str = "data",
     and the join do not compute it twice; for a stream this also fixes the
     dimension as of query start. ``hot_keys`` limits the salted join's
     spreading (and dimension replication) to those keys.
+
+    ``dim_rows_bound`` is a row bound known by construction (e.g. a generated
+    dimension of n rows): within ``max_broadcast_rows`` it is the size proof,
+    and the dimension is broadcast without the checkpoint and check jobs.
     """
     if dim.isStreaming:
         raise ValueError("dimension must be static; use enrich_stateful for two streams")
     if dedup:
         dim = latest_by_key(dim, key=key, order=order, values=[value])
     lookup = dim.select(F.col(key).alias("_dim_key"), F.col(value).alias("_dim_value"))
+    if (strategy == "auto" and dim_rows_bound is not None
+            and dim_rows_bound <= max_broadcast_rows):
+        strategy, materialize_dim = "broadcast", False
     if materialize_dim and strategy != "bucketed":
         # One computation serves both the size check and the join; and the
         # join then reads the dimension through its own exchange, which is

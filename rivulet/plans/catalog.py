@@ -91,7 +91,8 @@ def q_partition_key(spark, sf_dir):
 def q_enrich_lookup(spark, sf_dir):
     """Flagship: raw events left-joined to the reference's 100 enrichments."""
     raw = events_as_raw(_events(spark, sf_dir))
-    return enrich(raw, enrichments(spark, NUM_ENRICHMENTS, DEFAULT_T0_MS), grain="minute")
+    return enrich(raw, enrichments(spark, NUM_ENRICHMENTS, DEFAULT_T0_MS), grain="minute",
+                  dim_rows_bound=NUM_ENRICHMENTS)
 
 
 def _updates(spark, sf_dir):
@@ -120,7 +121,7 @@ def write_table(spark: SparkSession, sf_dir: str, table: str | None = None,
     sink = append_sink(table, scratch_path(spark, "writer-ckpt"), trigger="available_now")
     raw = events_as_raw(_events_stream(spark, sf_dir))
     q = _await(build_writer(raw, enrichments(spark, NUM_ENRICHMENTS, DEFAULT_T0_MS), sink,
-                            grain=grain))
+                            grain=grain, dim_rows_bound=NUM_ENRICHMENTS))
     return table, ProgressCounter(WRITTEN_COUNTER).poll(q)
 
 

@@ -131,3 +131,14 @@ def test_auto_picks_shuffle_join_for_big_dim_in_stream(spark, tmp, capsys):
     assert "AdaptiveSparkPlan" in plan and "_salt" not in plan
     got = spark.read.parquet(f"{tmp}/out")
     assert got.count() == 1000 and got.filter("enrichment is not null").count() == 100
+
+
+def test_known_row_bound_broadcasts_without_check(spark):
+    raw = raw_events(spark, 1000, 2, T0)
+    out = enrich(raw, enrichments(spark, 100, T0), dim_rows_bound=100)
+    plan = _plan(out)
+    assert "BroadcastHashJoin" in plan and "ExistingRDD" not in plan  # not checkpointed
+    assert out.filter("enrichment is not null").count() == 100
+    # A bound above the cap falls back to the checked path.
+    out2 = enrich(raw, enrichments(spark, 100, T0), dim_rows_bound=10, max_broadcast_rows=5)
+    assert out2.count() == 1000
