@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rivulet.fixed import NUM_ENRICHMENTS
@@ -26,7 +27,12 @@ from rivulet.operators.metrics import READ_COUNTER, WRITTEN_COUNTER, ProgressCou
 from rivulet.plans.reader import build_reader
 from rivulet.plans.writer import build_writer
 from rivulet.session import scratch_path, session_conf, state_partitions
-from rivulet.sources.generated import DEFAULT_T0_MS, enrichments, raw_from_ids
+from rivulet.sources.generated import (
+    DEFAULT_T0_MS,
+    enrichment_record,
+    enrichments,
+    raw_from_ids,
+)
 from rivulet.sources.lake import read_snapshot
 from rivulet.sources.tables import enrichment_updates, events_as_raw, load_table, table_stream
 from rivulet.streaming.arrival import enrich_stateful, plan_state_layout
@@ -71,6 +77,12 @@ def q_raw_source(spark, sf_dir):
     return raw_from_ids(_events(spark, sf_dir), "event_id", RAW_PARALLELISM, DEFAULT_T0_MS)
 
 
+def q_enrichment_source(spark, sf_dir):
+    """S2 record formula over the distinct users of events: "Enrichment-<key>"."""
+    keys = _events(spark, sf_dir).select(F.col("user_id").cast("int").alias("key")).distinct()
+    return keys.select(*enrichment_record(F.col("key"), DEFAULT_T0_MS, NUM_ENRICHMENTS))
+
+
 def q_record_key(spark, sf_dir):
     """Record key "<event_time>|<data>" (P2)."""
     raw = events_as_raw(_events(spark, sf_dir))
@@ -209,6 +221,7 @@ def q_enrichment_watermark(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "events_as_raw": q_events_as_raw,
     "raw_source": q_raw_source,
+    "enrichment_source": q_enrichment_source,
     "record_key": q_record_key,
     "partition_key": q_partition_key,
     "enrich_lookup": q_enrich_lookup,
@@ -261,6 +274,10 @@ ORACLE_SQL: dict[str, str] = {
     "events_as_raw": _RAW_SQL,
     "raw_source": (f"SELECT CAST({DEFAULT_T0_MS} - ((event_id // {RAW_PARALLELISM}) % 5) * 60000"
                    f" AS BIGINT) AS event_time, CAST(event_id AS INTEGER) AS data FROM events"),
+    "enrichment_source": (f"SELECT CAST({DEFAULT_T0_MS - NUM_ENRICHMENTS} + CAST(user_id AS INTEGER)"
+                          f" AS BIGINT) AS timestamp, CAST(user_id AS INTEGER) AS key,"
+                          f" 'Enrichment-' || CAST(CAST(user_id AS INTEGER) AS VARCHAR) AS enrichment"
+                          f" FROM (SELECT DISTINCT user_id FROM events)"),
     "record_key": f"SELECT event_time, data, {_KEY_SQL} AS key FROM ({_RAW_SQL})",
     "partition_key": (f"SELECT event_time, {_MINUTE} AS partition_minute, {_HOUR} AS"
                       f" partition_hour, {_DAY} AS partition_day FROM ({_RAW_SQL})"),
