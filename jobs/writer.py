@@ -32,6 +32,7 @@ from rivulet.schemas import ENRICHMENT, RAW  # noqa: E402
 from rivulet.session import RECOMMENDED_CONF, scratch_path  # noqa: E402
 from rivulet.sources import enrichment_stream, enrichments, raw_events, raw_stream  # noqa: E402
 from rivulet.streaming import append_sink  # noqa: E402
+from rivulet.streaming.arrival import plan_state_layout  # noqa: E402
 
 
 def parse(argv=None):
@@ -55,6 +56,9 @@ def parse(argv=None):
                         "(fixed for the life of the checkpoint)")
     p.add_argument("--salt-buckets", type=int, default=4,
                    help="arrival-order state: salts per key (fixed per checkpoint)")
+    p.add_argument("--layout-from",
+                   help="parquet folder of past raw records: salt only its hot keys and "
+                        "size key groups from its key count (first start of a checkpoint)")
     p.add_argument("--grain", default="minute", choices=["minute", "hour", "day"])
     p.add_argument("--checkpoint")
     p.add_argument("--max-records-per-file", type=int)
@@ -95,8 +99,13 @@ def main(argv=None) -> int:
         enr = enrichment_stream(spark, a.enrichment_stream_dir, ENRICHMENT,
                                 a.max_files_per_trigger,
                                 max_bytes_per_trigger=a.max_bytes_per_trigger)
+        hot_keys, key_groups = None, a.key_groups
+        if a.layout_from:
+            hot_keys, planned = plan_state_layout(
+                spark.read.schema(RAW).parquet(a.layout_from), "data")
+            key_groups = key_groups or planned
         q = build_stateful_writer(raw, enr, sink, grain=a.grain, salt_buckets=a.salt_buckets,
-                                  key_groups=a.key_groups)
+                                  hot_keys=hot_keys, key_groups=key_groups)
     else:
         q = build_writer(raw, dim, sink, grain=a.grain)
     counter = ProgressCounter(WRITTEN_COUNTER)

@@ -152,3 +152,16 @@ def test_query_cli(spark, tmp, capsys):
     assert spark.read.parquet(f"{tmp}/out").count() == 15
     assert query_job.main(["enrich_lookup", "--sql"]) == 0
     assert "LEFT JOIN" in capsys.readouterr().out
+
+
+def test_writer_job_stateful_with_layout_from_history(spark, tmp, capsys):
+    from rivulet.schemas import ENRICHMENT
+
+    raw_events(spark, 2000, 2, T0).write.parquet(f"{tmp}/history")
+    spark.createDataFrame([(1, 5, "five")], ENRICHMENT).coalesce(1).write.parquet(f"{tmp}/enr")
+    assert writer_job.main(["--output-dir", f"{tmp}/table", "--num-records", "200", "--once",
+                            "--checkpoint", f"{tmp}/wck", "--enrichment-stream-dir",
+                            f"{tmp}/enr", "--layout-from", f"{tmp}/history"]) == 0
+    assert f"{WRITTEN_COUNTER}=200" in capsys.readouterr().out
+    rows = {r.data: r.enrichment for r in read_snapshot(spark, f"{tmp}/table").collect()}
+    assert rows[5] == "five" and sum(v is not None for v in rows.values()) == 1
