@@ -32,11 +32,22 @@ def raw_from_ids(ids: DataFrame, id_col: str = "id", parallelism: int = 2,
     return conform(out, RAW)
 
 
+ROWS_PER_GENERATED_PARTITION = 10_000_000
+
+
 def raw_events(spark: SparkSession, n: int, parallelism: int = 2,
-               t0_ms: int = DEFAULT_T0_MS) -> DataFrame:
-    """``n`` raw records, ``data`` = 0..n-1 each once, in ``parallelism``
-    range partitions."""
-    return raw_from_ids(spark.range(0, n, 1, parallelism), "id", parallelism, t0_ms)
+               t0_ms: int = DEFAULT_T0_MS, num_partitions: int | None = None) -> DataFrame:
+    """``n`` raw records, ``data`` = 0..n-1 each once.
+
+    ``parallelism`` is the reference's P and only enters the event-time
+    formula; the Spark partition count is separate, at least the cluster's
+    default parallelism and about 10 M rows per partition, so a large ``n``
+    is generated by many tasks.
+    """
+    if num_partitions is None:
+        num_partitions = max(parallelism, spark.sparkContext.defaultParallelism,
+                             -(-n // ROWS_PER_GENERATED_PARTITION))
+    return raw_from_ids(spark.range(0, n, 1, int(num_partitions)), "id", parallelism, t0_ms)
 
 
 def enrichment_record(key: Column, t0_ms: int, n: int) -> list[Column]:
