@@ -61,6 +61,8 @@ def enrichment_record(key: Column, t0_ms: int, n: int) -> list[Column]:
 
 def enrichments(spark: SparkSession, n: int = NUM_ENRICHMENTS,
                 t0_ms: int = DEFAULT_T0_MS) -> DataFrame:
-    """``n`` enrichment records, keys 0..n-1 (bounded, size known)."""
-    return conform(spark.range(0, n, 1, 1).select(*enrichment_record(F.col("id"), t0_ms, n)),
+    """``n`` enrichment records, keys 0..n-1 (bounded, size known); one
+    partition per ~10 M records (one for the reference's 100)."""
+    parts = max(1, -(-n // ROWS_PER_GENERATED_PARTITION))
+    return conform(spark.range(0, n, 1, parts).select(*enrichment_record(F.col("id"), t0_ms, n)),
                    ENRICHMENT)
