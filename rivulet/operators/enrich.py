@@ -78,18 +78,18 @@ def latest_by_key(dim: DataFrame, key: str = "key",
 def broadcast_size_ok(dim: DataFrame, value_cols: Sequence[str] = ("enrichment",),
                       max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                       max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
-    """Bounded size check of a (static) dimension before broadcasting it.
+    """Size check of a (static, usually just checkpointed) dimension before
+    broadcasting it: rows and approximate bytes.
 
-    Reads at most ``max_rows + 1`` rows, so the check itself stays cheap
-    when the dimension turns out to be large.
+    One distributed aggregate: each task counts its share and only two numbers
+    reach the driver. (A ``limit`` before the count would look cheaper but
+    funnels up to ``max_rows`` rows per partition into a single task.)
     """
-    probe = dim.limit(max_rows + 1)
-    lengths = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in value_cols]
     row_bytes = F.lit(_ROW_OVERHEAD_BYTES)
-    for ln in lengths:
-        row_bytes = row_bytes + ln
-    stats = probe.agg(F.count(F.lit(1)).alias("n"),
-                      F.coalesce(F.sum(row_bytes), F.lit(0)).alias("b")).first()
+    for c in value_cols:
+        row_bytes = row_bytes + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
+    stats = dim.agg(F.count(F.lit(1)).alias("n"),
+                    F.coalesce(F.sum(row_bytes), F.lit(0)).alias("b")).first()
     return stats["n"] <= max_rows and stats["b"] <= max_bytes
 
 
