@@ -159,3 +159,12 @@ def test_task_failure_mid_write_then_restart_is_exactly_once(spark, tmp):
     df = read_snapshot(spark, f"{tmp}/table", require=True)
     assert df.count() == 1000
     assert df.select("key").distinct().count() == 1000
+
+
+def test_snapshot_reader_pushes_filters_and_prunes_columns(spark, tmp):
+    _write(spark, tmp).awaitTermination()
+    df = read_snapshot(spark, f"{tmp}/table").where("data = 5").select("key")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [" in plan and "EqualTo(data,5)" in plan
+    assert "ReadSchema: struct<data:int,key:string>" in plan
+    assert df.count() == 1
