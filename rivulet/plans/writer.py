@@ -19,7 +19,8 @@ from rivulet.streaming.sinks import Sink
 def build_writer(raw: DataFrame, enrichments: DataFrame, sink: Sink, grain: str = "minute",
                  counter_name: str = WRITTEN_COUNTER, **lookup_opts) -> StreamingQuery:
     """Start the writer. ``raw`` is a stream; ``enrichments`` a static
-    dimension (broadcast after a size check, see ``operators.enrich``)."""
+    dimension, broadcast when its size is known or checked to be small
+    (see ``operators.enrich``)."""
     enriched = enrich(raw, enrichments, grain=grain, **lookup_opts)
     return sink(RecordCounter(counter_name).wrap(enriched))
 
