@@ -5,5 +5,6 @@ from rivulet.functions.time import (  # noqa: F401
     GRAIN_FORMATS,
     epoch_ms_from_ntz,
     epoch_ms_to_timestamp,
+    partition_key,
     utc_bucket,
 )

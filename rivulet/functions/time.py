@@ -65,3 +65,8 @@ def utc_bucket(ms: Column | str, grain: str = "minute") -> Column:
         return F.concat(ymd, F.lit("-"), hh)
     mm = F.lpad((minute_of_day % 60).cast("string"), 2, "0")
     return F.concat(ymd, F.lit("-"), hh, mm)
+
+
+def partition_key(event_time: Column | str = "event_time", grain: str = "minute") -> Column:
+    """The table's partition value (P3): ``utc_bucket`` of the event time."""
+    return utc_bucket(event_time, grain)

@@ -8,4 +8,4 @@ from rivulet.operators.enrich import (  # noqa: F401
     latest_by_key,
     to_enriched,
 )
-from rivulet.operators.metrics import ProgressCounter, RecordCounter  # noqa: F401
+from rivulet.operators.metrics import ProgressCounter, RecordCounter, counted  # noqa: F401

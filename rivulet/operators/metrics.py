@@ -38,6 +38,13 @@ class RecordCounter:
         return int(self._observation.get["n"])
 
 
+def counted(df: DataFrame, name: str) -> DataFrame:
+    """Pass ``df`` through a counter named ``name`` (F1, F2): a stream
+    reports per micro-batch (sum with ``ProgressCounter``); for a batch use
+    ``RecordCounter`` to read the count back."""
+    return RecordCounter(name).wrap(df)
+
+
 class ProgressCounter:
     """Sums the observed ``n`` of a metric over a streaming query's batches.
 

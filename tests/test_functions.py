@@ -60,3 +60,13 @@ def test_record_key(spark):
     # Same text as Java's "%d|%d".
     want = [r[0] for r in df.select(F.format_string("%d|%d", "event_time", "data")).collect()]
     assert got == want
+
+
+def test_survey_names(spark):
+    from rivulet.functions import partition_key
+    from rivulet.operators import counted
+
+    df = spark.createDataFrame([(1710037800000, 1)], "event_time bigint, data int")
+    assert df.select(partition_key()).first()[0] == "20240310-0230"
+    assert df.select(partition_key("event_time", "day")).first()[0] == "20240310"
+    assert counted(df, "n-test").count() == 1
