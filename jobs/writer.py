@@ -64,6 +64,7 @@ def parse(argv=None):
     p.add_argument("--max-records-per-file", type=int)
     p.add_argument("--parquet-block-size", type=int, help="bytes (row group size)")
     p.add_argument("--parquet-page-size", type=int, help="bytes")
+    p.add_argument("--compression", help="Parquet codec, e.g. zstd or snappy")
     p.add_argument("--cluster-by-partition", action="store_true")
     p.add_argument("--once", action="store_true")
     return p.parse_args(argv)
@@ -92,6 +93,7 @@ def main(argv=None) -> int:
         max_records_per_file=a.max_records_per_file,
         parquet_block_size=a.parquet_block_size,
         parquet_page_size=a.parquet_page_size,
+        compression=a.compression,
         cluster_by_partition=a.cluster_by_partition,
         write_parallelism=None if a.cluster_by_partition else a.write_parallelism,
         query_name="writer")

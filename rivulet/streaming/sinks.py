@@ -46,7 +46,8 @@ def append_sink(path: str, checkpoint: str, trigger: str | dict | None = "availa
                 files_per_partition: int = 4,
                 write_parallelism: int | None = None,
                 fill_missing_partition: bool = False,
-                query_name: str | None = None) -> Sink:
+                query_name: str | None = None,
+                compression: str | None = None) -> Sink:
     """Append to a partitioned Parquet table through the file sink.
 
     * No shuffle and no sort before the write by default (K6): each task
@@ -56,7 +57,7 @@ def append_sink(path: str, checkpoint: str, trigger: str | dict | None = "availa
       fewer, larger files, and a hot bucket is still split.
     * ``write_parallelism`` coalesces to that many writing tasks (K7).
     * ``max_records_per_file`` / Parquet block and page size (K5); Spark caps
-      rows per file, not bytes.
+      rows per file, not bytes. ``compression``: Parquet codec (e.g. zstd).
     """
 
     def start(df: DataFrame) -> StreamingQuery:
@@ -80,6 +81,8 @@ def append_sink(path: str, checkpoint: str, trigger: str | dict | None = "availa
             writer = writer.option("parquet.block.size", int(parquet_block_size))
         if parquet_page_size:
             writer = writer.option("parquet.page.size", int(parquet_page_size))
+        if compression:
+            writer = writer.option("compression", compression)
         if query_name:
             writer = writer.queryName(query_name)
         opts = trigger_options(trigger)

@@ -71,11 +71,12 @@ def test_writer_file_sizing_options(spark, tmp, capsys):
     assert writer_job.main(["--output-dir", f"{tmp}/table", "--num-records", "2000", "--once",
                             "--checkpoint", f"{tmp}/wck", "--max-records-per-file", "100",
                             "--parquet-block-size", str(1 << 20),
-                            "--parquet-page-size", str(1 << 20)]) == 0
+                            "--parquet-page-size", str(1 << 20), "--compression", "zstd"]) == 0
     capsys.readouterr()
     files = [f for d in os.listdir(f"{tmp}/table") if d.startswith("partition=")
              for f in os.listdir(f"{tmp}/table/{d}") if f.endswith(".parquet")]
     assert len(files) >= 20  # at most 100 rows per file
+    assert all(".zstd." in f for f in files)
     assert read_snapshot(spark, f"{tmp}/table").count() == 2000
 
 
