@@ -29,7 +29,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 from rivulet.operators.metrics import WRITTEN_COUNTER, ProgressCounter  # noqa: E402
 from rivulet.plans import build_stateful_writer, build_writer, stage_bounded  # noqa: E402
 from rivulet.schemas import ENRICHMENT, RAW  # noqa: E402
-from rivulet.session import RECOMMENDED_CONF, scratch_path  # noqa: E402
+from rivulet.session import RECOMMENDED_CONF, scratch_path, state_partitions  # noqa: E402
 from rivulet.sources import enrichment_stream, enrichments, raw_events, raw_stream  # noqa: E402
 from rivulet.streaming import append_sink  # noqa: E402
 from rivulet.streaming.arrival import plan_state_layout  # noqa: E402
@@ -98,6 +98,9 @@ def main(argv=None) -> int:
         write_parallelism=None if a.cluster_by_partition else a.write_parallelism,
         query_name="writer")
     if a.enrichment_stream_dir:
+        # State partitions are fixed at the checkpoint's first start: two per
+        # core, never more than configured.
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions(spark)))
         enr = enrichment_stream(spark, a.enrichment_stream_dir, ENRICHMENT,
                                 a.max_files_per_trigger,
                                 max_bytes_per_trigger=a.max_bytes_per_trigger)
