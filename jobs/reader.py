@@ -37,6 +37,7 @@ def parse(argv=None):
     p.add_argument("--once", action="store_true")
     p.add_argument("--expect", type=int, help="stop after this many rows")
     p.add_argument("--timeout", type=int, default=0, help="seconds; 0 = none")
+    p.add_argument("--verbose", action="store_true", help="print the running count each poll")
     return p.parse_args(argv)
 
 
@@ -55,6 +56,8 @@ def main(argv=None) -> int:
     start = time.time()
     while q.isActive:
         n = counter.poll(q)
+        if a.verbose:
+            print(f"{READ_COUNTER}={n} batches={counter.batches}", flush=True)
         if a.expect is not None and n >= a.expect:
             break
         if a.timeout and time.time() - start > a.timeout:

@@ -136,7 +136,7 @@ def test_reader_job_continuous_stops_at_expected_count(spark, tmp, capsys):
     capsys.readouterr()
     start = time.time()
     assert reader_job.main(["--input-dir", f"{tmp}/table", "--poll-interval", "1",
-                            "--expect", "500", "--timeout", "60",
+                            "--expect", "500", "--timeout", "60", "--verbose",
                             "--checkpoint", f"{tmp}/rck"]) == 0
     assert f"{READ_COUNTER}=500" in capsys.readouterr().out
     assert time.time() - start < 60
