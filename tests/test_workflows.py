@@ -153,6 +153,9 @@ def test_query_cli(spark, tmp, capsys):
     assert spark.read.parquet(f"{tmp}/out").count() == 15
     assert query_job.main(["enrich_lookup", "--sql"]) == 0
     assert "LEFT JOIN" in capsys.readouterr().out
+    assert query_job.main(["enrich_lookup", "--sf-dir", "/root/testdata/sf0.001",
+                           "--explain"]) == 0
+    assert "BroadcastHashJoin" in capsys.readouterr().out
 
 
 def test_writer_job_stateful_with_layout_from_history(spark, tmp, capsys):
