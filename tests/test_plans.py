@@ -71,3 +71,23 @@ def test_bounded_arrival_order_is_catalyst_only(spark):
     assert plan.count("Window [") == 2  # in-block lookups, carry-in over blocks
     assert "partial_max_by" in plan  # block summaries pre-aggregated map-side
     assert "Python" not in plan and "ArrowEval" not in plan
+
+
+def test_streaming_arrival_order_has_one_exchange(spark, tmp, capsys):
+    from rivulet.sources import enrichment_updates, events_as_raw, table_stream
+    from rivulet.streaming.arrival import enrich_stateful
+
+    stream = table_stream(spark, SF01, "events")
+    out = enrich_stateful(events_as_raw(stream, keep=("event_id",)),
+                          enrichment_updates(stream, keep=("event_id",)),
+                          arrival_col="event_id", enrichment_first_on_tie=False,
+                          hot_keys=[], key_groups=8)
+    q = (out.writeStream.format("noop").option("checkpointLocation", f"{tmp}/ck")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    capsys.readouterr()
+    q.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange") == 1 and "hashpartitioning(gkey" in plan
+    assert "FlatMapGroupsInPandasWithState" in plan
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint" in plan
