@@ -2,8 +2,9 @@
 
 Scratch data (stream checkpoints, staged inputs, result tables of the
 registered streaming queries) goes under the folder the cluster names in
-``spark.checkpoint.dir``. Only when that setting is unset (tests, a laptop)
-is a local folder made and set.
+``spark.checkpoint.dir``. Only a local-mode session without that setting
+(tests, a laptop) gets a local folder made and set; on a cluster a missing
+setting is an error.
 """
 
 from __future__ import annotations
