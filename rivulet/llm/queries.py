@@ -10,12 +10,15 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rivulet.llm.common import table
+from rivulet.llm.common import held_out, table
+from rivulet.llm.language_id import fit_language_model, language_id
 from rivulet.llm.quality_rules import quality_rules, rules_sql
 from rivulet.llm.sentence_pieces import sentence_piece_digests
 from rivulet.llm.simhash import simhash_groups
 from rivulet.llm.source_mixing import source_mixing
+from rivulet.llm.toxicity import fit_toxicity, toxicity
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -25,6 +28,24 @@ def q_simhash(spark, sf_dir):
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def q_language_id(spark, sf_dir):
+    """Languages of documents, learned from the documents of the other folds."""
+    docs = table(spark, sf_dir, "documents")
+    held = held_out("doc_id", 5, 0)
+    model = fit_language_model(docs.filter(~held))
+    return language_id(docs, model).select(
+        "doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+def q_toxicity(spark, sf_dir):
+    """Toxicity of documents, learned from the labels of the other folds."""
+    docs, held = table(spark, sf_dir, "documents"), held_out("doc_id", 5, 0)
+    weights = fit_toxicity(docs, table(spark, sf_dir, "labels").filter(~held))
+    return toxicity(docs, weights).select(
+        "doc_id", held.alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def q_quality_rules(spark, sf_dir):
     """Quality measures and verdicts of documents."""
     return quality_rules(table(spark, sf_dir, "documents"))
@@ -43,6 +64,8 @@ def q_source_mixing(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": q_simhash,
+    "op4_language_id": q_language_id,
+    "op5_toxicity": q_toxicity,
     "op6_quality_rules": q_quality_rules,
     "op7_sentence_pieces": q_sentence_pieces,
     "op8_source_mixing": q_source_mixing,

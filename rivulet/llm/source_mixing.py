@@ -28,7 +28,7 @@ from rivulet.session import materialize
 
 WEIGHTS = (5, 2, 1)  # repeating, over the sources in code point order
 MAX_EPOCHS = 3
-ROWS_PER_RANGE = 20_000
+ROWS_PER_RANGE = 2_000
 SEED = 8
 
 
@@ -38,12 +38,13 @@ def size_of(text: str) -> Column:
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS,
             max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """(source, rank, source_size, target) from one row per source.
+    """(source, rank, rows, source_size, target) from one row per source
+    (source, rows, source_size).
 
     Targets share all words by weight; one that would pass ``max_epochs``
     times its source stops there and the rest share what it leaves. In order
     of cap / weight the stopped sources come first, so running sums find
-    them without a loop. ``sizes`` has one row per source."""
+    them without a loop."""
     order = Window.orderBy(F.col("source").isNull(), F.col("source"))
     ranked = sizes.withColumn("rank", F.row_number().over(order) - 1)
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]),
@@ -62,34 +63,35 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS,
         (F.col("cap") / F.col("weight")).alias("r"), "rank", "left_words", "left_weight")))
     w = w.withColumn("first", first.over(every))
     share = F.col("weight") * F.col("first.left_words") / F.col("first.left_weight")
-    return w.select("source", "rank", "source_size",
+    return w.select("source", "rank", "rows", "source_size",
                     F.least(F.col("cap").cast("double"),
                             F.coalesce(share, F.lit(0.0))).alias("target"))
 
 
-def _range_of(key: str, n: int) -> Column:
-    """Order-preserving: the n-th part of the 64-bit range that a key is in."""
-    part = F.floor((F.col(key).cast("double") / 2.0 ** 64 + 0.5) * n)
-    return F.least(part, F.lit(n - 1)).cast("int")
-
-
-def _queued(docs: DataFrame, keep: Column, rows: int, sources: DataFrame) -> DataFrame:
-    """``keep`` and each row's place ``c`` (running words) in its source's queue."""
-    n = rows // ROWS_PER_RANGE + 1
-    d = docs.select(keep, "source", "size", "key", "tie", _range_of("key", n).alias("part"))
-    sums = d.groupBy("source", "part").agg(F.sum("size").alias("words"))
-    ahead = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sums.select("source", "part", F.coalesce(F.sum("words").over(ahead), F.lit(0))
-                         .alias("start"))
-    s = sources.alias("s")
-    starts = (starts.alias("p").join(s, F.expr("p.source <=> s.source"))
-              .select("p.source", "p.part", "p.start", "s.rank", "s.source_size", "s.target"))
-    d, p = d.alias("d"), starts.alias("p")
-    both = d.join(p, F.expr("d.source <=> p.source AND d.part = p.part"))
-    run = (Window.partitionBy("d.source", "d.part").orderBy("d.key", "d.tie")
+def _range_of(key: Column, n: Column) -> Column:
+    """Order-preserving: which of ``n`` equal parts of the 64-bit range a key is in."""
+    part = F.floor((key.cast("double") / 2.0 ** 64 + 0.5) * n)
+    return F.least(part, n - 1)
+
+
+def _queued(docs: DataFrame, keep: Column, sources: DataFrame) -> DataFrame:
+    """``keep`` and each row's place ``c`` (running words) in its source's queue.
+
+    A source's queue is cut into ranges of about ``ROWS_PER_RANGE`` rows."""
+    d, s = docs.alias("d"), sources.alias("s")
+    ranges = (F.col("s.rows") / ROWS_PER_RANGE).cast("long") + 1
+    d = (d.join(s, F.expr("d.source <=> s.source"))
+         .select(keep, "d.size", "d.key", "d.tie", "s.rank", "s.source_size", "s.target",
+                 _range_of(F.col("d.key"), ranges).alias("part")))
+    sums = d.groupBy("rank", "part").agg(F.sum("size").alias("words"))
+    ahead = Window.partitionBy("rank").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select("rank", "part",
+                         F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("start"))
+    run = (Window.partitionBy("rank", "part").orderBy("key", "tie")
            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return both.select("d.__row", "d.size", "p.rank", "p.source_size", "p.target",
-                       (F.col("p.start") + F.sum("d.size").over(run)).alias("c"))
+    return d.join(starts, ["rank", "part"]).select(
+        "__row", "size", "rank", "source_size", "target",
+        (F.col("start") + F.sum("size").over(run)).alias("c"))
 
 
 def _copies(max_epochs: int) -> Column:
@@ -133,12 +135,12 @@ def _mixed(docs: DataFrame, keep: Column, text: str, id_col: str, source: str,
     small = materialize(d.select(F.struct(F.col(f"__row.{id_col}")).alias("__row"),
                                  "source", "size", "key", "tie"))
     per_source = small.groupBy("source").agg(F.sum("size").alias("source_size"),
-                                             F.count(F.lit(1)).alias("n"))
+                                             F.count(F.lit(1)).alias("rows"))
     totals = materialize(per_source)
-    t = totals.agg(F.sum("source_size").alias("words"), F.sum("n").alias("rows")).first()
+    t = totals.agg(F.sum("source_size").alias("words"), F.sum("rows").alias("rows")).first()
     budget, rows = t["words"] or 0, t["rows"] or 0
-    sources = materialize(targets(totals.select("source", "source_size"), weights, max_epochs))
-    queue = materialize(_queued(small, F.col("__row"), rows, sources))
+    sources = materialize(targets(totals, weights, max_epochs))
+    queue = materialize(_queued(small, F.col("__row"), sources))
     cut = _cut(queue, rows, budget, max_epochs)
     if cut is None:
         copies = F.lit(0)
@@ -148,7 +150,7 @@ def _mixed(docs: DataFrame, keep: Column, text: str, id_col: str, source: str,
         copies = F.when((F.col("size") > 0) & (F.col("target") > 0),
                         F.size(F.filter(_copies(max_epochs), lambda k: k <= last))).otherwise(0)
     if not narrow:
-        queue = _queued(d, F.col("__row"), rows, sources)
+        queue = _queued(d, F.col("__row"), sources)
     return queue.withColumn("copies", copies)
 
 
