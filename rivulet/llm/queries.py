@@ -13,16 +13,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet.llm.common import held_out, table
+from rivulet.llm.html_text import html_text
 from rivulet.llm.language_id import fit_language_model, language_id
 from rivulet.llm.quality_rules import quality_rules, rules_sql
 from rivulet.llm.sentence_pieces import sentence_piece_digests
 from rivulet.llm.simhash import simhash_groups
 from rivulet.llm.source_mixing import source_mixing
+from rivulet.llm.topk_search import topk_search, topk_sql
 from rivulet.llm.toxicity import fit_toxicity, toxicity
+from rivulet.llm.url_filter import url_filter
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def q_url_filter(spark, sf_dir):
+    """URL verdicts of pages: rules, and boosted trees for the rest."""
+    return url_filter(table(spark, sf_dir, "pages"))
+
+
 def q_simhash(spark, sf_dir):
     """SimHash fingerprints and near-duplicate components of documents."""
     return simhash_groups(table(spark, sf_dir, "documents"))
@@ -62,13 +70,26 @@ def q_source_mixing(spark, sf_dir):
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def q_topk_search(spark, sf_dir):
+    """The ten nearest sign codes of every hundredth embedding."""
+    return topk_search(table(spark, sf_dir, "embeddings"))
+
+
+def q_html_text(spark, sf_dir):
+    """Main text of pages."""
+    return html_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filter": q_url_filter,
     "op2_simhash": q_simhash,
     "op4_language_id": q_language_id,
     "op5_toxicity": q_toxicity,
     "op6_quality_rules": q_quality_rules,
     "op7_sentence_pieces": q_sentence_pieces,
     "op8_source_mixing": q_source_mixing,
+    "op9_topk_search": q_topk_search,
+    "op10_html_text": q_html_text,
 }
 
-ORACLE_SQL: dict[str, str] = {"op6_quality_rules": rules_sql()}
+ORACLE_SQL: dict[str, str] = {"op6_quality_rules": rules_sql(), "op9_topk_search": topk_sql()}
