@@ -12,6 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rivulet.llm import lm_score as lm
 from rivulet.llm.common import held_out, table
 from rivulet.llm.html_text import html_text
 from rivulet.llm.language_id import fit_language_model, language_id
@@ -36,6 +37,15 @@ def q_simhash(spark, sf_dir):
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def q_lm_score(spark, sf_dir):
+    """Log probabilities of documents under a model of the other folds."""
+    docs, held = table(spark, sf_dir, "documents"), held_out("doc_id", 7, 2)
+    model = lm.fit_language_model(docs.filter(~held), PIECE_MODEL)
+    return lm.lm_score(docs, model).select(
+        "doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score",
+        "score")
+
+
 def q_language_id(spark, sf_dir):
     """Languages of documents, learned from the documents of the other folds."""
     docs = table(spark, sf_dir, "documents")
@@ -83,6 +93,7 @@ def q_html_text(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": q_url_filter,
     "op2_simhash": q_simhash,
+    "op3_lm_score": q_lm_score,
     "op4_language_id": q_language_id,
     "op5_toxicity": q_toxicity,
     "op6_quality_rules": q_quality_rules,

@@ -20,17 +20,15 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import sentencepiece
 from pyspark.sql import DataFrame
 
 from rivulet.llm.common import map_texts
+from rivulet.llm.pieces import MARK, WORDS_PER_TABLE, PieceTable
 
-MARK = "▁"  # the library's mark for a space
-CHUNKS_PER_TABLE = 200_000
 _CHUNK = re.compile(" +[^ ]*")
 
 
@@ -45,46 +43,38 @@ def chunks(text: str) -> list[str]:
     return [c[1:] for c in _CHUNK.findall(" " + text)]
 
 
-class ChunkTable:
+class ChunkTable(PieceTable):
     """Distinct chunk -> its ids and its decoded text, and texts by way of it."""
 
-    def __init__(self, model_file: str, limit: int = CHUNKS_PER_TABLE):
-        self.model = sentencepiece.SentencePieceProcessor(model_file=model_file)
-        n = self.model.get_piece_size()
-        if any(MARK in self.model.id_to_piece(i).lstrip(MARK) for i in range(n)):
+    def __init__(self, model_file: str, limit: int = WORDS_PER_TABLE):
+        super().__init__(model_file, limit)
+        pieces = range(self.model.get_piece_size())
+        if any(MARK in self.model.id_to_piece(i).lstrip(MARK) for i in pieces):
             raise ValueError("a piece of this vocabulary crosses a white space marker")
-        self.ends = [self.model.bos_id()], [self.model.eos_id()]
-        self.limit = limit
-        self._clear()
+        self.begin = np.array([self.model.bos_id()], "<u4")
+        self.end = np.array([self.model.eos_id()], "<u4")
 
     def _clear(self) -> None:
-        self.row: dict[str, int] = {}
-        self.ids: list[np.ndarray] = []
+        super()._clear()
         self.text: list[str] = []
 
-    def add(self, wanted: list[str]) -> None:
-        """Segment and decode the chunks that the table lacks."""
-        new = list(dict.fromkeys(c for c in wanted if c not in self.row))
-        if not new:
-            return
-        ids = self.model.encode(new, num_threads=1)
-        if "" in new:  # one mark alone: the library gives nothing for an empty text
-            ids[new.index("")] = [self.model.piece_to_id(MARK)]
-        for c, i in zip(new, ids):
-            self.row[c] = len(self.ids)
-            self.ids.append(np.array(i, dtype="<u4"))
-        self.text += self.model.decode(ids)
-
-    def encode(self, text: str) -> tuple[np.ndarray, str]:
-        """Ids with begin and end, and the text that they decode to."""
-        parts = chunks(text)
-        if len(self.row) > self.limit:
-            self._clear()
-        self.add(parts)
-        rows = [self.row[c] for c in parts]
-        ids = np.concatenate([np.array(self.ends[0], "<u4"), *[self.ids[r] for r in rows],
-                              np.array(self.ends[1], "<u4")])
-        return ids, " ".join([self.text[r] for r in rows])
+    def added(self, new: list[str], ids: list[list[int]]) -> None:
+        decoded = self.model.decode(ids)
+        self.text += [c if c == d else d for c, d in zip(new, decoded)]  # one copy in memory
+
+    def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, str]]:
+        """For each text its ids, with begin and end, and what they decode to."""
+        parts = [chunks(t) for t in texts]
+        rows = self.rows([c for p in parts for c in p])
+        ids, n = self.gather(rows)
+        ids = ids.astype("<u4")
+        after = np.append(0, np.cumsum(n))
+        first = 0
+        for p in parts:
+            last = first + len(p)
+            yield (np.concatenate([self.begin, ids[after[first]:after[last]], self.end]),
+                   " ".join([self.text[r] for r in rows[first:last].tolist()]))
+            first = last
 
 
 def encoded(docs: DataFrame, model_file: str, text: str, id_col: str, columns: str,
@@ -98,7 +88,7 @@ def encoded(docs: DataFrame, model_file: str, text: str, id_col: str, columns: s
 
         def block(batch: pa.RecordBatch, texts: list[str]) -> pa.RecordBatch:
             ids = batch.column(0)
-            made = list(zip(*[row(*table.encode(t)) for t in texts]))
+            made = list(zip(*[row(*e) for e in table.encode(texts)]))
             return pa.RecordBatch.from_arrays(
                 [ids, *[pa.array(c) for c in made]], [id_col, *names])
         return block
