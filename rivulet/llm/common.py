@@ -39,6 +39,14 @@ def held_out(doc_id: Column | str, modulus: int, held: int) -> Column:
     return F.coalesce(remainder(doc_id, modulus) == held, F.lit(False))
 
 
+def sample_by_hash(df: DataFrame, key: Column, share: Column | float, limit: int) -> DataFrame:
+    """About ``share`` of the rows, the same ones at every run: those whose
+    hashed ``key`` falls in the first ``share`` of the hash range; never more
+    than ``limit`` rows, however often a key repeats."""
+    place = F.xxhash64(key).cast("double") / 2.0 ** 64 + 0.5
+    return df.filter(place < share).limit(limit)
+
+
 def blocks(batches: Iterator[pa.RecordBatch], text: str,
            chars: int = CHARS_PER_BLOCK) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Cut Arrow batches into blocks of at most ``chars`` characters of text

@@ -3,9 +3,9 @@ character n-grams, trained with FTRL and elastic-net penalties, then
 calibrated with a temperature.
 
 Document frequencies are counted over all training texts. The regression is
-fitted on a bounded sample of them (``SAMPLE`` documents over all languages,
-those of the smallest hash in each language); every fifth document of the
-sample is left out of it and sets the temperature.
+fitted on a bounded sample of them (about ``SAMPLE`` documents, as many of
+each language, drawn by hash); every fifth document of the sample is left
+out of it and sets the temperature.
 
 Defined results: a text that is null, empty or without a letter is ``und``
 with score 0. Rows with a null label or a null id teach nothing. With no
@@ -21,15 +21,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rivulet.llm.common import blocks, filter_texts, map_texts
+from rivulet.llm.common import blocks, filter_texts, map_texts, sample_by_hash
 from rivulet.llm.ftrl import Ftrl, probabilities, train_in_one_task
 
 UNKNOWN = "und"
 BUCKETS = 1 << 14  # hashed n-grams; bucket 0 is the bias
-SAMPLE = 8_000  # documents that the regression is fitted on, at most
+SAMPLE = 8_000  # documents that the regression is fitted on; never over twice as many
 EPOCHS = 2
 CALIBRATION = 5  # every fifth document of the sample
 FTRL = {"alpha": 0.5, "beta": 1.0, "l1": 0.02, "l2": 0.02}
@@ -129,17 +129,16 @@ def fit_language_model(train: DataFrame, text: str = "text", label: str = "lang"
     train = train.filter(F.col(label).isNotNull()).select(
         F.col(text).alias("text"), F.col(label).cast("string").alias("label"),
         F.col(id_col).alias("id"))
-    languages = sorted(r["label"] for r in train.select("label").distinct().collect())
+    counts = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
+    languages = sorted(counts)
     if len(languages) < 2:
         return LanguageModel(languages, np.zeros(BUCKETS), np.zeros((BUCKETS, 1)), 1.0)
     df = document_frequencies(train, "text")
     idf = np.log((1 + df[0]) / (1 + df)) + 1
-    order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    picked = (train.select("id", "label").filter("id IS NOT NULL")
-              .withColumn("n", F.row_number().over(order))
-              .filter(F.col("n") <= max(1, sample // len(languages)))
-              .select("id").distinct())
-    rows = train.join(F.broadcast(picked), "id").select("id", "label", "text")
+    shares = F.create_map(*[F.lit(v) for x in languages
+                            for v in (x, sample / len(languages) / counts[x])])
+    rows = sample_by_hash(train.filter("id IS NOT NULL"), F.col("id"),
+                          F.element_at(shares, F.col("label")), 2 * sample)
 
     def fit(batches: Iterator[pa.RecordBatch]) -> pa.RecordBatch:
         letters, number = letters_table(), {x: k for k, x in enumerate(languages)}

@@ -1,0 +1,68 @@
+"""The registered queries at sf0.01: SQL oracles, and the pipeline against
+its stages done by hand on the driver."""
+
+from __future__ import annotations
+
+import hashlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from conftest import SF01
+
+import corpus_pipeline
+from oracle import compare, duck
+from rivulet.llm import queries
+from rivulet.llm.sentence_pieces import ChunkTable
+from rivulet.llm.simhash import simhash_groups
+from rivulet.llm.source_mixing import source_mixing
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_query_matches_sql(spark, name):
+    r = compare(queries.QUERIES[name](spark, SF01), duck(SF01), queries.ORACLE_SQL[name])
+    assert r["ok"], r
+
+
+def test_every_operator_is_registered():
+    assert sorted(int(k.split("_")[0][2:]) for k in queries.QUERIES) == list(range(1, 11))
+
+
+def test_held_out_accuracy(spark):
+    lang = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF01}/documents.parquet")
+            .select("doc_id", "lang").collect()}
+    rows = queries.QUERIES["op4_language_id"](spark, SF01).collect()
+    right = [r.lang_pred == lang[r.doc_id] for r in rows if r.held_out and lang[r.doc_id]]
+    assert len(rows) == 1000 and np.mean(right) > 0.97
+
+
+def test_pipeline(spark):
+    got = corpus_pipeline.run(spark, SF01)
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    names = [n for n, _ in corpus_pipeline.STAGES]
+    assert names == ["quality_rules", "language_id", "simhash_dedup", "source_mixing",
+                     "sentence_pieces"]
+    quality = {r.doc_id for r in queries.QUERIES["op6_quality_rules"](spark, SF01)
+               .filter("kept").collect()}
+    kept = docs.filter(docs.doc_id.isin(list(quality)))
+    stage = dict(corpus_pipeline.STAGES)
+    known = stage["language_id"](spark, kept, SF01)
+    assert known.columns == docs.columns and known.count() >= 0.97 * len(quality)
+    first = {r.component_id for r in simhash_groups(known).collect()}
+    single = docs.filter(docs.doc_id.isin(list(first)))
+    copies = {r.doc_id: r.copies for r in source_mixing(single).collect()}
+    texts = {r.doc_id: r.text for r in single.collect()}
+    model = ChunkTable(queries.PIECE_MODEL).model
+    want = Counter()
+    for i, n in copies.items():
+        ids = [1, *model.encode(texts[i]), 2]
+        want[(i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(),
+              hashlib.sha256(model.decode(ids).encode()).hexdigest())] += n
+    assert Counter(tuple(r) for r in got.collect()) == +want
+
+
+def test_pipeline_on_an_empty_table(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF01)
+        assert docs.count() == 0
