@@ -95,7 +95,11 @@ def measures(df: DataFrame, text: str, keep: Column) -> DataFrame:
 
     Hashes of all 5-word windows first tell whether any window can occur
     twice; only texts where one can build and sort the windows themselves,
-    so the count is exact."""
+    so the count is exact.
+
+    The measures pass through ``explode``: a filter on them stops there.
+    Pushed below the projections, it would carry copies of their expressions
+    and measure each text many times."""
     t = df.select(keep, text_or_empty(text).alias("t"))
     w = t.select("__row", "t", words(F.col("t")).alias("w"),
                  F.filter(F.split("t", "\n"), lambda x: x.rlike(WORD)).alias("lines"))
@@ -111,8 +115,7 @@ def measures(df: DataFrame, text: str, keep: Column) -> DataFrame:
     def count(c: Column, name: str) -> Column:
         return c.cast("long").alias(name)
 
-    return g.select(
-        "__row",
+    measured = F.struct(
         count(F.size("w"), "n_words"),
         count(F.length(F.translate("t", WHITE, "")), "word_chars"),
         count(F.length("t") - F.length(F.translate("t", SYMBOLS, "")), "n_symbols"),
@@ -122,6 +125,7 @@ def measures(df: DataFrame, text: str, keep: Column) -> DataFrame:
         count(F.when(F.col("grams").isNull(), 0).otherwise(
             repeated_words(F.col("w"), F.col("grams"))), "n_repeat_words"),
     )
+    return g.select("__row", F.explode(F.array(measured)).alias("m")).select("__row", "m.*")
 
 
 def judged(df: DataFrame, text: str, keep: Column, rules: tuple[Rule, ...]) -> DataFrame:
@@ -145,15 +149,9 @@ def quality_rules(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
 
 def keep_quality(docs: DataFrame, text: str = "text",
                  rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The rows of ``docs``, all their columns, that the rules keep.
-
-    The verdict passes through ``explode``, not ``filter``: a filter would be
-    pushed below the projections, and its copies of their expressions would
-    measure each text many times."""
+    """The rows of ``docs``, all their columns, that the rules keep."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
-    out = judged(docs, text, row, rules)
-    return (out.select("__row", F.explode(F.when(F.col("kept"), F.array(F.lit(1)))))
-            .select("__row.*"))
+    return judged(docs, text, row, rules).filter("kept").select("__row.*")
 
 
 def rules_sql(rules: tuple[Rule, ...] = RULES) -> str:
