@@ -164,10 +164,12 @@ def fit_language_model(train: DataFrame, text: str = "text", label: str = "lang"
             ["at", "w", "t"])
 
     model = train_in_one_task(rows, [F.xxhash64("id"), F.col("id"), F.col("text")],
-                              "at array<bigint>, w array<double>, t double", fit)[0]
+                              "at array<bigint>, w array<double>, t double", fit)
     weights = np.zeros((BUCKETS, len(languages)))
-    weights[model["at"]] = np.array(model["w"]).reshape(-1, len(languages))
-    return LanguageModel(languages, idf, weights, model["t"])
+    if not model:  # every label's id is null
+        return LanguageModel(languages, idf, weights, 1.0)
+    weights[model[0]["at"]] = np.array(model[0]["w"]).reshape(-1, len(languages))
+    return LanguageModel(languages, idf, weights, model[0]["t"])
 
 
 def language_id(docs: DataFrame, model: LanguageModel, text: str = "text",

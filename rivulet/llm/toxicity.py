@@ -115,9 +115,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", label:
         return pa.RecordBatch.from_arrays([pa.array([at.tolist()]), pa.array([w[at].tolist()])],
                                           ["at", "w"])
 
-    model = train_in_one_task(rows, [F.xxhash64("id"), F.col("id"), F.col("text")],
-                              "at array<bigint>, w array<double>", fit)[0]
-    return dict(zip(model["at"], model["w"]))
+    fitted = train_in_one_task(rows, [F.xxhash64("id"), F.col("id"), F.col("text")],
+                               "at array<bigint>, w array<double>", fit)
+    return dict(zip(fitted[0]["at"], fitted[0]["w"])) if fitted else {}
 
 
 def toxicity(docs: DataFrame, weights: dict[int, float], text: str = "text",
@@ -129,7 +129,8 @@ def toxicity(docs: DataFrame, weights: dict[int, float], text: str = "text",
 
     def make():
         hasher, w = Hasher(), np.zeros(1 << BITS)
-        w[list(shared.value)] = list(shared.value.values())
+        for at, weight in shared.value.items():
+            w[at] = weight
 
         def block(batch: pa.RecordBatch, texts: list[str]) -> pa.RecordBatch:
             scores = np.array([w[hasher.features(t)].sum() for t in texts])  # w holds PAIR
