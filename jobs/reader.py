@@ -22,6 +22,7 @@ from pyspark.sql import SparkSession  # noqa: E402
 from rivulet.operators.metrics import READ_COUNTER, ProgressCounter  # noqa: E402
 from rivulet.plans import build_reader  # noqa: E402
 from rivulet.session import scratch_path  # noqa: E402
+from rivulet.sources.streams import byte_limit  # noqa: E402
 from rivulet.streaming import discard_sink  # noqa: E402
 
 
@@ -30,7 +31,8 @@ def parse(argv=None):
     p.add_argument("--input-dir", required=True)
     p.add_argument("--poll-interval", type=int, default=10, help="seconds")
     p.add_argument("--max-files-per-trigger", type=int)
-    p.add_argument("--max-bytes-per-trigger", type=int)
+    p.add_argument("--max-bytes-per-trigger", type=int,
+                   help="default 2 GiB, unless files per trigger are given")
     p.add_argument("--parallelism", type=int,
                    help="minimum number of read tasks per micro-batch (S9)")
     p.add_argument("--checkpoint")
@@ -51,7 +53,7 @@ def main(argv=None) -> int:
                         query_name="reader")
     q = build_reader(spark, a.input_dir, sink, create=True,
                      max_files_per_trigger=a.max_files_per_trigger,
-                     max_bytes_per_trigger=a.max_bytes_per_trigger)
+                     max_bytes_per_trigger=byte_limit(a))
     counter = ProgressCounter(READ_COUNTER)
     start = time.time()
     while q.isActive:
@@ -62,8 +64,9 @@ def main(argv=None) -> int:
             break
         if a.timeout and time.time() - start > a.timeout:
             break
-        q.awaitTermination(max(1, a.poll_interval))
-    n = counter.poll(q)
+        q.awaitTermination(min(1, a.poll_interval))
+    counter.poll(q)
+    n = counter.complete_total()
     if q.isActive:
         q.stop()
     print(f"{READ_COUNTER}={n}")

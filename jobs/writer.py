@@ -12,8 +12,10 @@ is an unbounded file stream (S3). ``--enrichment-stream-dir`` switches from
 the static lookup to arrival-ordered enrichment from a second stream (J3).
 ``--once`` processes what is there and
 stops (K4); otherwise a micro-batch runs every ``--checkpoint-interval``
-(T3). Checkpoint and landing folders go under the cluster's
-``spark.checkpoint.dir`` unless ``--checkpoint`` is given.
+(T3). The checkpoint is the table's own (``<table>.checkpoint``) unless
+``--checkpoint`` is given, so a second run appends to the table. Generated
+records land under the checkpoint; a run that was killed is finished by the
+next start before any new records are made.
 """
 
 from __future__ import annotations
@@ -21,18 +23,27 @@ from __future__ import annotations
 import argparse
 import os
 import sys
+from dataclasses import replace
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
 from rivulet.operators.metrics import WRITTEN_COUNTER, ProgressCounter  # noqa: E402
-from rivulet.plans import build_stateful_writer, build_writer, stage_bounded  # noqa: E402
+from rivulet.plans import build_stateful_writer, build_writer  # noqa: E402
 from rivulet.schemas import ENRICHMENT, RAW  # noqa: E402
-from rivulet.session import RECOMMENDED_CONF, scratch_path, state_partitions  # noqa: E402
+from rivulet.session import RECOMMENDED_CONF, session_conf, state_partitions  # noqa: E402
 from rivulet.sources import enrichment_stream, enrichments, raw_events, raw_stream  # noqa: E402
+from rivulet.sources.fs import exists, mkdirs, names, rename, write_text  # noqa: E402
+from rivulet.sources.streams import byte_limit  # noqa: E402
 from rivulet.streaming import append_sink  # noqa: E402
-from rivulet.streaming.arrival import plan_state_layout  # noqa: E402
+from rivulet.streaming.arrival import (  # noqa: E402
+    StateLayout,
+    keep_layout,
+    kept_layout,
+    plan_state_layout,
+)
+from rivulet.streaming.sinks import table_checkpoint  # noqa: E402
 
 
 def parse(argv=None):
@@ -42,11 +53,12 @@ def parse(argv=None):
     p.add_argument("--parallelism", type=int, default=2,
                    help="partitions of the generated input (S1)")
     p.add_argument("--write-parallelism", type=int,
-                   help="coalesce to this many writing tasks (K7); default: as read")
+                   help="shuffle to this many writing tasks (K7); default: as read")
     p.add_argument("--checkpoint-interval", type=int, default=10_000, help="ms")
     p.add_argument("--input-dir")
     p.add_argument("--max-files-per-trigger", type=int)
-    p.add_argument("--max-bytes-per-trigger", type=int)
+    p.add_argument("--max-bytes-per-trigger", type=int,
+                   help="default 2 GiB, unless files per trigger are given")
     p.add_argument("--enrichments", help="parquet folder of enrichment records")
     p.add_argument("--enrichment-stream-dir",
                    help="folder of enrichment files read as a stream; enrich in arrival "
@@ -54,7 +66,7 @@ def parse(argv=None):
     p.add_argument("--key-groups", type=int,
                    help="arrival-order state: hash keys into this many groups "
                         "(fixed for the life of the checkpoint)")
-    p.add_argument("--salt-buckets", type=int, default=4,
+    p.add_argument("--salt-buckets", type=int,
                    help="arrival-order state: salts per key (fixed per checkpoint)")
     p.add_argument("--layout-from",
                    help="parquet folder of past raw records: salt only its hot keys and "
@@ -70,6 +82,54 @@ def parse(argv=None):
     return p.parse_args(argv)
 
 
+def landed(spark, a, checkpoint: str) -> str:
+    """Land the generated records of this run and return the landing folder.
+
+    A run is staged, moved file by file (a move that was done is not repeated)
+    and marked as landed; its end is marked too. So a start after a kill
+    finishes the run before, and only then does a start begin a new one."""
+    landing, marks = f"{checkpoint}.landing", f"{checkpoint}.runs"
+    done = names(spark, marks)
+    run = sum(n.endswith(".done") for n in done)
+    if f"{run}.landed" not in done:
+        staged = f"{checkpoint}.staging/{run}"
+        if f"{run}.staged" not in done:
+            (raw_events(spark, a.num_records, a.parallelism).write.mode("overwrite")
+             .parquet(staged))
+            write_text(spark, f"{marks}/{run}.staged", "")
+        mkdirs(spark, landing)
+        for n in names(spark, staged):
+            if n.endswith(".parquet"):
+                rename(spark, f"{staged}/{n}", f"{landing}/run-{run}-{n}")
+        write_text(spark, f"{marks}/{run}.landed", "")
+    return landing
+
+
+def finished(spark, checkpoint: str) -> None:
+    """Mark the run as done, once its last batch is committed."""
+    marks = f"{checkpoint}.runs"
+    if exists(spark, marks):
+        run = sum(n.endswith(".done") for n in names(spark, marks))
+        write_text(spark, f"{marks}/{run}.done", "")
+
+
+def state_layout(spark, a, checkpoint: str) -> StateLayout:
+    """The checkpoint's layout; at its first start, from the options and the
+    history. Options given later must agree with it."""
+    kept = kept_layout(spark, checkpoint)
+    if kept is None:
+        hot_keys, key_groups = None, a.key_groups
+        if a.layout_from:
+            hot_keys, planned = plan_state_layout(
+                spark.read.schema(RAW).parquet(a.layout_from), "data")
+            key_groups = key_groups or planned
+        kept = StateLayout(a.salt_buckets or StateLayout().salt_buckets, hot_keys, key_groups,
+                           state_partitions(spark))
+    asked = replace(kept, salt_buckets=a.salt_buckets or kept.salt_buckets,
+                    key_groups=a.key_groups or kept.key_groups)
+    return keep_layout(spark, checkpoint, asked)
+
+
 def main(argv=None) -> int:
     a = parse(argv)
     builder = SparkSession.builder.appName("rivulet-writer")
@@ -77,18 +137,14 @@ def main(argv=None) -> int:
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
 
-    if a.input_dir:
-        raw = raw_stream(spark, a.input_dir, RAW, a.max_files_per_trigger,
-                         max_bytes_per_trigger=a.max_bytes_per_trigger)
-    else:
-        landing = scratch_path(spark, "landing")
-        stage_bounded(spark, raw_events(spark, a.num_records, a.parallelism), landing)
-        raw = raw_stream(spark, landing, RAW, a.max_files_per_trigger,
-                         max_bytes_per_trigger=a.max_bytes_per_trigger)
+    checkpoint = a.checkpoint or table_checkpoint(a.output_dir)
+    limit = byte_limit(a)
+    raw = raw_stream(spark, a.input_dir or landed(spark, a, checkpoint), RAW,
+                     a.max_files_per_trigger, max_bytes_per_trigger=limit)
     dim = (spark.read.schema(ENRICHMENT).parquet(a.enrichments) if a.enrichments
            else enrichments(spark))  # static dimension of the lookup
     sink = append_sink(
-        a.output_dir, a.checkpoint or scratch_path(spark, "writer-ckpt"),
+        a.output_dir, checkpoint,
         trigger="available_now" if a.once else f"{a.checkpoint_interval} milliseconds",
         max_records_per_file=a.max_records_per_file,
         parquet_block_size=a.parquet_block_size,
@@ -98,27 +154,22 @@ def main(argv=None) -> int:
         write_parallelism=None if a.cluster_by_partition else a.write_parallelism,
         query_name="writer")
     if a.enrichment_stream_dir:
-        # State partitions are fixed at the checkpoint's first start: two per
-        # core, never more than configured.
-        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions(spark)))
         enr = enrichment_stream(spark, a.enrichment_stream_dir, ENRICHMENT,
                                 a.max_files_per_trigger,
-                                max_bytes_per_trigger=a.max_bytes_per_trigger)
-        hot_keys, key_groups = None, a.key_groups
-        if a.layout_from:
-            hot_keys, planned = plan_state_layout(
-                spark.read.schema(RAW).parquet(a.layout_from), "data")
-            key_groups = key_groups or planned
-        q = build_stateful_writer(raw, enr, sink, grain=a.grain, salt_buckets=a.salt_buckets,
-                                  hot_keys=hot_keys, key_groups=key_groups)
+                                max_bytes_per_trigger=limit)
+        layout = state_layout(spark, a, checkpoint)
+        with session_conf(spark, {"spark.sql.shuffle.partitions": layout.partitions}):
+            q = build_stateful_writer(raw, enr, sink, grain=a.grain,
+                                      salt_buckets=layout.salt_buckets,
+                                      hot_keys=layout.hot_keys, key_groups=layout.key_groups)
     else:
         q = build_writer(raw, dim, sink, grain=a.grain)
     counter = ProgressCounter(WRITTEN_COUNTER)
-    # Poll while running: a query keeps only its last 100 progress events.
-    while not q.awaitTermination(max(1.0, a.checkpoint_interval / 1000)):
-        counter.poll(q)
-    print(f"{WRITTEN_COUNTER}={counter.poll(q)}")
-    return 0 if q.exception() is None else 1
+    written = counter.follow(q)
+    if not a.input_dir:
+        finished(spark, checkpoint)
+    print(f"{WRITTEN_COUNTER}={written}")
+    return 0
 
 
 if __name__ == "__main__":

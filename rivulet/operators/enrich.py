@@ -60,8 +60,9 @@ def latest_by_key(dim: DataFrame, key: str = "key",
     """Last write wins (J2): one row per ``key``, the one with the greatest
     ``order`` tuple; output columns ``key, *order, *values``.
 
-    In batch there is no arrival order, so "last" is the greatest ``order``
-    (give a unique tie-breaker as the last order column). It is one
+    In batch there is no arrival order, so "last" is the greatest ``order``;
+    of equal ones the greatest ``values``, so a tie is decided alike in every
+    run. It is one
     aggregate of ``max_by`` with a partial aggregate map-side, so a hot key
     sends one row per map task to the shuffle, not all of its rows. Spark
     plans it sort-based (the struct buffer is not fixed-width): a per-task
@@ -69,7 +70,7 @@ def latest_by_key(dim: DataFrame, key: str = "key",
     """
     order, values = list(order), list(values)
     picked = F.max_by(F.struct(*[F.col(c) for c in order + values]),
-                      F.struct(*[F.col(c) for c in order])).alias("_latest")
+                      F.struct(*[F.col(c) for c in order + values])).alias("_latest")
     return dim.groupBy(key).agg(picked).select(
         key, *[F.col(f"_latest.{c}").alias(c) for c in order + values]
     )
@@ -122,8 +123,9 @@ def attach_enrichment(raw: DataFrame, dim: DataFrame, on: str = "data",
     spreading (and dimension replication) to those keys.
 
     ``dim_rows_bound`` is a row bound known by construction (e.g. a generated
-    dimension of n rows): within ``max_broadcast_rows`` it is the size proof,
-    and the dimension is broadcast without the checkpoint and check jobs.
+    dimension of n rows): within ``max_broadcast_rows`` the dimension is not
+    checkpointed first. Its bytes are checked all the same, as are those of a
+    dimension with ``strategy="broadcast"``; one too large is shuffled.
     """
     if dim.isStreaming:
         raise ValueError("dimension must be static; use enrich_stateful for two streams")
@@ -132,7 +134,7 @@ def attach_enrichment(raw: DataFrame, dim: DataFrame, on: str = "data",
     lookup = dim.select(F.col(key).alias("_dim_key"), F.col(value).alias("_dim_value"))
     if (strategy == "auto" and dim_rows_bound is not None
             and dim_rows_bound <= max_broadcast_rows):
-        strategy, materialize_dim = "broadcast", False
+        materialize_dim = False
     if materialize_dim and strategy != "bucketed":
         # One computation serves both the size check and the join; and the
         # join then reads the dimension through its own exchange, which is
@@ -142,7 +144,7 @@ def attach_enrichment(raw: DataFrame, dim: DataFrame, on: str = "data",
     if max_broadcast_bytes is None:
         max_broadcast_bytes = (DEFAULT_MAX_STREAM_BROADCAST_BYTES if raw.isStreaming
                                else DEFAULT_MAX_BROADCAST_BYTES)
-    if strategy == "auto":
+    if strategy in ("auto", "broadcast"):
         if broadcast_size_ok(lookup, ["_dim_value"], max_broadcast_rows, max_broadcast_bytes):
             strategy = "broadcast"
         elif not _aqe_skew_join_on(raw):

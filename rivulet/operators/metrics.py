@@ -49,9 +49,11 @@ class ProgressCounter:
     """Sums the observed ``n`` of a metric over a streaming query's batches.
 
     Reads ``query.recentProgress`` and keeps a running total keyed by batch
-    id, so a batch is counted once however often it is polled. Poll at
-    least once per ``spark.sql.streaming.numRecentProgressUpdates`` batches
-    (default 100) for a long-running query; a finished query needs one poll.
+    id, so a batch is counted once however often it is polled. A query keeps
+    only its last progress events
+    (``spark.sql.streaming.numRecentProgressUpdates``, default 100): poll
+    while it runs (``follow``). A batch that slipped by leaves a gap in the
+    ids, and ``complete_total`` raises rather than return too little.
     No listener callback (and so no callback server) is involved.
     """
 
@@ -68,6 +70,23 @@ class ProgressCounter:
                     self._per_batch[int(p.batchId)] = int(row["n"])
         return self.total
 
+    def follow(self, query, every: float = 0.2) -> int:
+        """Poll until the query ends; its rows. Raises what the query raised."""
+        while not query.awaitTermination(every):
+            self.poll(query)
+        self.poll(query)
+        return self.complete_total()
+
+    def complete_total(self) -> int:
+        """The total, if no batch between the first and the last is missing."""
+        with self._lock:
+            ids = sorted(self._per_batch)
+            if ids and len(ids) != ids[-1] - ids[0] + 1:
+                raise RuntimeError(
+                    f"progress of {ids[-1] - ids[0] + 1 - len(ids)} batches was not seen; poll "
+                    "more often or raise spark.sql.streaming.numRecentProgressUpdates")
+            return sum(self._per_batch.values())
+
     @property
     def total(self) -> int:
         with self._lock:

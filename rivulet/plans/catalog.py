@@ -14,19 +14,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rivulet.fixed import NUM_ENRICHMENTS
 from rivulet.functions.keys import record_key
-from rivulet.functions.time import utc_bucket
-from rivulet.operators.arrival_bounded import enrich_arrival_bounded
+from rivulet.functions.time import epoch_ms_from_ntz, utc_bucket
+from rivulet.operators.arrival_bounded import enrich_table_bounded
 from rivulet.operators.enrich import enrich, latest_by_key, to_enriched
 from rivulet.operators.metrics import READ_COUNTER, WRITTEN_COUNTER, ProgressCounter
 from rivulet.plans.reader import build_reader
 from rivulet.plans.writer import build_writer
 from rivulet.session import scratch_path, session_conf, state_partitions
+from rivulet.sources.fs import mkdirs
 from rivulet.sources.generated import (
     DEFAULT_T0_MS,
     enrichment_record,
@@ -35,17 +36,18 @@ from rivulet.sources.generated import (
 )
 from rivulet.sources.lake import read_snapshot
 from rivulet.sources.tables import enrichment_updates, events_as_raw, load_table, table_stream
-from rivulet.streaming.arrival import enrich_stateful, plan_state_layout
+from rivulet.streaming.arrival import StateLayout, enrich_stateful, keep_layout, plan_state_layout
 from rivulet.streaming.sinks import append_sink, discard_sink
-from rivulet.streaming.watermark import with_enrichment_watermark
+from rivulet.streaming.watermark import EVENT_TIME_COLUMN, with_enrichment_watermark
 
 RAW_PARALLELISM = 2
 TABLE_GRAIN = "day"  # minute grain on driver data = one folder per event
-HOT_KEY_SHARE = 0.01  # a user with 1% of all events is spread over salt groups
+ROWS_PER_SLICE = 20_000_000  # events that the arrival-order query takes in one run
 KEYS_PER_GROUP = 64  # users per key group of the arrival-order state
 # Bounded micro-batches when ``events`` is a folder of many files: a failed
 # batch re-runs only its share, and a keyed-state group holds at most its
-# share of one batch. Files are taken oldest first (arrival order).
+# share of one batch. For these queries the order of files does not matter;
+# those that need arrival order stage their input in slices.
 BYTES_PER_TRIGGER = 2 * 1024 ** 3
 
 
@@ -132,9 +134,37 @@ def write_table(spark: SparkSession, sf_dir: str, table: str | None = None,
     table = table or scratch_path(spark, "table")
     sink = append_sink(table, scratch_path(spark, "writer-ckpt"), trigger="available_now")
     raw = events_as_raw(_events_stream(spark, sf_dir))
-    q = _await(build_writer(raw, enrichments(spark, NUM_ENRICHMENTS, DEFAULT_T0_MS), sink,
-                            grain=grain, dim_rows_bound=NUM_ENRICHMENTS))
-    return table, ProgressCounter(WRITTEN_COUNTER).poll(q)
+    q = build_writer(raw, enrichments(spark, NUM_ENRICHMENTS, DEFAULT_T0_MS), sink,
+                     grain=grain, dim_rows_bound=NUM_ENRICHMENTS)
+    return table, ProgressCounter(WRITTEN_COUNTER).follow(q)
+
+
+def slices(events: DataFrame, order: Column, n: int) -> list[DataFrame]:
+    """``events`` in ``n`` consecutive ranges of ``order`` (nulls first)."""
+    value = order.cast("double")
+    at = events.agg(F.percentile_approx(value, [k / n for k in range(1, n)], 10_000)).first()[0] \
+        if n > 1 else []
+    bounds = [None, *sorted(set(at or [])), None]
+    out = []
+    for low, high in zip(bounds, bounds[1:]):
+        inside = F.lit(True) if high is None else F.coalesce(value <= high, F.lit(low is None))
+        if low is not None:
+            inside = inside & (value > low)
+        out.append(events.filter(inside))
+    return out
+
+
+def run_in_slices(spark: SparkSession, parts: list[DataFrame],
+                  start: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Land the parts one after another in a folder; after each, run the
+    query over a stream of the folder to its end, on the same checkpoint. A
+    part is a run of its own, so the runs follow the order of the parts and
+    every start but the first resumes from state."""
+    landing = scratch_path(spark, "slices")
+    mkdirs(spark, landing)
+    for part in parts:
+        part.write.mode("append").parquet(landing)
+        _await(start(spark.readStream.schema(part.schema).parquet(landing)))
 
 
 def q_append_snapshot(spark, sf_dir):
@@ -148,8 +178,8 @@ def copy_incremental(spark: SparkSession, table: str) -> tuple[str, int]:
     second table (a discard sink would leave nothing to compare)."""
     copy = scratch_path(spark, "copy")
     sink = append_sink(copy, scratch_path(spark, "reader-ckpt"), trigger="available_now")
-    q = _await(build_reader(spark, table, sink, create=True))
-    return copy, ProgressCounter(READ_COUNTER).poll(q)
+    q = build_reader(spark, table, sink, create=True, max_bytes_per_trigger=BYTES_PER_TRIGGER)
+    return copy, ProgressCounter(READ_COUNTER).follow(q)
 
 
 def q_append_incremental(spark, sf_dir):
@@ -169,53 +199,105 @@ def q_count_read(spark, sf_dir):
     """Records-read counter of the reader job over a discard sink (A2, F2, K9)."""
     table, _ = write_table(spark, sf_dir)
     sink = discard_sink(scratch_path(spark, "count-ckpt"), trigger="available_now")
-    q = _await(build_reader(spark, table, sink, create=True))
-    return spark.createDataFrame([(ProgressCounter(READ_COUNTER).poll(q),)], "n bigint")
+    q = build_reader(spark, table, sink, create=True, max_bytes_per_trigger=BYTES_PER_TRIGGER)
+    return spark.createDataFrame([(ProgressCounter(READ_COUNTER).follow(q),)], "n bigint")
 
 
-def q_enrich_arrival_order(spark, sf_dir):
-    """Stream J3: each event gets its user's previous event type (arrival order).
+def q_append_hourly(spark, sf_dir):
+    """The writer's table at hour grain."""
+    table, _ = write_table(spark, sf_dir, grain="hour")
+    return read_snapshot(spark, table, require=True)
+
+
+def q_append_two_runs(spark, sf_dir):
+    """Two runs of the writer into one table, on its own checkpoint (K1, K3)."""
+    table = scratch_path(spark, "table")
+    dim = enrichments(spark, NUM_ENRICHMENTS, DEFAULT_T0_MS)
+    run_in_slices(spark, slices(_events(spark, sf_dir), F.col("event_id"), 2), lambda stream: build_writer(
+        events_as_raw(stream), dim, append_sink(table), grain=TABLE_GRAIN,
+        dim_rows_bound=NUM_ENRICHMENTS))
+    return read_snapshot(spark, table, require=True)
+
 
-    Arrival order is ``event_id``; the keyed-state stream operator does it.
+def q_read_while_writing(spark, sf_dir):
+    """A reader started before its table exists, running while the writer
+    writes it, into a copy (S7, T5, T6)."""
+    table, copy = scratch_path(spark, "table"), scratch_path(spark, "copy")
+    reader = build_reader(spark, table, append_sink(copy, trigger="500 milliseconds"), create=True,
+                          max_bytes_per_trigger=BYTES_PER_TRIGGER)
+    write_table(spark, sf_dir, table)
+    reader.processAllAvailable()
+    reader.stop()
+    return read_snapshot(spark, copy, require=True)
+
+
+def enrich_in_arrival_order(spark: SparkSession, sf_dir: str, least_slices: int) -> DataFrame:
+    """Stream J3 over ``events`` in slices of arrival order.
 
     One per-user count of the table first gives the state layout: users
-    holding at least ``HOT_KEY_SHARE`` of the events (a bounded list) are
-    salted, and users are hashed into key groups of about
-    ``KEYS_PER_GROUP``, so per-group overhead is paid per group, not per user.
-    The query gets two state partitions per core (kept in its checkpoint)."""
-    partitions = state_partitions(spark)
-    hot, groups = plan_state_layout(events_as_raw(_events(spark, sf_dir)), "data",
-                                    HOT_KEY_SHARE, KEYS_PER_GROUP, 2 * partitions)
+    holding more than half a state partition of the events are salted by
+    their share, and users are hashed into key groups of about
+    ``KEYS_PER_GROUP``. The layout is kept beside the checkpoint."""
+    events, partitions = _events(spark, sf_dir), state_partitions(spark)
+    hot, groups = plan_state_layout(events_as_raw(events), "data", 1 / (2 * partitions),
+                                    KEYS_PER_GROUP, 2 * partitions)
     table = scratch_path(spark, "arrival")
-    with session_conf(spark, {"spark.sql.shuffle.partitions": partitions}):
-        stream = _events_stream(spark, sf_dir)
-        raw = events_as_raw(stream, keep=("event_id",))
-        upd = enrichment_updates(stream, keep=("event_id",))
-        out = enrich_stateful(raw, upd, arrival_col="event_id", enrichment_first_on_tie=False,
-                              hot_keys=hot, key_groups=groups)
-        _await(append_sink(table, scratch_path(spark, "arrival-ckpt"), trigger="available_now")(
-            to_enriched(out, grain=TABLE_GRAIN)))
+    checkpoint = f"{table}.checkpoint"
+    layout = keep_layout(spark, checkpoint, StateLayout(hot_keys=hot, key_groups=groups,
+                                                        partitions=partitions))
+
+    def start(stream: DataFrame) -> StreamingQuery:
+        out = enrich_stateful(events_as_raw(stream, keep=("event_id",)),
+                              enrichment_updates(stream, keep=("event_id",)),
+                              arrival_col="event_id", enrichment_first_on_tie=False,
+                              hot_keys=layout.hot_keys, key_groups=layout.key_groups)
+        return append_sink(table, checkpoint)(to_enriched(out, grain=TABLE_GRAIN))
+
+    n = max(least_slices, -(-events.count() // ROWS_PER_SLICE))
+    with session_conf(spark, {"spark.sql.shuffle.partitions": layout.partitions}):
+        run_in_slices(spark, slices(events, F.col("event_id"), n), start)
     return read_snapshot(spark, table, require=True)
 
 
+def q_enrich_arrival_order(spark, sf_dir):
+    """Stream J3: each event gets its user's previous event type (arrival order)."""
+    return enrich_in_arrival_order(spark, sf_dir, 1)
+
+
+def q_enrich_arrival_resume(spark, sf_dir):
+    """Stream J3, stopped and resumed twice on its checkpoint."""
+    return enrich_in_arrival_order(spark, sf_dir, 3)
+
+
 def q_enrich_arrival_order_bounded(spark, sf_dir):
     """Table J3 (T4): same result as enrich_arrival_order, Catalyst windows only."""
-    events = _events(spark, sf_dir)
-    out = enrich_arrival_bounded(events_as_raw(events, keep=("event_id",)),
-                                 enrichment_updates(events, keep=("event_id",)),
-                                 "event_id", enrichment_first_on_tie=False)
+    ms = epoch_ms_from_ntz("ts")
+    out = enrich_table_bounded(
+        _events(spark, sf_dir), {"event_time": ms, "data": F.col("user_id")},
+        {"key": F.col("user_id"), "enrichment": F.col("event_type")},
+        "event_id", enrichment_first_on_tie=False)
     return to_enriched(out, grain="minute")
 
 
 def q_enrichment_watermark(spark, sf_dir):
-    """Enrichment updates through the event-time watermark."""
-    upd = with_enrichment_watermark(enrichment_updates(_events_stream(spark, sf_dir)))
+    """Updates per hour, each hour given out once the watermark on the
+    enrichment time has passed it (T2): the last hour never is. Updates come
+    in order of time, so none is late."""
     path = scratch_path(spark, "watermarked")
-    q = (upd.select("timestamp", "key", "enrichment").writeStream.format("parquet")
-         .option("path", path).option("checkpointLocation", scratch_path(spark, "wm-ckpt"))
-         .trigger(availableNow=True).start())
-    _await(q)
-    return spark.read.schema("timestamp bigint, key int, enrichment string").parquet(path)
+
+    def start(stream: DataFrame) -> StreamingQuery:
+        hours = (with_enrichment_watermark(enrichment_updates(stream))
+                 .groupBy(F.window(EVENT_TIME_COLUMN, "1 hour").alias("hour"))
+                 .agg(F.count(F.lit(1)).alias("n"))
+                 .select(F.unix_millis("hour.start").alias("hour_ms"), "n"))
+        return (hours.writeStream.format("parquet").outputMode("append").option("path", path)
+                .option("checkpointLocation", f"{path}.checkpoint")
+                .trigger(availableNow=True).start())
+
+    events = _events(spark, sf_dir)
+    n = -(-events.count() // ROWS_PER_SLICE)
+    run_in_slices(spark, slices(events, epoch_ms_from_ntz("ts"), n), start)
+    return spark.read.schema("hour_ms bigint, n bigint").parquet(path)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -231,7 +313,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "append_incremental": q_append_incremental,
     "count_written": q_count_written,
     "count_read": q_count_read,
+    "append_hourly": q_append_hourly,
+    "append_two_runs": q_append_two_runs,
+    "read_while_writing": q_read_while_writing,
     "enrich_arrival_order": q_enrich_arrival_order,
+    "enrich_arrival_resume": q_enrich_arrival_resume,
     "enrich_arrival_order_bounded": q_enrich_arrival_order_bounded,
     "enrichment_watermark": q_enrichment_watermark,
 }
@@ -273,7 +359,7 @@ _LATEST_SQL = ("SELECT CAST(user_id AS INTEGER) AS key, epoch_us(ts) // 1000 AS
 ORACLE_SQL: dict[str, str] = {
     "events_as_raw": _RAW_SQL,
     "raw_source": (f"SELECT CAST({DEFAULT_T0_MS} - ((event_id // {RAW_PARALLELISM}) % 5) * 60000"
-                   f" AS BIGINT) AS event_time, CAST(event_id AS INTEGER) AS data FROM events"),
+                   f" AS BIGINT) AS event_time, CAST(event_id % 2147483648 AS INTEGER) AS data FROM events"),
     "enrichment_source": (f"SELECT CAST({DEFAULT_T0_MS - NUM_ENRICHMENTS} + CAST(user_id AS INTEGER)"
                           f" AS BIGINT) AS timestamp, CAST(user_id AS INTEGER) AS key,"
                           f" 'Enrichment-' || CAST(CAST(user_id AS INTEGER) AS VARCHAR) AS enrichment"
@@ -287,6 +373,9 @@ ORACLE_SQL: dict[str, str] = {
         "SELECT key AS k, enrichment FROM (" + _LATEST_SQL + ")", "%Y%m%d-%H%M"),
     "append_snapshot": _enriched_sql(_DIM_100_SQL, "%Y%m%d"),
     "append_incremental": _enriched_sql(_DIM_100_SQL, "%Y%m%d"),
+    "append_hourly": _enriched_sql(_DIM_100_SQL, "%Y%m%d-%H"),
+    "append_two_runs": _enriched_sql(_DIM_100_SQL, "%Y%m%d"),
+    "read_while_writing": _enriched_sql(_DIM_100_SQL, "%Y%m%d"),
     "count_written": "SELECT COUNT(*) AS n FROM events",
     "count_read": "SELECT COUNT(*) AS n FROM events",
     "enrich_arrival_order": (
@@ -295,12 +384,20 @@ ORACLE_SQL: dict[str, str] = {
         " CAST(epoch_us(ts) // 1000 AS VARCHAR) || '|' || CAST(CAST(user_id AS INTEGER) AS VARCHAR)"
         " AS key, strftime(make_timestamp((epoch_us(ts) // 1000) * 1000), '%Y%m%d')"
         " AS partition FROM events"),
+    "enrich_arrival_resume": (
+        "SELECT epoch_us(ts) // 1000 AS event_time, CAST(user_id AS INTEGER) AS data,"
+        " lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS enrichment,"
+        " CAST(epoch_us(ts) // 1000 AS VARCHAR) || '|' || CAST(CAST(user_id AS INTEGER) AS VARCHAR)"
+        " AS key, strftime(make_timestamp((epoch_us(ts) // 1000) * 1000), '%Y%m%d')"
+        " AS partition FROM events"),
     "enrich_arrival_order_bounded": (
         "SELECT epoch_us(ts) // 1000 AS event_time, CAST(user_id AS INTEGER) AS data,"
         " lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS enrichment,"
         " CAST(epoch_us(ts) // 1000 AS VARCHAR) || '|' || CAST(CAST(user_id AS INTEGER) AS VARCHAR)"
         " AS key, strftime(make_timestamp((epoch_us(ts) // 1000) * 1000), '%Y%m%d-%H%M')"
         " AS partition FROM events"),
-    "enrichment_watermark": ("SELECT epoch_us(ts) // 1000 AS timestamp, CAST(user_id AS INTEGER)"
-                             " AS key, event_type AS enrichment FROM events"),
+    "enrichment_watermark": (
+        "WITH u AS (SELECT epoch_us(ts) // 1000 AS ms FROM events)"
+        " SELECT ms // 3600000 * 3600000 AS hour_ms, count(*) AS n FROM u GROUP BY 1"
+        " HAVING ms // 3600000 * 3600000 + 3600000 <= (SELECT max(ms) FROM u)"),
 }

@@ -98,7 +98,8 @@ def session_conf(spark: SparkSession, settings: dict):
 
 
 def state_partitions(spark: SparkSession) -> int:
-    """State partitions for a new stateful query: two per core of the
-    cluster, never more than ``spark.sql.shuffle.partitions``."""
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(configured, 2 * spark.sparkContext.defaultParallelism))
+    """State partitions for a new stateful query, fixed at its first start:
+    ``spark.rivulet.statePartitions``, else ``spark.sql.shuffle.partitions``.
+    Never read off the executors of the moment, which come and go."""
+    return int(spark.conf.get("spark.rivulet.statePartitions", None)
+               or spark.conf.get("spark.sql.shuffle.partitions"))

@@ -13,6 +13,7 @@ from rivulet.fixed import ENRICHMENT_PREFIX, NUM_ENRICHMENTS, RAW_TIME_STEP_MS,
 from rivulet.schemas import ENRICHMENT, RAW, conform
 
 
+INT_IDS = 2 ** 31
 DEFAULT_T0_MS = 1_700_000_000_000
 
 
@@ -21,6 +22,9 @@ def raw_from_ids(ids: DataFrame, id_col: str = "id", parallelism: int = 2,
     """S1 over an existing id column: ``data`` = id, ``event_time`` =
     ``t0 - ((id div P) mod 5)`` minutes.
 
+    ``data`` is an int: an id past 2^31 - 1 counts on from 0 again (its
+    remainder by 2^31), as does nothing else of the record.
+
     In the reference, subtask ``s`` of ``P`` emits ``s, s+P, s+2P, ...`` and
     backs the n-th record off by ``n mod 5`` minutes; n is ``data div P``.
     """
@@ -28,7 +32,7 @@ def raw_from_ids(ids: DataFrame, id_col: str = "id", parallelism: int = 2,
     seq = F.floor(i / F.lit(parallelism)).cast("bigint")
     back = F.pmod(seq, F.lit(RAW_TIME_STEPS)) * F.lit(RAW_TIME_STEP_MS)
     out = ids.select((F.lit(t0_ms).cast("bigint") - back).alias("event_time"),
-                     i.cast("int").alias("data"))
+                     F.pmod(i, F.lit(INT_IDS)).cast("int").alias("data"))
     return conform(out, RAW)
 
 

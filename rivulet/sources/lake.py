@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from rivulet.fixed import DEFAULT_PARTITION_NAME, PARTITION_COLUMN
 from rivulet.schemas import ENRICHED, conform
 from rivulet.sources.fs import mkdirs
 from rivulet.sources.streams import batch_limit
@@ -26,11 +27,18 @@ def make_table_dir(spark: SparkSession, path: str) -> None:
     mkdirs(spark, path)
 
 
+def _named(rows: DataFrame) -> DataFrame:
+    """A null partition value reads as the default partition's name."""
+    if PARTITION_COLUMN not in rows.columns:
+        return rows
+    return rows.fillna(DEFAULT_PARTITION_NAME, [PARTITION_COLUMN])
+
+
 def read_snapshot(spark: SparkSession, path: str, schema: T.StructType = ENRICHED,
                   require: bool = False) -> DataFrame:
-    """All committed rows (S4). Partition pruning works on ``partition``
+    """All committed rows (S4), rows without a bucket under the default name (S8). Partition pruning works on ``partition``
     filters; split sizes follow ``spark.sql.files.maxPartitionBytes`` (S9)."""
-    return conform(spark.read.schema(schema).parquet(path), schema, require=require)
+    return conform(_named(spark.read.schema(schema).parquet(path)), schema, require=require)
 
 
 def read_incremental(spark: SparkSession, path: str, schema: T.StructType = ENRICHED,
@@ -47,4 +55,4 @@ def read_incremental(spark: SparkSession, path: str, schema: T.StructType = ENRI
         make_table_dir(spark, path)
     reader = batch_limit(spark.readStream.schema(schema), max_files_per_trigger,
                          max_bytes_per_trigger)
-    return conform(reader.parquet(path), schema, require=require)
+    return conform(_named(reader.parquet(path)), schema, require=require)

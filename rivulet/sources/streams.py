@@ -15,6 +15,17 @@ from pyspark.sql import types as T
 from rivulet.schemas import ENRICHMENT, RAW
 
 
+BYTES_PER_TRIGGER = 2 * 1024 ** 3
+
+
+def byte_limit(args) -> int | None:
+    """A job's bytes per micro-batch: as asked for, else a default, so that a
+    first start never takes its whole backlog as one batch."""
+    if args.max_files_per_trigger:
+        return args.max_bytes_per_trigger
+    return args.max_bytes_per_trigger or BYTES_PER_TRIGGER
+
+
 def batch_limit(reader, max_files_per_trigger: int | None = None,
                 max_bytes_per_trigger: int | None = None):
     """Bound a file stream's micro-batch by files or by bytes (Spark allows

@@ -18,7 +18,9 @@ micro-batch the order is:
   ``timestamp`` wins), then the raw rows see the result.
 
 Across micro-batches the later batch wins (arrival), whatever the
-``timestamp``. The state lives in the checkpoint's state store (RocksDB
+``timestamp``. With ``arrival_col`` the batches themselves must come in
+arrival order: a row that arrived before its key's stored enrichment would
+get a later value, and raises instead. The state lives in the checkpoint's state store (RocksDB
 recommended, see ``session.RECOMMENDED_CONF``), so unlike the reference,
 enrichments survive a restart (J4).
 
@@ -39,18 +41,22 @@ pays PySpark's per-group cost once per group instead of once per key.
 
 from __future__ import annotations
 
+import json
 import sys
 from collections.abc import Iterator
+from dataclasses import asdict, dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from pyspark import cloudpickle
 
+from rivulet.sources.fs import exists, read_text, write_text
+
 # The group function runs in Python workers, which may not have this package on
 # their path: ship this module's code inside the pickled function.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -69,7 +75,6 @@ _OUT_SCHEMA = T.StructType([
 _STATE_SCHEMA = T.StructType([
     T.StructField("keys", T.ArrayType(T.IntegerType(), False), False),
     T.StructField("enrichments", T.ArrayType(T.StringType(), True), False),
-    T.StructField("timestamps", T.ArrayType(T.LongType(), False), False),
     T.StructField("arrivals", T.ArrayType(T.LongType(), False), False),
 ])
 
@@ -93,7 +98,7 @@ def _lookup_fn(ordered: bool, enrichment_first_on_tie: bool):
             if raw.any():
                 yield pd.DataFrame({"event_time": pdf["event_time"][raw].astype("Int64").to_numpy(),
                                     "data": pd.array([None] * int(raw.sum()), dtype="Int32"),
-                                    "enrichment": np.full(int(raw.sum()), None, dtype=object)})
+                                    "enrichment": pd.array([None] * int(raw.sum()), dtype="string")})
             return
         keys = pdf["k"].to_numpy(dtype=np.int64)
         values = pdf["enrichment"].to_numpy(dtype=object)
@@ -120,20 +125,27 @@ def _lookup_fn(ordered: bool, enrichment_first_on_tie: bool):
         in_run = last >= run_start
 
         if state.exists:
-            st_keys, st_vals, st_ts, st_arr = state.get
+            st_keys, st_vals, st_arr = state.get
             st_keys = np.asarray(st_keys, dtype=np.int64)
             st_vals = np.asarray(st_vals, dtype=object)
-            st_ts = np.asarray(st_ts, dtype=np.int64)
             st_arr = np.asarray(st_arr, dtype=np.int64)
         else:
             st_keys = np.empty(0, np.int64)
             st_vals = np.empty(0, object)
-            st_ts = np.empty(0, np.int64)
             st_arr = np.empty(0, np.int64)
         fallback = np.full(n, None, dtype=object)
         if len(st_keys):
             j = np.minimum(np.searchsorted(st_keys, keys), len(st_keys) - 1)
             hit = st_keys[j] == keys
+            if ordered:
+                late = arrivals < st_arr[j]
+                if not enrichment_first_on_tie:
+                    late |= ~is_enr & (arrivals == st_arr[j])
+                if (hit & late).any():
+                    k = np.flatnonzero(hit & late)[0]
+                    raise ValueError(
+                        f"key {keys[k]}: arrival {arrivals[k]} comes after the batch of "
+                        f"enrichment {st_arr[j][k]}; batches must follow the arrival order")
             fallback[hit] = st_vals[j[hit]]
         looked_up = np.where(in_run, values[np.maximum(last, 0)], fallback)
 
@@ -148,7 +160,6 @@ def _lookup_fn(ordered: bool, enrichment_first_on_tie: bool):
             state.update((
                 new_keys[by_key].tolist(),
                 np.concatenate([st_vals[keep], values[src]])[by_key].tolist(),
-                np.concatenate([st_ts[keep], stamps[src].astype(np.int64)])[by_key].tolist(),
                 np.concatenate([st_arr[keep], arrivals[src].astype(np.int64)])[by_key].tolist(),
             ))
 
@@ -157,7 +168,7 @@ def _lookup_fn(ordered: bool, enrichment_first_on_tie: bool):
             yield pd.DataFrame({
                 "event_time": event_time[raw].astype("Int64").to_numpy(),
                 "data": pd.array(keys[raw].astype(np.int32), dtype="Int32"),
-                "enrichment": looked_up[raw],
+                "enrichment": pd.array(looked_up[raw], dtype="string"),
             })
 
     return fn
@@ -172,18 +183,63 @@ def _salt(c):
 _MIN_ARRIVAL = -(2 ** 63)
 
 
+@dataclass(frozen=True)
+class StateLayout:
+    """What a checkpoint's state depends on: salts per hot key (None: every
+    key has ``salt_buckets``), key groups, state partitions."""
+
+    salt_buckets: int = DEFAULT_STATE_SALT_BUCKETS
+    hot_keys: dict[int, int] | None = None
+    key_groups: int | None = None
+    partitions: int | None = None
+
+    def to_json(self) -> str:
+        hot = None if self.hot_keys is None else sorted(self.hot_keys.items())
+        return json.dumps({**asdict(self), "hot_keys": hot}, sort_keys=True)
+
+    @staticmethod
+    def from_json(text: str) -> "StateLayout":
+        kept = json.loads(text)
+        if kept["hot_keys"] is not None:
+            kept["hot_keys"] = {int(k): int(n) for k, n in kept["hot_keys"]}
+        return StateLayout(**kept)
+
+
+def layout_path(checkpoint: str) -> str:
+    return f"{checkpoint.rstrip('/')}.layout"
+
+
+def kept_layout(spark: SparkSession, checkpoint: str) -> StateLayout | None:
+    """The layout written beside a checkpoint at its first start, if any."""
+    path = layout_path(checkpoint)
+    return StateLayout.from_json(read_text(spark, path)) if exists(spark, path) else None
+
+
+def keep_layout(spark: SparkSession, checkpoint: str, layout: StateLayout) -> StateLayout:
+    """Write the layout at a checkpoint's first start; later, refuse another:
+    rows would be sent to groups that lack their keys' state."""
+    kept = kept_layout(spark, checkpoint)
+    if kept is None:
+        write_text(spark, layout_path(checkpoint), layout.to_json())
+        return layout
+    if kept != layout:
+        raise ValueError(f"{checkpoint} holds state of {kept}, not of {layout}")
+    return kept
+
+
 def find_hot_keys(df: DataFrame, key_col: str, min_share: float = 0.01) -> list:
     """Keys that hold at least ``min_share`` of the rows of ``df`` (exact).
 
     One distributed count per key; at most ``1 / min_share`` keys can pass
     the filter, so the list brought to the driver has a proven size bound.
     """
-    return plan_state_layout(df, key_col, min_share)[0]
+    return sorted(plan_state_layout(df, key_col, min_share)[0])
 
 
 def plan_state_layout(df: DataFrame, key_col: str, min_share: float = 0.01,
-                      keys_per_group: int = 64, min_groups: int = 1) -> tuple[list, int]:
-    """``(hot_keys, key_groups)`` for ``enrich_stateful`` from one per-key
+                      keys_per_group: int = 64, min_groups: int = 1) -> tuple[dict, int]:
+    """``(hot_keys, key_groups)`` (hot keys with their salts, by share: each
+    salt gets about ``min_share`` of the rows) for ``enrich_stateful`` from one per-key
     count of ``df`` (e.g. the history of the raw stream).
 
     A row count (no column data read), then a single aggregation over the
@@ -193,12 +249,14 @@ def plan_state_layout(df: DataFrame, key_col: str, min_share: float = 0.01,
     """
     n_rows = df.count()
     keyed = df.filter(F.col(key_col).isNotNull()).groupBy(key_col).count()
-    hot_if = F.when(F.col("count") >= F.lit(min_share * n_rows), F.col(key_col))
+    salts = F.ceil(F.col("count") / F.lit(max(min_share * n_rows, 1e-9))).cast("int")
+    hot_if = F.when(F.col("count") >= F.lit(min_share * n_rows),
+                    F.struct(F.col(key_col).alias("key"), F.greatest(salts, F.lit(2)).alias("n")))
     stats = keyed.agg(F.count(F.lit(1)).alias("keys"),
                       F.collect_list(hot_if).alias("hot")).first()
     n_keys = int(stats["keys"] or 0)
     groups = max(int(min_groups), -(-n_keys // int(keys_per_group)), 1)
-    return (sorted(stats["hot"]) if n_rows else []), groups
+    return ({r["key"]: r["n"] for r in sorted(stats["hot"])} if n_rows else {}), groups
 
 
 def _tagged_union(raw: DataFrame, enr: DataFrame, arrival_col: str | None,
@@ -214,11 +272,19 @@ def _tagged_union(raw: DataFrame, enr: DataFrame, arrival_col: str | None,
     raw_salt = F.pmod(F.xxhash64(F.col("event_time"), F.col("data"), arrival), F.lit(n))
     replicas = F.sequence(F.lit(0), F.lit(n - 1))
     if hot_keys is not None:
-        # Only the listed keys are spread; every other key is one group.
-        hot_raw = F.col("data").cast("int").isin(list(hot_keys)) if hot_keys else F.lit(False)
-        hot_enr = F.col("key").cast("int").isin(list(hot_keys)) if hot_keys else F.lit(False)
-        raw_salt = F.when(hot_raw, raw_salt).otherwise(F.lit(0))
-        replicas = F.when(hot_enr, replicas).otherwise(F.array(F.lit(0)))
+        # Only the listed keys are spread, each over its own number of salts.
+        salts = hot_keys if isinstance(hot_keys, dict) else dict.fromkeys(hot_keys, n)
+
+        def salts_of(c):
+            if not salts:
+                return F.lit(1)
+            of = F.create_map(*[F.lit(int(v)) for item in salts.items() for v in item])
+            return F.coalesce(F.element_at(of, F.col(c).cast("int")), F.lit(1))
+
+        raw_salt = F.pmod(F.xxhash64(F.col("event_time"), F.col("data"), arrival),
+                          salts_of("data"))
+        replicas = F.sequence(F.lit(0), salts_of("key") - 1)
+
     def group_of(k):
         if not key_groups:
             return k.alias("gkey")
@@ -264,7 +330,8 @@ def enrich_stateful(raw: DataFrame, enrichments: DataFrame, arrival_col: str | N
     micro-batch; across micro-batches the batch order is the arrival order.
 
     ``hot_keys=None`` spreads every key over ``salt_buckets`` groups. A list
-    (e.g. from ``find_hot_keys`` over history) spreads only those keys and
+    (e.g. from ``find_hot_keys`` over history), or a dict with each key's
+    number of salts (``plan_state_layout``), spreads only those keys and
     keeps every other key in one group, saving the replication of their
     enrichments.
 
@@ -276,7 +343,7 @@ def enrich_stateful(raw: DataFrame, enrichments: DataFrame, arrival_col: str | N
 
     Salting and key groups are part of the state layout: keep
     ``salt_buckets``, ``hot_keys`` and ``key_groups`` fixed for the life of a
-    checkpoint.
+    checkpoint (``keep_layout`` writes them down and refuses others).
     """
     tagged = _tagged_union(raw, enrichments, arrival_col, salt_buckets, hot_keys, key_groups)
     return tagged.groupBy("gkey", "salt").applyInPandasWithState(

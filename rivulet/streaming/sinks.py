@@ -16,10 +16,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rivulet.fixed import DEFAULT_PARTITION_NAME, PARTITION_COLUMN
+from rivulet.sources.fs import names
 
 
 Sink = Callable[[DataFrame], StreamingQuery]
@@ -37,7 +39,22 @@ def trigger_options(trigger: str | dict | None) -> dict:
     return {"processingTime": trigger}
 
 
-def append_sink(path: str, checkpoint: str, trigger: str | dict | None = "available_now",
+def table_checkpoint(path: str) -> str:
+    """The checkpoint that belongs to a table: beside it, so that every run
+    into the table continues its batch numbers."""
+    return f"{path.rstrip('/')}.checkpoint"
+
+
+def check_append(spark: SparkSession, path: str, checkpoint: str) -> None:
+    """Refuse a new checkpoint on a table that has commits: its batch ids
+    would start at 0 again, and the sink skips ids it has committed."""
+    if names(spark, f"{path}/_spark_metadata") and not names(spark, f"{checkpoint}/offsets"):
+        raise ValueError(
+            f"{path} has commits of another checkpoint; batches of a new checkpoint ({checkpoint}) "
+            f"would be skipped. Use the table's own (by default {table_checkpoint(path)})")
+
+
+def append_sink(path: str, checkpoint: str | None = None, trigger: str | dict | None = "available_now",
                 partition_col: str = PARTITION_COLUMN,
                 max_records_per_file: int | None = None,
                 parquet_block_size: int | None = None,
@@ -55,12 +72,18 @@ def append_sink(path: str, checkpoint: str, trigger: str | dict | None = "availa
     * ``cluster_by_partition`` shuffles rows by ``(partition, salt)`` so a
       time bucket is written by at most ``files_per_partition`` tasks:
       fewer, larger files, and a hot bucket is still split.
-    * ``write_parallelism`` coalesces to that many writing tasks (K7).
+    * ``write_parallelism`` shuffles rows evenly to that many writing tasks
+      (K7); the scan and the join before it keep their own.
     * ``max_records_per_file`` / Parquet block and page size (K5); Spark caps
-      rows per file, not bytes. ``compression``: Parquet codec (e.g. zstd).
+      rows per file, not bytes: ``rows_per_file`` turns a size in bytes into
+      rows. ``compression``: Parquet codec (e.g. zstd).
+    * ``checkpoint`` is the table's own by default (``table_checkpoint``); a
+      new checkpoint on a table with commits is refused.
     """
+    checkpoint = checkpoint or table_checkpoint(path)
 
     def start(df: DataFrame) -> StreamingQuery:
+        check_append(df.sparkSession, path, checkpoint)
         out = df
         if fill_missing_partition:
             out = out.withColumn(partition_col,
@@ -70,7 +93,7 @@ def append_sink(path: str, checkpoint: str, trigger: str | dict | None = "availa
                             F.lit(int(files_per_partition)))
             out = out.repartition(F.col(partition_col), spread)
         elif write_parallelism:
-            out = out.coalesce(int(write_parallelism))
+            out = out.repartition(int(write_parallelism))
         writer = (out.writeStream.format("parquet").outputMode("append")
                   .partitionBy(partition_col)
                   .option("path", path)
@@ -93,6 +116,16 @@ def append_sink(path: str, checkpoint: str, trigger: str | dict | None = "availa
     return start
 
 
+def rows_per_file(spark: SparkSession, path: str, max_bytes: int) -> int:
+    """Rows that fill ``max_bytes`` of Parquet, by the mean width of the rows
+    that the table's files hold now (K5)."""
+    files = spark.read.parquet(path).select("_metadata.file_path", "_metadata.file_size")
+    per_file = files.groupBy("file_path").agg(F.count(F.lit(1)).alias("n"),
+                                              F.max("file_size").alias("bytes"))
+    seen = per_file.agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes")).first()
+    return max(1, int(max_bytes * (seen["n"] or 1) / (seen["bytes"] or max_bytes)))
+
+
 def discard_sink(checkpoint: str, trigger: str | dict | None = None,
                  query_name: str | None = None) -> Sink:
     """Drop every row (K9); the rows are still computed and counted."""

@@ -5,9 +5,11 @@ import pytest
 from conftest import SF01
 
 import __spark_entry__ as entry_mod
+from rivulet.plans import catalog
 from oracle import compare, duck
 
-NAMES = sorted(entry_mod.queries())
+# The training-data operators have tests of their own, in tests/llm.
+NAMES = sorted(catalog.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +18,8 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_mod.oracle_sql()) == set(entry_mod.queries())
+    assert set(catalog.ORACLE_SQL) == set(catalog.QUERIES)
+    assert set(catalog.QUERIES) <= set(entry_mod.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)

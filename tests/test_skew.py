@@ -121,9 +121,9 @@ def test_plan_state_layout(spark):
 
     raw = _skewed_raw(spark)
     hot, groups = plan_state_layout(raw, "data", min_share=0.05, keys_per_group=64)
-    assert hot == [HOT]
+    assert list(hot) == [HOT] and hot[HOT] >= 2
     assert groups == -(-1000 // 64)  # 1,000 distinct keys
-    assert plan_state_layout(raw.limit(0), "data", min_groups=8) == ([], 8)
+    assert plan_state_layout(raw.limit(0), "data", min_groups=8) == ({}, 8)
 
 
 def test_bucketed_stream_static_join_shuffles_only_raw(spark, tmp, capsys):
