@@ -28,23 +28,25 @@ def make_table_dir(spark: SparkSession, path: str) -> None:
 
 
 def _named(rows: DataFrame) -> DataFrame:
-    """A null partition value reads as the default partition's name."""
-    if PARTITION_COLUMN not in rows.columns:
-        return rows
+    """A null partition value reads as the default partition's name (S8). The
+    sink writes that name itself; for tables of other writers only, since a
+    filter on the replaced column cannot prune partitions."""
     return rows.fillna(DEFAULT_PARTITION_NAME, [PARTITION_COLUMN])
 
 
 def read_snapshot(spark: SparkSession, path: str, schema: T.StructType = ENRICHED,
-                  require: bool = False) -> DataFrame:
-    """All committed rows (S4), rows without a bucket under the default name (S8). Partition pruning works on ``partition``
+                  require: bool = False, name_missing: bool = False) -> DataFrame:
+    """All committed rows (S4). Partition pruning works on ``partition``
     filters; split sizes follow ``spark.sql.files.maxPartitionBytes`` (S9)."""
-    return conform(_named(spark.read.schema(schema).parquet(path)), schema, require=require)
+    rows = spark.read.schema(schema).parquet(path)
+    return conform(_named(rows) if name_missing else rows, schema, require=require)
 
 
 def read_incremental(spark: SparkSession, path: str, schema: T.StructType = ENRICHED,
                      create: bool = False, max_files_per_trigger: int | None = None,
                      require: bool = False,
-                     max_bytes_per_trigger: int | None = None) -> DataFrame:
+                     max_bytes_per_trigger: int | None = None,
+                     name_missing: bool = False) -> DataFrame:
     """Unbounded read of newly committed files, earliest first.
 
     A fresh checkpoint starts at the first commit; a restarted query resumes
@@ -55,4 +57,5 @@ def read_incremental(spark: SparkSession, path: str, schema: T.StructType = ENRI
         make_table_dir(spark, path)
     reader = batch_limit(spark.readStream.schema(schema), max_files_per_trigger,
                          max_bytes_per_trigger)
-    return conform(_named(reader.parquet(path)), schema, require=require)
+    rows = reader.parquet(path)
+    return conform(_named(rows) if name_missing else rows, schema, require=require)

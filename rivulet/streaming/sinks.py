@@ -62,7 +62,7 @@ def append_sink(path: str, checkpoint: str | None = None, trigger: str | dict |
                 cluster_by_partition: bool = False,
                 files_per_partition: int = 4,
                 write_parallelism: int | None = None,
-                fill_missing_partition: bool = False,
+                fill_missing_partition: bool = True,
                 query_name: str | None = None,
                 compression: str | None = None) -> Sink:
     """Append to a partitioned Parquet table through the file sink.
@@ -72,6 +72,8 @@ def append_sink(path: str, checkpoint: str | None = None, trigger: str | dict |
     * ``cluster_by_partition`` shuffles rows by ``(partition, salt)`` so a
       time bucket is written by at most ``files_per_partition`` tasks:
       fewer, larger files, and a hot bucket is still split.
+    * ``fill_missing_partition`` writes a row without a bucket under the
+      default partition's name (S8).
     * ``write_parallelism`` shuffles rows evenly to that many writing tasks
       (K7); the scan and the join before it keep their own.
     * ``max_records_per_file`` / Parquet block and page size (K5); Spark caps
