@@ -76,6 +76,10 @@ class LanguageModel:
     weights: np.ndarray  # (BUCKETS, languages)
     temperature: float
 
+    def plain(self) -> tuple:
+        """The fields, for a broadcast."""
+        return self.languages, self.idf, self.weights, self.temperature
+
     def predict(self, text: str, letters: np.ndarray) -> tuple[str, float]:
         counts = ngram_counts(text, letters) if self.languages else None
         if counts is None:
@@ -175,13 +179,13 @@ def fit_language_model(train: DataFrame, text: str = "text", label: str = "lang"
 def language_id(docs: DataFrame, model: LanguageModel, text: str = "text",
                 keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns of every row of ``docs``, ``lang_pred`` and ``score``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model.plain())
     d = docs.select(*keep, F.col(text).alias("__text"))
     schema = ", ".join([f"`{c}` {t}" for c, t in d.dtypes if c != "__text"]
                        + ["lang_pred string", "score double"])
 
     def make():
-        letters, m = letters_table(), shared.value
+        letters, m = letters_table(), LanguageModel(*shared.value)
 
         def block(batch: pa.RecordBatch, texts: list[str]) -> pa.RecordBatch:
             made = [m.predict(t, letters) for t in texts]
@@ -198,10 +202,10 @@ def keep_languages(docs: DataFrame, model: LanguageModel, least_score: float = 0
                    text: str = "text") -> DataFrame:
     """The rows of ``docs``, all their columns, in a language that the model
     knows with a score of at least ``least_score``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model.plain())
 
     def make():
-        letters, m = letters_table(), shared.value
+        letters, m = letters_table(), LanguageModel(*shared.value)
 
         def keep(texts: list[str]) -> list[bool]:
             made = [m.predict(t, letters) for t in texts]
