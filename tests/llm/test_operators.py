@@ -407,3 +407,18 @@ def test_attention_learns(spark):
     model = lm_score.fit_language_model(df, PIECE_MODEL)
     r = lm_score.lm_score(df, model).first()
     assert r.score / r.n_tokens > -0.1  # the order is certain; counts alone give -0.6
+
+
+def test_frequent_ids_keep_an_identity():
+    of = attention.Classes.from_counts(np.arange(32_000, 0, -1)).of
+    assert len(set(of[:300])) == 300 and of.max() + 1 >= 384
+
+
+def test_order_of_less_frequent_pieces_counts():
+    ids = np.random.default_rng(4).permutation(300)  # each is followed by one other, always
+    classes = attention.Classes.from_counts(np.bincount(ids, minlength=32_000))
+    text = np.tile(ids, 112)  # a multiple of the block
+    windows, targets, weight, _ = attention.cut(classes.of[text], np.array([len(text)]))
+    model = attention.train(windows, targets, weight)
+    log_p = model.log_likelihood(windows, targets).ravel() + classes.log_within[text]
+    assert log_p[-300:].mean() > -1  # chance is -5.7
