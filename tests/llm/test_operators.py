@@ -11,9 +11,10 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from rivulet.llm import attention, language_id, lm_score, toxicity
-from rivulet.llm.common import held_out
+from rivulet.llm.common import held_out, sample_by_hash
 from rivulet.llm.html_text import html_text
 from rivulet.llm.quality_rules import keep_quality, quality_rules
 from rivulet.llm.queries import PIECE_MODEL
@@ -422,3 +423,18 @@ def test_order_of_less_frequent_pieces_counts():
     model = attention.train(windows, targets, weight)
     log_p = model.log_likelihood(windows, targets).ravel() + classes.log_within[text]
     assert log_p[-300:].mean() > -1  # chance is -5.7
+
+
+def test_attention_learns_beyond_the_first_sample(spark):
+    """Texts outside the sample of the first fit have an order of their own."""
+    ids = spark.range(1_200).select(F.col("id").alias("doc_id"))
+    share = 20 / 1_200
+    first = {r.doc_id for r in sample_by_hash(ids, F.col("doc_id"), share, 40).collect()}
+    assert 0 < len(first) < 40
+    plain, other = " ".join(["day night"] * 300), " ".join(["red blue green yellow"] * 200)
+    df = spark.createDataFrame([(i, plain if i in first else other) for i in range(1_200)],
+                               "doc_id long, text string").repartition(3)
+    model = lm_score.fit_language_model(df, PIECE_MODEL, sample=20)
+    scores = [r.score / r.n_tokens for r in lm_score.lm_score(df, model).collect()
+              if r.doc_id not in first]
+    assert min(scores) > -0.3  # counts alone give -0.6
