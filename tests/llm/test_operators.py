@@ -438,3 +438,8 @@ def test_attention_learns_beyond_the_first_sample(spark):
     scores = [r.score / r.n_tokens for r in lm_score.lm_score(df, model).collect()
               if r.doc_id not in first]
     assert min(scores) > -0.3  # counts alone give -0.6
+
+
+@pytest.mark.parametrize("text", ["\u00a0", "\u3000 \u3000", "\x1c", "\x1f\t\x85", " \t\n\x0b\x0c\r", ""])
+def test_words_of_other_white_space(text):
+    assert lm_score.ascii_words(text) == [w.decode() for w in words(text)]
