@@ -443,3 +443,13 @@ def test_attention_learns_beyond_the_first_sample(spark):
 @pytest.mark.parametrize("text", ["\u00a0", "\u3000 \u3000", "\x1c", "\x1f\t\x85", " \t\n\x0b\x0c\r", ""])
 def test_words_of_other_white_space(text):
     assert lm_score.ascii_words(text) == [w.decode() for w in words(text)]
+
+
+def test_long_words_are_not_broadcast(spark):
+    long = "x" * 100_000
+    df = spark.createDataFrame([(i, f"{long} a b") for i in range(3)], "doc_id long, text string")
+    model = lm_score.fit_language_model(df, PIECE_MODEL)
+    assert sorted(model.frequent) == ["a", "b"]
+    assert {(r.n_tokens, r.n_known, round(r.base_score, 4)) for r in
+            lm_score.lm_score(df, model).collect()} == {
+        (4, 4, round(4 * math.log10(4 / (12 + 4 + 1)), 4))}
