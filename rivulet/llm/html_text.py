@@ -3,7 +3,8 @@
 A page is cut into text blocks at block-level tags. Each block has its word
 count and link density, those of its neighbours, and what the elements
 around it say (an article or main element; a menu, header, footer, sidebar,
-notice, advert, form or comment section by tag, role, class or id). A
+notice, advert, form or comment section by tag, role, class or id; an article
+or main element inside such a part is none, unless it is one itself). A
 decision tree grown from the small labelled table below decides which blocks
 are main text. Pages are independent rows, so the work is one pass without a
 shuffle.
@@ -53,6 +54,19 @@ OTHER_NAMES = frozenset(
     "sidebar aside complementary related recommended widget share sharing social "
     "cookie cookies consent gdpr notice notification alert popup modal newsletter subscribe "
     "comment comments reply replies disqus respond form search login signup hidden".split())
+# Of these, the ones that hold articles which are not the page's own; an article
+# or main element inside another of them is the page's own all the same.
+HOLD_ARTICLES = frozenset(
+    "ad ads advert advertisement sponsor sponsored comment comments reply replies disqus respond "
+    "related recommended hidden".split())
+# A name that begins or ends so tells of the layout or a state (has-sidebar,
+# comments-open), not of what the element is.
+LAYOUT = frozenset(
+    "has with without no overflow layout open closed enabled disabled allowed on off".split())
+# Names of parts that are also topics: of a text, where the name ends so (legal-news).
+TOPICS = frozenset(
+    "advertising alert copyright form legal notice notification search sponsor".split())
+TEXTS = frozenset("article articles blog content news page post posts stories story text".split())
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)(>|\Z)"""
@@ -62,6 +76,11 @@ _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none|aria-hidden
                      re.I)
 _PART = re.compile(r"[a-z0-9]+")
 
+# What an element says of itself and what is in it. Articles inside a SOFT part
+# are the page's own, main elements also inside a FIRM one.
+NOT, SOFT, FIRM, HIDDEN = range(4)
+INERT_TAGS = frozenset("dialog iframe noscript object select svg template".split())
+
 
 @dataclass
 class Block:
@@ -69,37 +88,65 @@ class Block:
     words: int
     linked: int
     main: bool
-    other: bool
+    other: int  # 1: by its name alone, 2: by its tag, or comments and the like
     heading: bool
 
 
-def _is_other(tag: str, attributes: str) -> bool:
+def _named_parts(attributes: str) -> set[str]:
+    """The ``OTHER_NAMES`` in class, id and role that name the element's part."""
+    found: set[str] = set()
+    for name in " ".join(a or b or c for a, b, c in _NAMES.findall(attributes)).lower().split():
+        parts = _PART.findall(name)
+        of = OTHER_NAMES.intersection(parts)
+        if of and len(parts) > 1:
+            if parts[0] in LAYOUT or parts[-1] in LAYOUT:
+                continue
+            if parts[-1] in TEXTS:
+                of -= TOPICS
+        found |= of
+    return found
+
+
+def _other(tag: str, attributes: str) -> int:
+    """How far an element is another part than main text: NOT to HIDDEN."""
+    if tag in INERT_TAGS:
+        return HIDDEN
+    named = NOT
+    if attributes and tag not in ("html", "body", "main"):
+        if _HIDDEN.search(attributes):
+            return HIDDEN
+        if names := _named_parts(attributes):
+            named = SOFT if HOLD_ARTICLES.isdisjoint(names) else FIRM
     if tag in OTHER_TAGS:
-        return True
-    if not attributes or tag in ("html", "body", "main"):
-        return False
-    names = " ".join(a or b or c for a, b, c in _NAMES.findall(attributes)).lower()
-    return (not OTHER_NAMES.isdisjoint(_PART.findall(names))
-            or bool(_HIDDEN.search(attributes)))
+        return max(named, SOFT if tag == "form" else FIRM)
+    return named
+
+
+def _inside(around: int, tag: str, own: int) -> int:
+    """What holds inside an element, by what holds around it and its own."""
+    if own == NOT and (tag == "article" and around == SOFT or tag == "main" and around < HIDDEN):
+        return NOT
+    return max(around, own)
 
 
 def text_blocks(html: str) -> list[Block]:
     """The text blocks of a page in page order, other parts included."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = []  # open holders: tag, in main, in another part
+    stack: list[tuple[str, bool, int]] = []  # open holders: tag, in main, in another part
     pieces: list[str] = []
     linked: list[str] = []
-    in_link = own_other = heading = False
+    in_link = heading = False
+    own_other = NOT
 
     def close_block() -> None:
         nonlocal pieces, linked
         if pieces:
             words = unescape("".join(pieces)).split()
             if words:
-                _, main, other = stack[-1] if stack else ("", False, False)
+                _, main, other = stack[-1] if stack else ("", False, NOT)
                 out.append(Block(" ".join(words), len(words),
                                  len(unescape(" ".join(linked)).split()), main,
-                                 other or own_other, heading))
+                                 min(max(other, own_other), FIRM), heading))
         pieces, linked = [], []
 
     def take(text: str) -> None:
@@ -130,19 +177,19 @@ def text_blocks(html: str) -> list[Block]:
             take(" ")
         elif tag in BLOCK_TAGS or tag in HOLDERS:
             close_block()
-            own_other = False
+            own_other = NOT
             if tag in HOLDERS:
                 if not closing:
-                    _, main, other = stack[-1] if stack else ("", False, False)
+                    _, main, other = stack[-1] if stack else ("", False, NOT)
                     stack.append((tag, main or tag in MAIN_TAGS,
-                                  other or _is_other(tag, attributes)))
+                                  _inside(other, tag, _other(tag, attributes))))
                 elif any(t == tag for t, *_ in stack):
                     while stack.pop()[0] != tag:
                         pass
             else:
                 if tag == "body":
                     stack.clear()  # the head is over, closed or not
-                own_other = not closing and _is_other(tag, attributes)
+                own_other = NOT if closing else _other(tag, attributes)
                 heading = not closing and tag in HEADINGS
             in_link = in_link and tag not in HOLDERS
     close_block()
@@ -175,6 +222,18 @@ LABELLED = np.array([
     [60, 0.00, 12, 0.0, 40, 0.00, 0, 1, 0, 0], [200, 0.02, 5, 0.0, 150, 0.00, 0, 1, 0, 0],
     [35, 0.00, 120, 0.0, 0, 0.00, 0, 1, 0, 0], [4, 0.00, 2, 1.0, 90, 0.00, 0, 1, 1, 0],
     [18, 0.50, 40, 0.0, 22, 0.40, 0, 1, 0, 0], [450, 0.00, 3, 0.0, 9, 0.00, 0, 1, 0, 0],
+    # long plain text that only goes by the name of another part
+    [650, 0.01, 9, 0.0, 12, 0.50, 0, 1, 0, 1], [700, 0.00, 600, 0.0, 650, 0.00, 0, 1, 0, 1],
+    [900, 0.02, 3, 1.0, 4, 1.00, 0, 1, 0, 1], [160, 0.01, 150, 0.0, 170, 0.00, 0, 1, 0, 1],
+    [140, 0.03, 180, 0.0, 130, 0.00, 0, 1, 0, 1], [750, 0.00, 20, 0.0, 60, 0.00, 1, 1, 0, 1],
+    # but not beside it, nor links, nor what is another part by more than a name
+    [5, 0.80, 200, 0.0, 150, 0.00, 1, 1, 0, 0], [30, 0.00, 300, 0.0, 0, 0.00, 1, 1, 0, 0],
+    [2, 1.00, 900, 0.0, 0, 0.00, 0, 1, 0, 0], [60, 0.00, 400, 0.0, 200, 0.00, 0, 1, 0, 0],
+    [12, 0.20, 700, 0.0, 3, 1.00, 0, 1, 0, 0], [700, 0.80, 200, 0.0, 150, 0.00, 0, 1, 0, 0],
+    [150, 0.60, 160, 0.0, 170, 0.00, 0, 1, 0, 0], [700, 0.00, 600, 0.0, 650, 0.00, 0, 2, 0, 0],
+    [160, 0.01, 150, 0.0, 170, 0.00, 0, 2, 0, 0], [900, 0.02, 3, 1.0, 4, 1.00, 0, 2, 0, 0],
+    [750, 0.00, 20, 0.0, 60, 0.00, 1, 2, 0, 0], [2, 1.00, 900, 0.0, 0, 0.00, 0, 2, 0, 0],
+    [140, 0.03, 180, 0.0, 130, 0.00, 1, 2, 0, 0], [650, 0.01, 9, 0.0, 12, 0.50, 0, 2, 0, 0],
     # pages without an article element: long plain text and what stands between it
     [90, 0.00, 70, 0.0, 110, 0.00, 0, 0, 0, 1], [60, 0.10, 8, 0.0, 75, 0.00, 0, 0, 0, 1],
     [45, 0.00, 3, 1.0, 2, 1.00, 0, 0, 0, 1], [25, 0.05, 60, 0.0, 50, 0.00, 0, 0, 0, 1],

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from rivulet.llm import attention, language_id, lm_score, toxicity
 from rivulet.llm.common import held_out, sample_by_hash
-from rivulet.llm.html_text import html_text
+from rivulet.llm.html_text import LABELLED, grow, html_text, main_text
 from rivulet.llm.quality_rules import keep_quality, quality_rules
 from rivulet.llm.queries import PIECE_MODEL
 from rivulet.llm.sentence_pieces import ChunkTable, sentence_piece_digests, sentence_pieces
@@ -453,3 +453,31 @@ def test_long_words_are_not_broadcast(spark):
     assert {(r.n_tokens, r.n_known, round(r.base_score, 4)) for r in
             lm_score.lm_score(df, model).collect()} == {
         (4, 4, round(4 * math.log10(4 / (12 + 4 + 1)), 4))}
+
+
+PARAGRAPH = " ".join(f"word{i}" for i in range(45)) + "."
+MENU = '<nav><a href="/">Home</a> <a href="/b">More</a></nav>'
+
+
+@pytest.mark.parametrize("page,kept", [
+    ('<div class="layout has-sidebar"><article><p>{0}</p></article></div>', True),
+    ('<article class="post comments-open"><p>{0}</p></article>', True),
+    ('<div id="legal-news"><p>{0}</p></div>', True),
+    ('<div class="overflow-hidden"><p>{0}</p></div>', True),
+    ('<div class="sidebar"><article class="post"><p>{0}</p></article></div>', True),
+    ('<div class="widget"><main><p>{0}</p></main></div>', True),
+    ('<form id="aspnet"><article><p>{0}</p></article></form>', True),
+    ('<div class="widget"><p>' + "{0} " * 20 + "</p></div>", True),
+    ('<div class="sidebar"><p>{0}</p></div>', False),
+    ('<article><p>' + "More text here. " * 300 + '</p><div class="widget">{0}</div></article>', False),
+    ('<div class="comments"><p>' + "{0} " * 20 + "</p></div>", False),
+    ('<article class="comment"><p>{0}</p></article>', False),
+    ('<div class="comments"><article><p>{0}</p></article></div>', False),
+    ('<main><div class="related-posts"><article><p>{0}</p></article></div></main>', False),
+    ('<aside><article><p>{0}</p></article></aside>', False),
+    ('<div hidden><main><p>{0}</p></main></div>', False),
+    ('<div class="cookie-notice"><p>{0}</p></div>', False),
+])
+def test_html_wrappers(page, kept):
+    text = main_text(f"<html><body>{page.format(PARAGRAPH)}{MENU}</body></html>", grow(LABELLED))
+    assert (PARAGRAPH in text) == kept and "Home" not in text
