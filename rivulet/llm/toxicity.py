@@ -6,7 +6,8 @@ pairs and skip-grams with one or two words between. L1 sparsity leaves few
 weights, which are broadcast.
 
 The regression is fitted on a bounded sample (``SAMPLE`` labelled rows, those
-of the smallest hash) of the labelled rows that are not held out.
+of the smallest hash) of the labelled rows that are not held out, with one
+text each: of a document's several rows the one of the smallest text hash.
 
 Defined results: null and empty texts have the bias alone and get its score.
 Null labels and null ids teach nothing; of several labels of a document the
@@ -98,8 +99,10 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, text: str = "text", label:
                  id_col: str = "doc_id", sample: int = SAMPLE) -> dict[int, float]:
     """Sparse weights from the texts of the rows that ``labels`` names."""
     picked = training_labels(labels, label, id_col, sample)
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))
     rows = (docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
-            .join(F.broadcast(picked), "id"))
+            .join(F.broadcast(picked), "id")
+            .groupBy("id", "label").agg(one.alias("one")).select("id", "label", "one.text"))
 
     def fit(batches: Iterator[pa.RecordBatch]) -> pa.RecordBatch:
         hasher, learner = Hasher(), Ftrl(1 << BITS, 1, **FTRL)

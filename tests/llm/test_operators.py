@@ -481,3 +481,12 @@ MENU = '<nav><a href="/">Home</a> <a href="/b">More</a></nav>'
 def test_html_wrappers(page, kept):
     text = main_text(f"<html><body>{page.format(PARAGRAPH)}{MENU}</body></html>", grow(LABELLED))
     assert (PARAGRAPH in text) == kept and "Home" not in text
+
+
+def test_toxicity_learns_a_repeated_id_once(spark):
+    rows = [(i, f"{'awful' if i % 2 else 'lovely'} text number{i % 7} here") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    repeated = docs.union(spark.createDataFrame(rows[:1] * 400, docs.schema)).repartition(4)
+    once = toxicity.fit_toxicity(docs, labels)
+    assert once and toxicity.fit_toxicity(repeated, labels) == once
