@@ -14,17 +14,21 @@ from pyspark.sql import functions as F
 
 from rivulet.llm import lm_score as lm
 from rivulet.llm.common import held_out, table
+from rivulet.llm.exact_dedup import dedup_sql, exact_dedup
+from rivulet.llm.hard_negatives import hard_negatives, negatives_sql
 from rivulet.llm.html_text import html_text
 from rivulet.llm.language_id import fit_language_model, language_id
 from rivulet.llm.quality_rules import quality_rules, rules_sql
 from rivulet.llm.sentence_pieces import sentence_piece_digests
 from rivulet.llm.simhash import simhash_groups
 from rivulet.llm.source_mixing import source_mixing
+from rivulet.llm.token_alignment import token_alignment
 from rivulet.llm.topk_search import topk_search, topk_sql
 from rivulet.llm.toxicity import fit_toxicity, toxicity
 from rivulet.llm.url_filter import url_filter
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def q_url_filter(spark, sf_dir):
@@ -90,6 +94,21 @@ def q_html_text(spark, sf_dir):
     return html_text(table(spark, sf_dir, "pages"))
 
 
+def q_exact_dedup(spark, sf_dir):
+    """Exact duplicates among documents, and the row of each group that stays."""
+    return exact_dedup(table(spark, sf_dir, "documents"))
+
+
+def q_hard_negatives(spark, sf_dir):
+    """Hard negatives of every hundredth embedding's positives."""
+    return hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def q_token_alignment(spark, sf_dir):
+    """Byte-level BPE tokens of documents aligned with SentencePiece tokens."""
+    return token_alignment(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_MODEL)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": q_url_filter,
     "op2_simhash": q_simhash,
@@ -101,6 +120,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mixing": q_source_mixing,
     "op9_topk_search": q_topk_search,
     "op10_html_text": q_html_text,
+    "op11_exact_dedup": q_exact_dedup,
+    "op12_hard_negatives": q_hard_negatives,
+    "op13_token_alignment": q_token_alignment,
 }
 
-ORACLE_SQL: dict[str, str] = {"op6_quality_rules": rules_sql(), "op9_topk_search": topk_sql()}
+ORACLE_SQL: dict[str, str] = {
+    "op6_quality_rules": rules_sql(), "op9_topk_search": topk_sql(),
+    "op11_exact_dedup": dedup_sql(), "op12_hard_negatives": negatives_sql(),
+}

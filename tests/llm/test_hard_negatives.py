@@ -1,0 +1,86 @@
+"""Hard negatives against brute force on the driver."""
+
+import math
+
+import numpy as np
+import pytest
+
+from rivulet.llm import hard_negatives as hn
+from rivulet.llm.hard_negatives import Joiner, hard_negatives
+
+SCHEMA = "vec_id long, embedding array<float>, label int, score int, a string"
+
+
+def brute(rows):
+    seen = {}
+    for i, v, label in rows:
+        if i is None or v is None or label is None or any(
+                x is None or not math.isfinite(x) for x in v):
+            continue
+        label = (label + 1) % 10 if i % 7 == 0 else label
+        seen[(i, label, tuple(math.floor(256 * float(np.float32(x))) for x in v))] = None
+    rows, out = list(seen), []
+    for anchor in rows:
+        if anchor[0] % 100:
+            continue
+
+        def score(r):
+            return sum(x * y for x, y in zip(anchor[2], r[2]))
+        best = sorted((-score(r), r[0]) for r in rows if r[0] != anchor[0] and r[1] == anchor[1])[:5]
+        for p, pid in best:
+            p = -p
+            fit = sorted((-score(r), r[0]) for r in rows if r[1] != anchor[1]
+                         and 30 * p <= 100 * score(r) <= 90 * p)[:10]
+            out += [(anchor[0], pid, n + 1, i, p, -s) for n, (s, i) in enumerate(fit)]
+    return sorted(out)
+
+
+def check(spark, rows):
+    df = spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA).repartition(3)
+    got = sorted(tuple(r) for r in hard_negatives(df).collect())
+    assert got == brute(rows)
+    return got
+
+
+def vectors(n, wide, labels, seed):
+    rng = np.random.default_rng(seed)
+    v = rng.normal(0, 0.15, (n, wide)).round(3)
+    return [(i, v[i].tolist(), int(rng.integers(labels))) for i in range(n)]
+
+
+def test_random_vectors(spark, monkeypatch):
+    assert len(check(spark, vectors(700, 24, 4, 1))) > 100
+    monkeypatch.setattr(hn, "SHARD_ROWS", 23)  # many shards and chunks
+    monkeypatch.setattr(hn, "CHUNK_ANCHORS", 2)
+    check(spark, vectors(700, 24, 4, 2))
+
+
+def test_awkward_rows(spark):
+    rows = vectors(320, 6, 3, 5)
+    same = [0.2, 0.1, -0.1, 0.3, 0.0, 0.25]
+    rows += [(1000 + i, same, i % 3) for i in range(150)]  # ties, with anchors among them
+    rows += rows[5:9] + [(100, same, 2), (100, same, 1), (200, rows[200][1], rows[200][2])]
+    rows += [(5001, None, 1), (5002, [0.1] * 6, None), (None, same, 1), (5003, [0.1, None] * 3, 1),
+             (5100, [float("nan")] * 6, 1), (5200, [float("inf")] * 6, 2), (5300, [], 1),
+             (5400, [0.0] * 6, 1), (5500, [-0.2] * 6, 0), (5600, [0.3, 0.1], 2), (-700, same, 0)]
+    check(spark, rows)
+
+
+def test_one_label_and_no_rows(spark):
+    rows = [(i, [0.1, 0.2], 8) for i in range(5) if i % 7]
+    assert check(spark, rows) == [] == check(spark, [(0, [1.0], 1), (1, [1.0], 2)])
+    assert hard_negatives(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("scale", [1, 2.0 ** 28])
+def test_joiner_finds_all_pairs_over_a_threshold(scale):
+    rng = np.random.default_rng(4)
+    a = (rng.normal(0, 30, (40, 70)) * scale).astype(np.int64)
+    r = (rng.normal(0, 30, (300, 70)) * scale).astype(np.int64)
+    exact = a.astype(object) @ r.astype(object).T
+    joiner = Joiner(a, r)
+    for share in (-1.0, 0.0, 0.1, 0.3, 0.45):
+        least = joiner.reach() * share
+        i, j, s = joiner.pairs(np.arange(40), least)
+        want = {(x, y): exact[x, y] for x in range(40) for y in range(300) if exact[x, y] >= least[x]}
+        assert {(int(x), int(y)): int(z) for x, y, z in zip(i, j, s)} == want

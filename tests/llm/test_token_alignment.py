@@ -1,0 +1,123 @@
+"""Alignment of two tokenizers against whole texts encoded by the libraries."""
+
+import bisect
+import hashlib
+import random
+from collections import Counter
+
+import pytest
+import sentencepiece
+import tokenizers
+from pyspark.sql import functions as F
+
+from rivulet.llm.queries import BYTE_BPE, PIECE_MODEL
+from rivulet.llm.token_alignment import (
+    AlignmentTable,
+    byte_level,
+    token_alignment,
+    token_bytes_b,
+)
+
+SCHEMA = "doc_id long, text string, `key` string, rows long, a int"
+TEXTS = [
+    "The cat sat on the mat.", "The cat sat on the mat.", "", None, " ", "  ", "\n", "a", " a", "a ",
+    "tokenisation of unforgettable neighbourhoods", "it's we'll I'd 's 't", "x  y   z\n\n w\t\tv \n u",
+    "ünïcödé straße naïve — “quotes” … ﬁne ½", "漢字かな交じり文 と 한국어", "😀😀👩‍👩‍👧 🇩🇪",
+    "special <|endoftext|> and <s> </s> <unk> <0x41>", "a▁b", "▁", "nul\x00char", " non breaking 　x",
+    "line\x85sep para  end", "123456789 3.14159 1,000,000", "    indented\n        code {x: y}",
+    "é́́ combining z̷̢̈́", "\x1c\x1d\x1e\x1f sep", "a​b ‍ c", "trailing\n", "\r\nCRLF\r\n text",
+]
+
+
+@pytest.fixture(scope="module")
+def libraries():
+    a = tokenizers.Tokenizer.from_file(BYTE_BPE)
+    a.encode_special_tokens = True
+    return a, sentencepiece.SentencePieceProcessor(model_file=PIECE_MODEL)
+
+
+def whole(libraries, text):
+    """Groups of a text from whole encodings and sets of byte offsets."""
+    a, b = libraries
+    if not text:
+        return None
+    data = (" " + text).encode()
+    ids_a, ids_b = a.encode(" " + text, add_special_tokens=False).ids, b.encode(text)
+    of, in_b = byte_level(), token_bytes_b(b)
+    parts_a = [bytes(of[c] for c in a.id_to_token(i)) for i in ids_a]
+    parts_b = [in_b[i] for i in ids_b]
+    if b"".join(parts_a) != data or b"".join(parts_b) != data:
+        return None
+
+    def ends(parts):
+        out, at = [], 0
+        for p in parts:
+            at += len(p)
+            out.append(at)
+        return out
+    at_a, at_b = ends(parts_a), ends(parts_b)
+    common = sorted(set(at_a) & set(at_b))
+    out = [([], []) for _ in common]
+    for side, (ids, at) in enumerate(((ids_a, at_a), (ids_b, at_b))):
+        for i, e in zip(ids, at):
+            out[bisect.bisect_left(common, e)][side].append(i)
+    return out
+
+
+def brute(libraries, texts):
+    cut = [whole(libraries, t) for t in texts]
+    links = [Counter((i, j) for x, y in c or () for i in x for j in y) for c in cut]
+    count = Counter(p for own in links for p in own)
+    best = {}
+    for (i, _), n in count.items():
+        best[i] = max(best.get(i, 0), n)
+    out = []
+    for c, own in zip(cut, links):
+        shown = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in c or ())
+        out.append((sum(len(x) for x, _ in c or ()), sum(len(y) for _, y in c or ()), len(c or ()),
+                    sum(own.values()), sum(n for p, n in own.items() if count[p] == best[p[0]]),
+                    sum(n * count[p] for p, n in own.items()),
+                    hashlib.sha256(shown.encode()).hexdigest() if c else ""))
+    return out
+
+
+@pytest.mark.parametrize("limit", [10 ** 6, 0])
+def test_against_whole_encodings(spark, libraries, limit):
+    texts = TEXTS + [" ".join(f"word{i % 977} of-the\nlist" for i in range(20_000))]
+    rows = [(i if i % 7 else None, t, "x", 1, 2) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = token_alignment(df, BYTE_BPE, PIECE_MODEL, broadcast_pairs=limit)
+    want = Counter((r[0], *m) for r, m in zip(rows, brute(libraries, texts)))
+    assert Counter(tuple(r) for r in got.collect()) == want
+    assert got.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+                           "groups_sha256"]
+
+
+def test_random_texts_and_a_table_that_starts_anew(libraries):
+    rng = random.Random(5)
+    alphabet = [" ", " ", "  ", "\n", "a", "the", "é", "漢", "😀", "▁", "1", ".", "\t", " ", "'s", "\x1d", "ing"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 30))) for _ in range(600)]
+    small, large = (AlignmentTable(BYTE_BPE, PIECE_MODEL, n) for n in (3, 10 ** 6))
+    for t, of_large in zip(texts, large.texts(texts)):
+        of_small = small.texts([t])[0]
+        assert of_small[:2] == of_large[:2] and (of_small[2] == of_large[2]).all()
+        c = whole(libraries, t)
+        shown = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in c or ())
+        assert of_large[1] == (hashlib.sha256(shown.encode()).hexdigest() if c else "")
+
+
+def test_no_rows_and_only_texts_without_tokens(spark):
+    none = spark.createDataFrame([], SCHEMA)
+    assert token_alignment(none, BYTE_BPE, PIECE_MODEL).count() == 0
+    df = spark.createDataFrame([(1, None), (2, ""), (3, "▁")], "doc_id long, text string")
+    got = token_alignment(df, BYTE_BPE, PIECE_MODEL)
+    assert sorted(tuple(r) for r in got.collect()) == [(i, 0, 0, 0, 0, 0, 0, "") for i in (1, 2, 3)]
+
+
+def test_copies_weigh_as_documents(spark):
+    df = spark.range(300).select(F.col("id").alias("doc_id"), F.when(
+        F.col("id") % 3 == 0, "one copied text").otherwise(F.concat(F.lit("row "), "id")).alias("text"))
+    got = token_alignment(df, BYTE_BPE, PIECE_MODEL).filter("doc_id % 3 = 0").distinct()
+    rows = got.collect()
+    assert len(rows) == 100 and len({r[1:] for r in rows}) == 1
+    assert rows[0].count_sum >= 100 * rows[0].n_links
