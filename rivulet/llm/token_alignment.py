@@ -27,7 +27,6 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections.abc import Sequence
 from itertools import chain, repeat
 
 import numpy as np
@@ -41,19 +40,25 @@ from rivulet.llm.common import map_texts
 from rivulet.llm.pieces import MARK
 from rivulet.session import materialize, scratch_path
 
-CHUNKS_PER_TABLE = 300_000
-CHARS_PER_TABLE = 8_000_000
+CHUNKS_PER_TABLE = 250_000
+CHARS_PER_TABLE = 6_000_000  # of the chunks; links are bounded alike
+CHUNKS_AT_ONCE = 20_000
+CHARS_AT_ONCE = 1_000_000
 BROADCAST_PAIRS = 2_000_000  # pair counts that are broadcast; beyond, a shuffle
 _CUT = re.compile(r"(?<=\S) ")
+_AFTER_WHITE = re.compile(r"\s ")
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 NUMBERS = ("n_a", "n_b", "n_groups", "n_links")
 
 
 def chunks(text: str) -> list[str]:
-    """``text`` cut before each space that follows a character other than
-    white space."""
+    """A space and ``text``, cut before each space that follows a character
+    other than white space; the chunks' first spaces are left out."""
+    text = " " + text
+    if _AFTER_WHITE.search(text) is None:
+        return text[1:].split(" ")
     cuts = [0, *[m.start() for m in _CUT.finditer(text)], len(text)]
-    return [text[a:b] for a, b in zip(cuts, cuts[1:])]
+    return [text[a + 1:b] for a, b in zip(cuts, cuts[1:])]
 
 
 def byte_level() -> dict[str, int]:
@@ -64,10 +69,13 @@ def byte_level() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-def token_bytes_a(tokenizer: tokenizers.Tokenizer) -> dict[int, bytes]:
+def token_bytes_a(tokenizer: tokenizers.Tokenizer) -> list[bytes]:
+    """The bytes of each id (none for special ones, which texts never get)."""
     of = byte_level()
-    return {i: bytes(of[c] for c in token) for token, i in tokenizer.get_vocab(False).items()
-            if all(c in of for c in token)}
+    out = [b""] * tokenizer.get_vocab_size()
+    for token, i in tokenizer.get_vocab(False).items():
+        out[i] = bytes(of[c] for c in token) if of.keys() >= set(token) else b""
+    return out
 
 
 def token_bytes_b(model: sentencepiece.SentencePieceProcessor) -> list[bytes]:
@@ -79,22 +87,9 @@ def token_bytes_b(model: sentencepiece.SentencePieceProcessor) -> list[bytes]:
     return out
 
 
-def groups(a: Sequence[int], b: Sequence[int], len_a: Sequence[int], len_b: Sequence[int]
-           ) -> list[tuple]:
-    """The tokens between two neighbouring ends that both have, for tokens that
-    cover the same bytes."""
-    out = []
-    i = j = end_a = end_b = from_a = from_b = 0
-    while i < len(a):
-        end_a += len_a[i]
-        i += 1
-        while end_b < end_a:
-            end_b += len_b[j]
-            j += 1
-        if end_a == end_b:
-            out.append((a[from_a:i], b[from_b:j]))
-            from_a, from_b = i, j
-    return out
+def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each start, as many as its count."""
+    return np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
 
 
 class AlignmentTable:
@@ -106,9 +101,14 @@ class AlignmentTable:
         self.a = tokenizers.Tokenizer.from_file(byte_bpe_file)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=piece_model)
-        self.bytes_a, self.bytes_b = token_bytes_a(self.a), token_bytes_b(self.b)
         if any(MARK in self.b.id_to_piece(i).lstrip(MARK) for i in range(self.b.get_piece_size())):
             raise ValueError("a piece of this vocabulary crosses a white space marker")
+        self.bytes_a, self.bytes_b = token_bytes_a(self.a), token_bytes_b(self.b)
+        self.wide_a, self.wide_b = (np.array([len(x) for x in table], np.int64)
+                                    for table in (self.bytes_a, self.bytes_b))
+        # A token as it is shown: followed by another one of its group or not.
+        self.marks = [f"{i}{sep}" for n, ends in ((len(self.bytes_a), ",|"), (len(self.bytes_b), ",;"))
+                      for sep in ends for i in range(n)]
         self.most_chunks, self.most_chars = most_chunks, most_chars
         self._clear()
 
@@ -116,7 +116,7 @@ class AlignmentTable:
         self.row: dict[str, int] = {}
         self.chars = self.used = 0
         self.shown: list[str | None] = []  # the groups as text; None: the bytes differ
-        self.numbers = np.zeros((1 << 10, len(NUMBERS)), np.int64)
+        self.numbers = np.zeros((1 << 10, len(NUMBERS)), np.int32)
         self.start = np.zeros(1 << 10, np.int64)
         self.flat = np.zeros(1 << 12, np.int64)  # linked pairs, a * 2^32 + b
 
@@ -127,51 +127,111 @@ class AlignmentTable:
         missing = np.flatnonzero(at < 0)
         if len(missing):
             lacked = [parts[i] for i in missing]
-            self._add(list(dict.fromkeys(lacked)))
+            new = list(dict.fromkeys(lacked))
+            # One call for many chunks, but for those that a following space
+            # would not be cut from.
+            odd = [c for c in new if not c or c[-1].isspace()]
+            plain = [c for c in new if c and not c[-1].isspace()] if odd else new
+            for some, encode in ((plain, self._together), (odd, self._apart)):
+                for k in range(0, len(some), CHUNKS_AT_ONCE):
+                    part = some[k:k + CHUNKS_AT_ONCE]
+                    self._add(part, *(encode(part) or self._apart(part)))
             at[missing] = [self.row[c] for c in lacked]
         return at
 
-    def _add(self, new: list[str]) -> None:
-        # The library marks a chunk's first space itself; of a lone space it
-        # would see an empty text.
-        ids_b = self.b.encode([c[1:] for c in new], num_threads=1)
-        alone = [self.b.piece_to_id(MARK)]
-        made = [self._align(c, e.ids, b if len(c) > 1 else alone) for c, e, b in zip(
-            new, self.a.encode_batch(new, add_special_tokens=False), ids_b)]
+    def _together(self, new: list[str]) -> tuple | None:
+        """Both tokenizers' ids of all chunks, how many are each chunk's, and
+        which chunks they give back; None if not all are given back."""
+        text = " " + " ".join(new)
+        data = text.encode()
+        ids_a = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        ids_b = self.b.encode(new, num_threads=1)
+        b, n_b = self._flat(ids_b)
+        for ids, table in ((ids_a, self.bytes_a), (b.tolist(), self.bytes_b)):
+            if b"".join(map(table.__getitem__, ids)) != data:
+                return None
+        a = np.array(ids_a, np.int64)
+        ends = np.cumsum(np.bincount(np.repeat(np.arange(len(new)), n_b), self.wide_b[b]))
+        n_a = np.diff(np.searchsorted(np.cumsum(self.wide_a[a]), ends, "right"), prepend=0)
+        return a, n_a, b, n_b, np.ones(len(new), bool)
+
+    def _apart(self, new: list[str]) -> tuple:
+        """The same chunk by chunk; one that is not given back has no ids."""
+        ids_a = [e.ids for e in self.a.encode_batch_fast([" " + c for c in new], add_special_tokens=False)]
+        ids_b = self.b.encode(new, num_threads=1)  # the library marks the first space
+        if "" in new:  # a space alone, of which it would see an empty text
+            ids_b[new.index("")] = [self.b.piece_to_id(MARK)]
+        good = np.ones(len(new), bool)
+        for k, c in enumerate(new):
+            own = (" " + c).encode()
+            if any(b"".join(map(table.__getitem__, ids[k])) != own
+                   for table, ids in ((self.bytes_a, ids_a), (self.bytes_b, ids_b))):
+                good[k], ids_a[k], ids_b[k] = False, [], []
+        return *self._flat(ids_a), *self._flat(ids_b), good
+
+    @staticmethod
+    def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        n = np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum())), n
+
+    def _add(self, new: list[str], a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray,
+             good: np.ndarray) -> None:
+        # Ends in all chunks' bytes; each chunk's last byte is an end of both.
+        end_a, end_b = np.cumsum(self.wide_a[a]), np.cumsum(self.wide_b[b])
+        common = np.intersect1d(end_a, end_b, assume_unique=True)
+        group_a, group_b = np.searchsorted(common, end_a), np.searchsorted(common, end_b)
+        in_a, in_b = (np.bincount(g, minlength=len(common)) for g in (group_a, group_b))
+        first_b = np.cumsum(in_b) - in_b
+        times = in_b[group_a]
+        pairs = np.repeat(a << 32, times) | b[_spread(first_b[group_a], times)]
+
+        last_a, last_b = np.cumsum(n_a), np.cumsum(n_b)
+        of_chunk = np.searchsorted(last_a, np.cumsum(in_a))  # the chunk a group is in
+        links = np.bincount(of_chunk, in_a * in_b, len(new)).astype(np.int64)
+        # A group is shown as its tokens of one side, then those of the other.
+        sep_a = np.diff(group_a, append=len(common)) > 0
+        sep_b = np.diff(group_b, append=len(common)) > 0
+        place_a = np.arange(len(a)) + (np.cumsum(in_b) - in_b)[group_a]
+        place_b = np.arange(len(b)) + np.cumsum(in_a)[group_b]
+        marks = np.empty(len(a) + len(b), np.int64)
+        marks[place_a] = a + sep_a * len(self.bytes_a)
+        marks[place_b] = b + sep_b * len(self.bytes_b) + 2 * len(self.bytes_a)
+        shown = list(map(self.marks.__getitem__, marks.tolist()))
+        to = (last_a + last_b).tolist()
+        texts = ["".join(shown[i:j]) for i, j in zip([0, *to], to)]
+
         first = len(self.shown)
         last = first + len(new)
         self.row.update(zip(new, range(first, last)))
-        self.shown += [m[0] for m in made]
+        self.shown += texts if good.all() else [t if ok else None for t, ok in zip(texts, good)]
         self.numbers, self.start = (self._room(x, last) for x in (self.numbers, self.start))
-        self.numbers[first:last] = [m[1] for m in made]
-        links = self.numbers[first:last, 3]
-        total = int(links.sum())
+        groups = np.bincount(of_chunk, minlength=len(new))
+        self.numbers[first:last] = np.stack([n_a, n_b, groups, links], axis=1)
         self.start[first:last] = self.used + np.cumsum(links) - links
-        self.flat = self._room(self.flat, self.used + total)
-        self.flat[self.used:self.used + total] = np.fromiter(
-            chain.from_iterable(m[2] for m in made), np.int64, total)
-        self.used += total
+        self.flat = self._room(self.flat, self.used + len(pairs))
+        self.flat[self.used:self.used + len(pairs)] = pairs
+        self.used += len(pairs)
         self.chars += sum(map(len, new))
 
     @staticmethod
     def _room(x: np.ndarray, size: int) -> np.ndarray:
-        return x if size <= len(x) else np.concatenate([x, np.zeros((size, *x.shape[1:]), x.dtype)])
-
-    def _align(self, chunk: str, a: list[int], b: list[int]) -> tuple:
-        in_a, in_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        data = chunk.encode()
-        if b"".join(in_a) != data or b"".join(in_b) != data:
-            return None, (0, 0, 0, 0), ()
-        cut = groups(a, b, [len(x) for x in in_a], [len(x) for x in in_b])
-        shown = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in cut)
-        pairs = [i << 32 | j for x, y in cut for i in x for j in y]
-        return shown, (len(a), len(b), len(cut), len(pairs)), pairs
+        return x if size <= len(x) else np.concatenate(
+            [x, np.zeros((max(size - len(x), len(x) // 2), *x.shape[1:]), x.dtype)])
 
     def texts(self, texts: list[str]) -> list[tuple]:
         """For each text (n_a, n_b, n_groups, n_links), the digest of its groups,
         and its linked pairs with how often each is linked."""
+        out, start, held = [], 0, 0
+        for k, t in enumerate(texts):  # some at a time: a chunk is an object of its own
+            held += len(t)
+            if held > CHARS_AT_ONCE or k == len(texts) - 1:
+                out += self._texts(texts[start:k + 1])
+                start, held = k + 1, 0
+        return out
+
+    def _texts(self, texts: list[str]) -> list[tuple]:
         none = np.zeros(0, np.int64)
-        parts = [chunks(" " + t) for t in texts]
+        parts = [chunks(t) for t in texts]
         rows = self.rows([c for p in parts for c in p])
         out, first = [], 0
         for p, text in zip(parts, texts):
@@ -181,10 +241,10 @@ class AlignmentTable:
             if not text or None in shown:
                 out.append(((0,) * len(NUMBERS), "", none, none))
                 continue
-            n = self.numbers[own, 3]
-            at = np.repeat(self.start[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            out.append((tuple(self.numbers[own].sum(axis=0).tolist()),
-                        hashlib.sha256(";".join(shown).encode()).hexdigest(),
+            numbers = self.numbers[own].astype(np.int64)
+            at = _spread(self.start[own], numbers[:, 3])
+            out.append((tuple(numbers.sum(axis=0).tolist()),
+                        hashlib.sha256("".join(shown)[:-1].encode()).hexdigest(),
                         *np.unique(self.flat[at], return_counts=True)))
         return out
 
