@@ -19,9 +19,15 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from rivulet.operators.metrics import READ_COUNTER, ProgressCounter  # noqa: E402
+from rivulet.operators.metrics import (  # noqa: E402
+    READ_COUNTER,
+    ProgressCounter,
+    last_batch,
+    rows_read,
+)
 from rivulet.plans import build_reader  # noqa: E402
 from rivulet.session import scratch_path  # noqa: E402
+from rivulet.sources.lake import read_parallelism  # noqa: E402
 from rivulet.sources.streams import byte_limit  # noqa: E402
 from rivulet.streaming import discard_sink  # noqa: E402
 
@@ -46,9 +52,11 @@ def parse(argv=None):
 def main(argv=None) -> int:
     a = parse(argv)
     spark = SparkSession.builder.appName("rivulet-reader").getOrCreate()
-    if a.parallelism:
-        spark.conf.set("spark.sql.files.minPartitionNum", str(a.parallelism))
-    sink = discard_sink(a.checkpoint or scratch_path(spark, "reader-ckpt"),
+    for k, v in (read_parallelism(a.parallelism) if a.parallelism else {}).items():
+        spark.conf.set(k, v)
+    checkpoint = a.checkpoint or scratch_path(spark, "reader-ckpt")
+    before = last_batch(spark, checkpoint)
+    sink = discard_sink(checkpoint,
                         trigger="available_now" if a.once else f"{a.poll_interval} seconds",
                         query_name="reader")
     q = build_reader(spark, a.input_dir, sink, create=True,
@@ -65,10 +73,10 @@ def main(argv=None) -> int:
         if a.timeout and time.time() - start > a.timeout:
             break
         q.awaitTermination(min(1, a.poll_interval))
-    counter.poll(q)
-    n = counter.complete_total()
     if q.isActive:
         q.stop()
+    # The count of the run from its commits, whatever progress was seen.
+    n = rows_read(spark, checkpoint, a.input_dir, -1 if before is None else before)
     print(f"{READ_COUNTER}={n}")
     return 0 if q.exception() is None else 1
 

@@ -12,7 +12,8 @@ is an unbounded file stream (S3). ``--enrichment-stream-dir`` switches from
 the static lookup to arrival-ordered enrichment from a second stream (J3).
 ``--once`` processes what is there and
 stops (K4); otherwise a micro-batch runs every ``--checkpoint-interval``
-(T3). The checkpoint is the table's own (``<table>.checkpoint``) unless
+(T3), for ever with ``--input-dir``, and until all generated records are
+committed without. The checkpoint is the table's own (``<table>.checkpoint``) unless
 ``--checkpoint`` is given, so a second run appends to the table. Generated
 records land under the checkpoint; a run that was killed is finished by the
 next start before any new records are made.
@@ -29,7 +30,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from rivulet.operators.metrics import WRITTEN_COUNTER, ProgressCounter  # noqa: E402
+from rivulet.operators.metrics import WRITTEN_COUNTER, WrittenCounter  # noqa: E402
 from rivulet.plans import build_stateful_writer, build_writer  # noqa: E402
 from rivulet.schemas import ENRICHMENT, RAW  # noqa: E402
 from rivulet.session import RECOMMENDED_CONF, session_conf, state_partitions  # noqa: E402
@@ -74,6 +75,8 @@ def parse(argv=None):
     p.add_argument("--grain", default="minute", choices=["minute", "hour", "day"])
     p.add_argument("--checkpoint")
     p.add_argument("--max-records-per-file", type=int)
+    p.add_argument("--bytes-per-file", type=int,
+                   help="rebalance each micro-batch by partition to files of about this size")
     p.add_argument("--parquet-block-size", type=int, help="bytes (row group size)")
     p.add_argument("--parquet-page-size", type=int, help="bytes")
     p.add_argument("--compression", help="Parquet codec, e.g. zstd or snappy")
@@ -151,8 +154,10 @@ def main(argv=None) -> int:
         parquet_page_size=a.parquet_page_size,
         compression=a.compression,
         cluster_by_partition=a.cluster_by_partition,
+        bytes_per_file=a.bytes_per_file,
         write_parallelism=None if a.cluster_by_partition else a.write_parallelism,
         query_name="writer")
+    written = WrittenCounter(spark, a.output_dir)
     if a.enrichment_stream_dir:
         enr = enrichment_stream(spark, a.enrichment_stream_dir, ENRICHMENT,
                                 a.max_files_per_trigger,
@@ -164,11 +169,15 @@ def main(argv=None) -> int:
                                       hot_keys=layout.hot_keys, key_groups=layout.key_groups)
     else:
         q = build_writer(raw, dim, sink, grain=a.grain)
-    counter = ProgressCounter(WRITTEN_COUNTER)
-    written = counter.follow(q)
+    if not a.input_dir and not a.once:
+        # Generated input ends: all of it landed before the start. The stream
+        # is stopped once its last file is committed.
+        q.processAllAvailable()
+        q.stop()
+    q.awaitTermination()
     if not a.input_dir:
         finished(spark, checkpoint)
-    print(f"{WRITTEN_COUNTER}={written}")
+    print(f"{WRITTEN_COUNTER}={written.total}")
     return 0
 
 

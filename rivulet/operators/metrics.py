@@ -11,10 +11,11 @@ from __future__ import annotations
 
 import threading
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rivulet.fixed import READ_COUNTER, WRITTEN_COUNTER  # noqa: F401  (re-exported)
+from rivulet.sources.fs import names
 
 
 class RecordCounter:
@@ -96,3 +97,50 @@ class ProgressCounter:
     def batches(self) -> int:
         with self._lock:
             return len(self._per_batch)
+
+
+def committed_rows(spark: SparkSession, table: str) -> int:
+    """Rows in the committed files of a table's log (A1). Read off the files'
+    footers: nothing a query reports is needed, so a slow driver, a restart or
+    a short progress history changes nothing."""
+    if not names(spark, f"{table}/_spark_metadata"):
+        return 0
+    return spark.read.schema("event_time bigint").parquet(table).count()
+
+
+class WrittenCounter:
+    """Rows that a run commits to a table (A1): those after it less those
+    before it."""
+
+    def __init__(self, spark: SparkSession, table: str):
+        self.spark, self.table = spark, table
+        self.before = committed_rows(spark, table)
+
+    @property
+    def total(self) -> int:
+        return committed_rows(self.spark, self.table) - self.before
+
+
+def rows_read(spark: SparkSession, checkpoint: str, table: str, after: int = -1) -> int:
+    """Rows of ``table`` that the batches of a reader's checkpoint have read
+    and committed, those with an id over ``after`` (A2).
+
+    The source's log names each file with its batch (also where the log was
+    compacted); rows come from the files' footers."""
+    last = last_batch(spark, checkpoint)
+    logs = f"{checkpoint.rstrip('/')}/sources/0"
+    if last is None or not names(spark, logs):
+        return 0
+    entry = F.from_json("value", "path string, batchId bigint")
+    files = (spark.read.text(logs).filter("value LIKE '{%'").select(entry.alias("e"))
+             .filter((F.col("e.batchId") > after) & (F.col("e.batchId") <= last))
+             .select(F.substring_index("e.path", "/", -1).alias("name")).distinct())
+    counts = (spark.read.schema("event_time bigint").parquet(table)
+              .groupBy(F.col("_metadata.file_name").alias("name")).agg(F.count(F.lit(1)).alias("n")))
+    return counts.join(files, "name", "left_semi").agg(F.sum("n")).first()[0] or 0
+
+
+def last_batch(spark: SparkSession, checkpoint: str) -> int | None:
+    """The last committed batch of a checkpoint."""
+    ids = [int(n) for n in names(spark, f"{checkpoint.rstrip('/')}/commits") if n.isdigit()]
+    return max(ids, default=None)

@@ -22,12 +22,13 @@ from rivulet.fixed import NUM_ENRICHMENTS
 from rivulet.functions.keys import record_key
 from rivulet.functions.time import epoch_ms_from_ntz, utc_bucket
 from rivulet.operators.arrival_bounded import enrich_table_bounded
+from rivulet.operators.arrival_scan import enrich_table_scan
 from rivulet.operators.enrich import enrich, latest_by_key, to_enriched
 from rivulet.operators.metrics import READ_COUNTER, WRITTEN_COUNTER, ProgressCounter
+from rivulet.operators.versions import Versions, enrich_versions, fits_broadcast
 from rivulet.plans.reader import build_reader
 from rivulet.plans.writer import build_writer
 from rivulet.session import scratch_path, session_conf, state_partitions
-from rivulet.sources.fs import mkdirs
 from rivulet.sources.generated import (
     DEFAULT_T0_MS,
     enrichment_record,
@@ -35,19 +36,23 @@ from rivulet.sources.generated import (
     raw_from_ids,
 )
 from rivulet.sources.lake import read_snapshot
+from rivulet.sources.streams import batch_limit
 from rivulet.sources.tables import enrichment_updates, events_as_raw, load_table, table_stream
 from rivulet.streaming.arrival import StateLayout, enrich_stateful, keep_layout, plan_state_layout
-from rivulet.streaming.sinks import append_sink, discard_sink
+from rivulet.streaming.sinks import append_sink, discard_sink, table_checkpoint
+from rivulet.streaming.staging import ROWS_PER_FILE, admit, stage_in_order
 from rivulet.streaming.watermark import EVENT_TIME_COLUMN, with_enrichment_watermark
 
 RAW_PARALLELISM = 2
 TABLE_GRAIN = "day"  # minute grain on driver data = one folder per event
-ROWS_PER_SLICE = 20_000_000  # events that the arrival-order query takes in one run
+VERSIONS_PER_STRETCH = 500_000  # events whose values are broadcast at a time
+VERSION_BYTES = 64 * 1024 * 1024
+BYTES_PER_FILE = 128 * 1024 * 1024  # shuffled bytes of a file of the hourly table
+LEAST_STRETCHES = 3  # so that a small table has stretches that start from state
 KEYS_PER_GROUP = 64  # users per key group of the arrival-order state
 # Bounded micro-batches when ``events`` is a folder of many files: a failed
 # batch re-runs only its share, and a keyed-state group holds at most its
-# share of one batch. For these queries the order of files does not matter;
-# those that need arrival order stage their input in slices.
+# share of one batch. Queries that need arrival order stage their input in it.
 BYTES_PER_TRIGGER = 2 * 1024 ** 3
 
 
@@ -128,43 +133,33 @@ def q_enrich_latest(spark, sf_dir):
 # ------------------------------------------------------------ streaming ---
 
 def write_table(spark: SparkSession, sf_dir: str, table: str | None = None,
-                grain: str = TABLE_GRAIN) -> tuple[str, int]:
+                grain: str = TABLE_GRAIN, bytes_per_file: int | None = None) -> tuple[str, int]:
     """Writer job over a stream of ``events``: enrich with the 100
     enrichments, count, append to a partitioned table. Returns (path, n)."""
     table = table or scratch_path(spark, "table")
-    sink = append_sink(table, scratch_path(spark, "writer-ckpt"), trigger="available_now")
+    sink = append_sink(table, scratch_path(spark, "writer-ckpt"), trigger="available_now",
+                       bytes_per_file=bytes_per_file)
     raw = events_as_raw(_events_stream(spark, sf_dir))
     q = build_writer(raw, enrichments(spark, NUM_ENRICHMENTS, DEFAULT_T0_MS), sink,
                      grain=grain, dim_rows_bound=NUM_ENRICHMENTS)
     return table, ProgressCounter(WRITTEN_COUNTER).follow(q)
 
 
-def slices(events: DataFrame, order: Column, n: int) -> list[DataFrame]:
-    """``events`` in ``n`` consecutive ranges of ``order`` (nulls first)."""
-    value = order.cast("double")
-    at = events.agg(F.percentile_approx(value, [k / n for k in range(1, n)], 10_000)).first()[0] \
-        if n > 1 else []
-    bounds = [None, *sorted(set(at or [])), None]
-    out = []
-    for low, high in zip(bounds, bounds[1:]):
-        inside = F.lit(True) if high is None else F.coalesce(value <= high, F.lit(low is None))
-        if low is not None:
-            inside = inside & (value > low)
-        out.append(events.filter(inside))
-    return out
-
-
-def run_in_slices(spark: SparkSession, parts: list[DataFrame],
-                  start: Callable[[DataFrame], StreamingQuery]) -> None:
-    """Land the parts one after another in a folder; after each, run the
-    query over a stream of the folder to its end, on the same checkpoint. A
-    part is a run of its own, so the runs follow the order of the parts and
-    every start but the first resumes from state."""
-    landing = scratch_path(spark, "slices")
-    mkdirs(spark, landing)
-    for part in parts:
-        part.write.mode("append").parquet(landing)
-        _await(start(spark.readStream.schema(part.schema).parquet(landing)))
+def run_in_order(spark: SparkSession, df: DataFrame, order: Column | str,
+                 start: Callable[[DataFrame, int], StreamingQuery], runs: int = 1,
+                 rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Stage ``df`` once in order, and run a query over a stream of its files
+    to the end, in ``runs`` runs on the same checkpoint: each is admitted the
+    next share of the files, and every start but the first resumes. The table
+    is read for the staging only, whatever the number of files."""
+    staging, landing = scratch_path(spark, "staged"), scratch_path(spark, "ordered")
+    rows = min(rows_per_file, -(-df.count() // runs) or 1)
+    files = stage_in_order(df, order, staging, rows)
+    for run in range(runs):
+        share = files[len(files) * run // runs:len(files) * (run + 1) // runs]
+        admit(spark, share, landing)
+        stream = batch_limit(spark.readStream.schema(df.schema), None, BYTES_PER_TRIGGER)
+        _await(start(stream.parquet(landing), run))
 
 
 def q_append_snapshot(spark, sf_dir):
@@ -204,8 +199,9 @@ def q_count_read(spark, sf_dir):
 
 
 def q_append_hourly(spark, sf_dir):
-    """The writer's table at hour grain."""
-    table, _ = write_table(spark, sf_dir, grain="hour")
+    """The writer's table at hour grain (K2, P3), its files sized in bytes: each
+    micro-batch is rebalanced by hour (K5)."""
+    table, _ = write_table(spark, sf_dir, grain="hour", bytes_per_file=BYTES_PER_FILE)
     return read_snapshot(spark, table, require=True)
 
 
@@ -213,9 +209,9 @@ def q_append_two_runs(spark, sf_dir):
     """Two runs of the writer into one table, on its own checkpoint (K1, K3)."""
     table = scratch_path(spark, "table")
     dim = enrichments(spark, NUM_ENRICHMENTS, DEFAULT_T0_MS)
-    run_in_slices(spark, slices(_events(spark, sf_dir), F.col("event_id"), 2), lambda stream: build_writer(
+    run_in_order(spark, _events(spark, sf_dir), "event_id", lambda stream, run: build_writer(
         events_as_raw(stream), dim, append_sink(table), grain=TABLE_GRAIN,
-        dim_rows_bound=NUM_ENRICHMENTS))
+        dim_rows_bound=NUM_ENRICHMENTS), runs=2)
     return read_snapshot(spark, table, require=True)
 
 
@@ -231,8 +227,8 @@ def q_read_while_writing(spark, sf_dir):
     return read_snapshot(spark, copy, require=True)
 
 
-def enrich_in_arrival_order(spark: SparkSession, sf_dir: str, least_slices: int) -> DataFrame:
-    """Stream J3 over ``events`` in slices of arrival order.
+def enrich_in_arrival_order(spark: SparkSession, sf_dir: str, runs: int) -> DataFrame:
+    """Stream J3 over ``events`` in arrival order, in a number of runs.
 
     One per-user count of the table first gives the state layout: users
     holding more than half a state partition of the events are salted by
@@ -246,16 +242,15 @@ def enrich_in_arrival_order(spark: SparkSession, sf_dir: str, least_slices: int)
     layout = keep_layout(spark, checkpoint, StateLayout(hot_keys=hot, key_groups=groups,
                                                         partitions=partitions))
 
-    def start(stream: DataFrame) -> StreamingQuery:
+    def start(stream: DataFrame, run: int) -> StreamingQuery:
         out = enrich_stateful(events_as_raw(stream, keep=("event_id",)),
                               enrichment_updates(stream, keep=("event_id",)),
                               arrival_col="event_id", enrichment_first_on_tie=False,
                               hot_keys=layout.hot_keys, key_groups=layout.key_groups)
         return append_sink(table, checkpoint)(to_enriched(out, grain=TABLE_GRAIN))
 
-    n = max(least_slices, -(-events.count() // ROWS_PER_SLICE))
     with session_conf(spark, {"spark.sql.shuffle.partitions": layout.partitions}):
-        run_in_slices(spark, slices(events, F.col("event_id"), n), start)
+        run_in_order(spark, events, "event_id", start, runs)
     return read_snapshot(spark, table, require=True)
 
 
@@ -279,13 +274,48 @@ def q_enrich_arrival_order_bounded(spark, sf_dir):
     return to_enriched(out, grain="minute")
 
 
+def q_enrich_arrival_order_scan(spark, sf_dir):
+    """Table J3 (T4) as a segmented scan: raw rows are shuffled once."""
+    out = enrich_table_scan(
+        _events(spark, sf_dir), {"event_time": epoch_ms_from_ntz("ts"), "data": F.col("user_id")},
+        {"key": F.col("user_id"), "enrichment": F.col("event_type")},
+        "event_id", enrichment_first_on_tie=False)
+    return to_enriched(out, grain="minute")
+
+
+def q_enrich_arrival_versions(spark, sf_dir):
+    """Stream J3 without a shuffle of raw rows: consecutive stretches of
+    ``events``, each looked up in a broadcast table of the versions that its
+    users' values have in it, searched by array expressions.
+
+    Stretches are cut so that their versions may be broadcast; where the
+    latest values of all users alone are too many, keyed state takes over."""
+    events = _events(spark, sf_dir)
+    state = latest_by_key(enrichment_updates(events, keep=("event_id",)), order=("event_id",))
+    if not fits_broadcast(state, VERSIONS_PER_STRETCH, VERSION_BYTES // 2):
+        return enrich_in_arrival_order(spark, sf_dir, 1)
+    table, staging = scratch_path(spark, "versions"), scratch_path(spark, "stretches")
+    versions = Versions(spark, table_checkpoint(table), "event_id",
+                        max_rows=2 * VERSIONS_PER_STRETCH, max_bytes=VERSION_BYTES)
+    rows = min(VERSIONS_PER_STRETCH, -(-events.count() // LEAST_STRETCHES) or 1)
+    landing = scratch_path(spark, "ordered")
+    for n, file in enumerate(stage_in_order(events, "event_id", staging, rows)):
+        stretch = spark.read.schema(events.schema).parquet(file)
+        lookup = versions.table(n, enrichment_updates(stretch, keep=("event_id",)))
+        admit(spark, [file], landing)
+        raw = events_as_raw(spark.readStream.schema(events.schema).parquet(landing), keep=("event_id",))
+        out = enrich_versions(raw, lookup, "event_id", enrichment_first_on_tie=False)
+        _await(append_sink(table)(to_enriched(out, grain=TABLE_GRAIN)))
+    return read_snapshot(spark, table, require=True)
+
+
 def q_enrichment_watermark(spark, sf_dir):
     """Updates per hour, each hour given out once the watermark on the
     enrichment time has passed it (T2): the last hour never is. Updates come
     in order of time, so none is late."""
     path = scratch_path(spark, "watermarked")
 
-    def start(stream: DataFrame) -> StreamingQuery:
+    def start(stream: DataFrame, run: int) -> StreamingQuery:
         hours = (with_enrichment_watermark(enrichment_updates(stream))
                  .groupBy(F.window(EVENT_TIME_COLUMN, "1 hour").alias("hour"))
                  .agg(F.count(F.lit(1)).alias("n"))
@@ -294,9 +324,7 @@ def q_enrichment_watermark(spark, sf_dir):
                 .option("checkpointLocation", f"{path}.checkpoint")
                 .trigger(availableNow=True).start())
 
-    events = _events(spark, sf_dir)
-    n = -(-events.count() // ROWS_PER_SLICE)
-    run_in_slices(spark, slices(events, epoch_ms_from_ntz("ts"), n), start)
+    run_in_order(spark, _events(spark, sf_dir), epoch_ms_from_ntz("ts"), start)
     return spark.read.schema("hour_ms bigint, n bigint").parquet(path)
 
 
@@ -319,6 +347,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "enrich_arrival_order": q_enrich_arrival_order,
     "enrich_arrival_resume": q_enrich_arrival_resume,
     "enrich_arrival_order_bounded": q_enrich_arrival_order_bounded,
+    "enrich_arrival_order_scan": q_enrich_arrival_order_scan,
+    "enrich_arrival_versions": q_enrich_arrival_versions,
     "enrichment_watermark": q_enrichment_watermark,
 }
 
@@ -396,6 +426,18 @@ ORACLE_SQL: dict[str, str] = {
         " CAST(epoch_us(ts) // 1000 AS VARCHAR) || '|' || CAST(CAST(user_id AS INTEGER) AS VARCHAR)"
         " AS key, strftime(make_timestamp((epoch_us(ts) // 1000) * 1000), '%Y%m%d-%H%M')"
         " AS partition FROM events"),
+    "enrich_arrival_order_scan": (
+        "SELECT epoch_us(ts) // 1000 AS event_time, CAST(user_id AS INTEGER) AS data,"
+        " lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS enrichment,"
+        " CAST(epoch_us(ts) // 1000 AS VARCHAR) || '|' || CAST(CAST(user_id AS INTEGER) AS VARCHAR)"
+        " AS key, strftime(make_timestamp((epoch_us(ts) // 1000) * 1000), '%Y%m%d-%H%M')"
+        " AS partition FROM events"),
+    "enrich_arrival_versions": (
+        "SELECT epoch_us(ts) // 1000 AS event_time, CAST(user_id AS INTEGER) AS data,"
+        " lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS enrichment,"
+        " CAST(epoch_us(ts) // 1000 AS VARCHAR) || '|' || CAST(CAST(user_id AS INTEGER) AS VARCHAR)"
+        " AS key, strftime(make_timestamp((epoch_us(ts) // 1000) * 1000), '%Y%m%d')"
+        " AS partition FROM events"),
     "enrichment_watermark": (
         "WITH u AS (SELECT epoch_us(ts) // 1000 AS ms FROM events)"
         " SELECT ms // 3600000 * 3600000 AS hour_ms, count(*) AS n FROM u GROUP BY 1"

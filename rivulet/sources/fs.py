@@ -41,6 +41,18 @@ def rename(spark: SparkSession, path: str, to: str) -> None:
         raise OSError(f"cannot rename {path} to {to}")
 
 
+def modified(spark: SparkSession, path: str) -> dict[str, int]:
+    """Modification times (ms) of the data files in a folder."""
+    hpath, fs = _hadoop_fs(spark, path)
+    return {s.getPath().getName(): s.getModificationTime() for s in fs.listStatus(hpath)
+            if s.getPath().getName()[0] not in "._"}
+
+
+def set_modified(spark: SparkSession, path: str, ms: int) -> None:
+    hpath, fs = _hadoop_fs(spark, path)
+    fs.setTimes(hpath, ms, -1)
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     hpath, fs = _hadoop_fs(spark, path)
     stream = fs.open(hpath)

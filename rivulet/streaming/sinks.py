@@ -13,6 +13,7 @@ everything present, commits and stops (K4).
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -21,7 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from rivulet.fixed import DEFAULT_PARTITION_NAME, PARTITION_COLUMN
-from rivulet.sources.fs import names
+from rivulet.session import session_conf
+from rivulet.sources.fs import exists, names, read_text, write_text
 
 
 Sink = Callable[[DataFrame], StreamingQuery]
@@ -45,15 +47,52 @@ def table_checkpoint(path: str) -> str:
     return f"{path.rstrip('/')}.checkpoint"
 
 
+def owner_path(path: str) -> str:
+    """Where a table's checkpoint is named: beside it, so the table's folder
+    holds nothing but its files."""
+    return f"{path.rstrip('/')}.owner"
+
+
+def query_id(spark: SparkSession, checkpoint: str) -> str | None:
+    """The id that a query keeps in its checkpoint from its first start on."""
+    kept = f"{checkpoint.rstrip('/')}/metadata"
+    return json.loads(read_text(spark, kept))["id"] if exists(spark, kept) else None
+
+
 def check_append(spark: SparkSession, path: str, checkpoint: str) -> None:
-    """Refuse a new checkpoint on a table that has commits: its batch ids
-    would start at 0 again, and the sink skips ids it has committed."""
-    if names(spark, f"{path}/_spark_metadata") and not names(spark, f"{checkpoint}/offsets"):
+    """Refuse a checkpoint that is not the table's own: its batch ids are not
+    those of the table's commits, and the sink skips ids it has committed.
+
+    A table's first run writes its query's id beside it (``bind``). A table
+    without one (an older one, or one whose first run was killed before it
+    wrote the id) takes a checkpoint that has run at least."""
+    if not names(spark, f"{path}/_spark_metadata"):
+        return
+    own, known = query_id(spark, checkpoint), exists(spark, owner_path(path))
+    if known and read_text(spark, owner_path(path)) != own or not names(spark, f"{checkpoint}/offsets"):
         raise ValueError(
-            f"{path} has commits of another checkpoint; batches of a new checkpoint ({checkpoint}) "
+            f"{path} has commits of another checkpoint; batches of this checkpoint ({checkpoint}) "
             f"would be skipped. Use the table's own (by default {table_checkpoint(path)})")
 
 
+def bind(query: StreamingQuery, spark: SparkSession, path: str) -> StreamingQuery:
+    """Name the query's checkpoint as the table's own."""
+    if not exists(spark, owner_path(path)) or not names(spark, f"{path}/_spark_metadata"):
+        write_text(spark, owner_path(path), str(query.id))
+    return query
+
+
+def _rebalanced(spark: SparkSession, bytes_per_file: int | None) -> dict:
+    """Settings of a query whose micro-batches are rebalanced. A small batch
+    still has a task for each core: a partition value stays in one of them,
+    so that makes no more files."""
+    if not bytes_per_file:
+        return {}
+    return {"spark.sql.adaptive.advisoryPartitionSizeInBytes": int(bytes_per_file),
+            "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+            "spark.sql.adaptive.coalescePartitions.minPartitionNum": spark.sparkContext.defaultParallelism}
+
+
 def append_sink(path: str, checkpoint: str | None = None, trigger: str | dict | None = "available_now",
                 partition_col: str = PARTITION_COLUMN,
                 max_records_per_file: int | None = None,
@@ -62,6 +101,7 @@ def append_sink(path: str, checkpoint: str | None = None, trigger: str | dict |
                 cluster_by_partition: bool = False,
                 files_per_partition: int = 4,
                 write_parallelism: int | None = None,
+                bytes_per_file: int | None = None,
                 fill_missing_partition: bool = True,
                 query_name: str | None = None,
                 compression: str | None = None) -> Sink:
@@ -76,11 +116,14 @@ def append_sink(path: str, checkpoint: str | None = None, trigger: str | dict |
       default partition's name (S8).
     * ``write_parallelism`` shuffles rows evenly to that many writing tasks
       (K7); the scan and the join before it keep their own.
+    * ``bytes_per_file`` (K5) has each micro-batch rebalanced by partition:
+      Spark's adaptive execution joins small partitions and splits large ones
+      until each writing task has about that many bytes of shuffled rows.
     * ``max_records_per_file`` / Parquet block and page size (K5); Spark caps
       rows per file, not bytes: ``rows_per_file`` turns a size in bytes into
       rows. ``compression``: Parquet codec (e.g. zstd).
     * ``checkpoint`` is the table's own by default (``table_checkpoint``); a
-      new checkpoint on a table with commits is refused.
+      checkpoint other than that of the table's commits is refused.
     """
     checkpoint = checkpoint or table_checkpoint(path)
 
@@ -90,7 +133,9 @@ def append_sink(path: str, checkpoint: str | None = None, trigger: str | dict |
         if fill_missing_partition:
             out = out.withColumn(partition_col,
                                  F.coalesce(F.col(partition_col), F.lit(DEFAULT_PARTITION_NAME)))
-        if cluster_by_partition:
+        if bytes_per_file:
+            out = out.hint("rebalance", F.col(partition_col))
+        elif cluster_by_partition:
             spread = F.pmod(F.xxhash64(*[F.col(c) for c in out.columns]),
                             F.lit(int(files_per_partition)))
             out = out.repartition(F.col(partition_col), spread)
@@ -113,7 +158,8 @@ def append_sink(path: str, checkpoint: str | None = None, trigger: str | dict |
         opts = trigger_options(trigger)
         if opts:
             writer = writer.trigger(**opts)
-        return writer.start()
+        with session_conf(df.sparkSession, _rebalanced(df.sparkSession, bytes_per_file)):  # the query keeps what it started with
+            return bind(writer.start(), df.sparkSession, path)
 
     return start
 

@@ -1,0 +1,95 @@
+"""The segmented scan agrees with a brute-force lookup, cut anywhere."""
+
+import contextlib
+import io
+import random
+from collections import Counter
+
+import pytest
+from conftest import SF01
+
+from rivulet.operators.arrival_scan import enrich_arrival_scan
+from rivulet.plans import catalog
+
+RAW = "event_time bigint, data int, arrival bigint"
+ENR = "timestamp bigint, key int, enrichment string, arrival bigint"
+LOW = -(2 ** 63)
+
+
+def brute(raws, enrs, first):
+    out = Counter()
+    for t, k, at in raws:
+        at = LOW if at is None else at
+        before = [((LOW if a is None else a), v is not None, v or "") for _, key, v, a in enrs
+                  if key is not None and key == k
+                  and ((LOW if a is None else a) < at or first and (LOW if a is None else a) == at)]
+        best = max(before, default=None)
+        out[(t, k, best[2] if best and best[1] else None)] += 1
+    return out
+
+
+def check(spark, raws, enrs, first, segments):
+    got = enrich_arrival_scan(spark.createDataFrame(raws, RAW).repartition(3),
+                              spark.createDataFrame(enrs, ENR).repartition(2), "arrival", first, segments)
+    assert Counter(tuple(r) for r in got.collect()) == brute(raws, enrs, first)
+
+
+@pytest.mark.parametrize("first", [True, False])
+@pytest.mark.parametrize("segments", [1, 2, 7, 40])
+def test_random_rows(spark, first, segments):
+    rng = random.Random(segments)
+    keys = [1, 1, 1, 2, 3, None]
+    arrivals = [None, *range(12)]
+    raws = [(i, rng.choice(keys), rng.choice(arrivals)) for i in range(120)]
+    enrs = [(0, rng.choice(keys), rng.choice(["a", "b", "c", None]), rng.choice(arrivals))
+            for _ in range(40)]
+    check(spark, raws, enrs, first, segments)
+
+
+def test_one_key_is_cut_into_many_segments(spark):
+    raws = [(i, 7, i) for i in range(2000)] + [(5000 + i, 8, None) for i in range(500)]
+    enrs = [(0, 7, f"v{a}", a) for a in (100, 1500)] + [(0, 8, "n", None)]
+    check(spark, raws, enrs, True, 16)
+
+
+def test_no_rows_no_enrichments(spark):
+    check(spark, [(1, 1, 1)], [(0, 2, "x", 0)], True, 3)
+    got = enrich_arrival_scan(spark.createDataFrame([], RAW), spark.createDataFrame([], ENR), "arrival")
+    assert got.count() == 0
+
+
+def test_segments_of_a_hot_key_are_even(spark):
+    from pyspark.sql import functions as F
+
+    from rivulet.operators import arrival_scan
+
+    seen = []
+    path_of = arrival_scan.scratch_path
+    arrival_scan.scratch_path = lambda s, name: seen.append(path_of(s, name)) or seen[-1]
+    try:
+        raw = spark.range(60_000).select(  # one key, one arrival, on two thirds of the rows
+            F.col("id").alias("event_time"), F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id"))
+            .cast("int").alias("data"), F.lit(5).cast("bigint").alias("arrival"))
+        enr = spark.createDataFrame([(0, 7, "x", 5)], ENR)
+        out = enrich_arrival_scan(raw, enr, "arrival", True, 12)
+        assert out.filter("enrichment = 'x'").count() == 40_000
+    finally:
+        arrival_scan.scratch_path = path_of
+    sizes = [r["count"] for r in spark.read.parquet(seen[0]).groupBy("segment").count().collect()]
+    assert len(sizes) == 12 and max(sizes) < 3 * 60_000 / 12
+
+
+def test_raw_rows_are_read_and_shuffled_once(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = catalog.QUERIES["enrich_arrival_order_scan"](spark, SF01)
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    plan = buf.getvalue()
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 1
+    assert plan.count("Exchange hashpartitioning") == 1  # of the edges, for their window
+    assert "events.parquet" not in plan  # all that is left reads the scanned rows

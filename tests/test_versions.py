@@ -1,0 +1,87 @@
+"""Broadcast versions: lookups by arrival without a shuffle of raw rows."""
+
+import random
+from collections import Counter
+
+import pytest
+from conftest import SF01
+from pyspark.sql import functions as F
+from test_arrival_scan import ENR, RAW, brute
+
+from rivulet.operators import versions as v
+from rivulet.operators.enrich import latest_by_key
+from rivulet.operators.versions import Versions, enrich_versions, fits_broadcast, version_table
+from rivulet.plans import catalog
+from rivulet.sources import enrichment_updates, events_as_raw, load_table
+
+
+@pytest.mark.parametrize("first", [True, False])
+def test_against_brute_force(spark, first):
+    rng = random.Random(int(first))
+    keys, arrivals = [1, 1, 1, 2, 3, None], [None, *range(40)]
+    raws = [(i, rng.choice(keys), rng.choice(arrivals)) for i in range(300)]
+    enrs = [(0, rng.choice(keys), rng.choice(["a", "b", None]), rng.choice(arrivals)) for _ in range(90)]
+    enrs += [(0, 9, f"v{i}", i) for i in range(33)]
+    raws += [(i, 9, i) for i in range(-2, 36)]
+    got = enrich_versions(spark.createDataFrame(raws, RAW), version_table(
+        spark.createDataFrame(enrs, ENR)), "arrival", first)
+    assert Counter(tuple(r) for r in got.collect()) == brute(raws, enrs, first)
+
+
+def test_raw_rows_are_not_shuffled_and_stay_in_the_jvm(spark):
+    events = load_table(spark, SF01, "events")
+    table = version_table(enrichment_updates(events, keep=("event_id",)), "event_id")
+    out = enrich_versions(events_as_raw(events, keep=("event_id",)), table, "event_id", False)
+    out.write.format("noop").mode("overwrite").save()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert plan.count("Exchange hashpartitioning") == 1  # of the versions
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_too_many_versions_are_not_broadcast(spark, tmp):
+    enrs = spark.createDataFrame([(0, i % 5, "x" * 10, i) for i in range(100)], ENR)
+    assert fits_broadcast(enrs) and not fits_broadcast(enrs, 99) and not fits_broadcast(enrs, 100, 1000)
+    assert Versions(spark, f"{tmp}/ck", max_rows=50).table(0, enrs) is None
+
+
+def test_keyed_state_takes_over(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(catalog, "VERSIONS_PER_STRETCH", 5)
+    monkeypatch.setattr(catalog, "enrich_in_arrival_order", lambda *a: taken.append(a) or "state")
+    assert catalog.QUERIES["enrich_arrival_versions"](spark, SF01) == "state" and taken
+
+
+def test_a_stretch_starts_from_the_state_before_and_is_found_again(spark, tmp):
+    one = spark.createDataFrame([(0, 1, "a", 1), (0, 1, "b", 2), (0, 2, None, 2)], ENR)
+    two = spark.createDataFrame([(0, 1, "c", 9)], ENR)
+    raw = spark.createDataFrame([(1, 1, 5), (2, 1, 9), (3, 2, 5), (4, 3, 5)], RAW)
+    of = Versions(spark, f"{tmp}/ck")
+    of.table(0, one)
+    want = [(1, 1, "b"), (2, 1, "c"), (3, 2, None), (4, 3, None)]
+    assert sorted(tuple(r) for r in enrich_versions(raw, of.table(1, two)).collect()) == want
+    # A restart is given other files by mistake: the table of the stretch stands.
+    again = Versions(spark, f"{tmp}/ck").table(1, two.limit(0))
+    assert sorted(tuple(r) for r in enrich_versions(raw, again).collect()) == want
+
+
+def test_query_over_many_stretches(spark, monkeypatch):
+    from oracle import compare, duck
+
+    monkeypatch.setattr(catalog, "LEAST_STRETCHES", 6)
+    r = compare(catalog.QUERIES["enrich_arrival_versions"](spark, SF01), duck(SF01),
+                catalog.ORACLE_SQL["enrich_arrival_versions"])
+    assert r["ok"], r
+
+
+def test_binary_search(spark):
+    rows = spark.range(1).select(F.array(*[F.lit(x) for x in (1, 3, 3, 3, 8)]).alias("a"))
+    for at in range(10):
+        got = rows.select(v.versions_before(F.col("a"), F.lit(at), True),
+                          v.versions_before(F.col("a"), F.lit(at), False)).first()
+        assert tuple(got) == (sum(x <= at for x in (1, 3, 3, 3, 8)), sum(x < at for x in (1, 3, 3, 3, 8)))
+
+
+def test_latest_state_keeps_the_last_arrival(spark):
+    rows = spark.createDataFrame([(0, 1, "z", 1), (0, 1, "a", 2)], ENR)
+    assert latest_by_key(rows, order=("arrival",)).first()["enrichment"] == "a"
