@@ -39,12 +39,14 @@ from rivulet.sources.lake import read_snapshot
 from rivulet.sources.streams import batch_limit
 from rivulet.sources.tables import enrichment_updates, events_as_raw, load_table, table_stream
 from rivulet.streaming.arrival import StateLayout, enrich_stateful, keep_layout, plan_state_layout
+from rivulet.streaming.relayout import read_generations, relayout, seeded
 from rivulet.streaming.sinks import append_sink, discard_sink, table_checkpoint
 from rivulet.streaming.staging import ROWS_PER_FILE, admit, stage_in_order
 from rivulet.streaming.watermark import EVENT_TIME_COLUMN, with_enrichment_watermark
 
 RAW_PARALLELISM = 2
 TABLE_GRAIN = "day"  # minute grain on driver data = one folder per event
+RELAYOUT = (4, 7)  # state partitions before and after the change of layout
 VERSIONS_PER_STRETCH = 500_000  # events whose values are broadcast at a time
 VERSION_BYTES = 64 * 1024 * 1024
 BYTES_PER_FILE = 128 * 1024 * 1024  # shuffled bytes of a file of the hourly table
@@ -264,6 +266,36 @@ def q_enrich_arrival_resume(spark, sf_dir):
     return enrich_in_arrival_order(spark, sf_dir, 3)
 
 
+def q_enrich_arrival_relayout(spark, sf_dir):
+    """Stream J3 whose state changes its layout between two runs (J4): other
+    key groups, salts and state partitions, from the state read back."""
+    events, rows = _events(spark, sf_dir), _events(spark, sf_dir).count()
+    files = stage_in_order(events, "event_id", scratch_path(spark, "staged"),
+                           min(ROWS_PER_FILE, -(-rows // 2) or 1))
+    hot, groups = plan_state_layout(events_as_raw(events), "data", 1 / (2 * RELAYOUT[0]), KEYS_PER_GROUP)
+    layouts = [StateLayout(hot_keys={}, key_groups=groups, partitions=RELAYOUT[0]),
+               StateLayout(hot_keys=hot, key_groups=2 * groups + 1, partitions=RELAYOUT[1])]
+    tables: list[str] = []
+    for run, layout in enumerate(layouts):
+        table, landing = scratch_path(spark, "layout"), scratch_path(spark, "ordered")
+        checkpoint = table_checkpoint(table)
+        admit(spark, files[len(files) * run // 2:len(files) * (run + 1) // 2], landing)
+        stream = batch_limit(spark.readStream.schema(events.schema), None, BYTES_PER_TRIGGER).parquet(landing)
+        updates = enrichment_updates(stream, keep=("event_id",))
+        if run:
+            relayout(spark, table_checkpoint(tables[-1]), checkpoint, layout)
+            updates = seeded(updates, checkpoint, "event_id")
+        else:
+            keep_layout(spark, checkpoint, layout)
+        out = enrich_stateful(events_as_raw(stream, keep=("event_id",)), updates, arrival_col="event_id",
+                              enrichment_first_on_tie=False, hot_keys=layout.hot_keys,
+                              key_groups=layout.key_groups)
+        with session_conf(spark, {"spark.sql.shuffle.partitions": layout.partitions}):
+            _await(append_sink(table)(to_enriched(out, grain=TABLE_GRAIN)))
+        tables.append(table)
+    return read_generations(spark, tables, require=True)
+
+
 def q_enrich_arrival_order_bounded(spark, sf_dir):
     """Table J3 (T4): same result as enrich_arrival_order, Catalyst windows only."""
     ms = epoch_ms_from_ntz("ts")
@@ -346,6 +378,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "read_while_writing": q_read_while_writing,
     "enrich_arrival_order": q_enrich_arrival_order,
     "enrich_arrival_resume": q_enrich_arrival_resume,
+    "enrich_arrival_relayout": q_enrich_arrival_relayout,
     "enrich_arrival_order_bounded": q_enrich_arrival_order_bounded,
     "enrich_arrival_order_scan": q_enrich_arrival_order_scan,
     "enrich_arrival_versions": q_enrich_arrival_versions,
@@ -420,6 +453,12 @@ ORACLE_SQL: dict[str, str] = {
         " CAST(epoch_us(ts) // 1000 AS VARCHAR) || '|' || CAST(CAST(user_id AS INTEGER) AS VARCHAR)"
         " AS key, strftime(make_timestamp((epoch_us(ts) // 1000) * 1000), '%Y%m%d')"
         " AS partition FROM events"),
+    "enrich_arrival_relayout": (
+        "SELECT epoch_us(ts) // 1000 AS event_time, CAST(user_id AS INTEGER) AS data,"
+        " lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS enrichment,"
+        " CAST(epoch_us(ts) // 1000 AS VARCHAR) || '|' || CAST(CAST(user_id AS INTEGER) AS VARCHAR)"
+        " AS key, strftime(make_timestamp((epoch_us(ts) // 1000) * 1000), '%Y%m%d')"
+        " AS partition FROM events"),
     "enrich_arrival_order_bounded": (
         "SELECT epoch_us(ts) // 1000 AS event_time, CAST(user_id AS INTEGER) AS data,"
         " lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS enrichment,"

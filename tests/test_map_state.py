@@ -1,0 +1,83 @@
+"""A state entry for each key: the same lookups, writes that follow the changes."""
+
+import pytest
+from conftest import SF001
+from pyspark.sql import functions as F
+from test_arrival_scan import ENR, RAW, brute
+
+from rivulet.session import session_conf
+from rivulet.sources import enrichment_updates, events_as_raw, load_table
+from rivulet.streaming.arrival import enrich_stateful
+from rivulet.streaming.map_state import ROCKSDB, enrich_map_state
+from rivulet.streaming.relayout import read_state
+
+
+def put(spark, tmp, raws, enrs):
+    spark.createDataFrame(raws, RAW).coalesce(1).write.mode("append").parquet(f"{tmp}/raw")
+    spark.createDataFrame(enrs, ENR).coalesce(1).write.mode("append").parquet(f"{tmp}/enr")
+
+
+def run(spark, tmp, initial=None, **opts):
+    raw = spark.readStream.schema(RAW).parquet(f"{tmp}/raw")
+    enr = spark.readStream.schema(ENR).parquet(f"{tmp}/enr")
+    with session_conf(spark, ROCKSDB):
+        q = (enrich_map_state(raw, enr, "arrival", initial=initial, **opts).writeStream.format("parquet")
+             .option("path", f"{tmp}/out").option("checkpointLocation", f"{tmp}/ck")
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+    return q
+
+
+def rows(spark, tmp):
+    return sorted((tuple(r) for r in spark.read.parquet(f"{tmp}/out").collect()), key=str)
+
+
+@pytest.mark.parametrize("opts", [{"key_groups": 3, "hot_keys": {1: 3}}, {"salt_buckets": 2}])
+def test_two_runs_against_brute_force(spark, tmp, opts):
+    raws = [(i, k, i % 9) for i, k in enumerate([1, 1, 2, 3, None, 1, 2, 1] * 3)]
+    enrs = [(0, 1, "a", 2), (0, 1, None, 4), (0, 1, "b", 4), (0, 2, "x", 8), (0, None, "n", 1), (0, 1, "c", 7)]
+    later = ([(50, 1, 10), (51, 2, 12), (52, 3, 11), (53, None, 10)], [(0, 2, None, 11), (0, 3, "z", 11)])
+    put(spark, tmp, raws, enrs)
+    run(spark, tmp, **opts)
+    put(spark, tmp, *later)
+    run(spark, tmp, **opts)
+    want = brute(raws + later[0], enrs + later[1], True)
+    assert rows(spark, tmp) == sorted(want.elements(), key=str)
+
+
+def test_a_batch_writes_the_entries_of_its_changed_keys(spark, tmp):
+    put(spark, tmp, [(1, 1, 1)], [(0, k, f"v{k}", 0) for k in range(500)])
+    first = run(spark, tmp, hot_keys={}, key_groups=5)
+    put(spark, tmp, [(2, k, 10) for k in range(500)], [(0, k, "new", 9) for k in (3, 7, 11)])
+    second = run(spark, tmp, hot_keys={}, key_groups=5)
+
+    def updated(q):
+        return sum(s.numRowsUpdated for p in q.recentProgress for s in p.stateOperators)
+    assert updated(first) == 500 and updated(second) == 3
+    put(spark, tmp, [(3, 3, 5)], [(0, 600, "w", 12)])
+    with pytest.raises(Exception, match="arrival order"):
+        run(spark, tmp, hot_keys={}, key_groups=5)
+
+
+def test_starts_from_the_state_of_another_query(spark, tmp):
+    events = load_table(spark, SF001, "events")
+    for n, cond in enumerate(("event_id < 600", "event_id >= 600")):
+        events.filter(cond).write.parquet(f"{tmp}/e{n}")
+    streams = [spark.readStream.schema(events.schema).parquet(f"{tmp}/e{n}") for n in (0, 1)]
+    args = [(events_as_raw(s, keep=("event_id",)), enrichment_updates(s, keep=("event_id",)), "event_id", False)
+            for s in streams]
+    with session_conf(spark, ROCKSDB):
+        for n in (0, 1):
+            out = enrich_stateful(*args[0], hot_keys={}, key_groups=4) if n == 0 else enrich_map_state(
+                *args[1], hot_keys={5: 2}, key_groups=7, initial=read_state(spark, f"{tmp}/c0"))
+            (out.writeStream.format("parquet").option("path", f"{tmp}/o{n}")
+             .option("checkpointLocation", f"{tmp}/c{n}").trigger(availableNow=True).start().awaitTermination())
+    last, want = {}, []
+    for r in sorted(events.collect(), key=lambda r: r["event_id"]):
+        if r["event_id"] >= 600:
+            want.append((r["user_id"], last.get(r["user_id"])))
+        last[r["user_id"]] = r["event_type"]
+    got = [(r["data"], r["enrichment"]) for r in spark.read.parquet(f"{tmp}/o1").collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    state = spark.read.parquet(f"{tmp}/o0").agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    assert state == 600
