@@ -1,0 +1,93 @@
+"""Main text of pages that the tree was not grown from: a table of layouts with
+menus of several kinds, texts of 8 to 800 words, and the text that is right."""
+
+import itertools
+
+import pytest
+
+from rivulet.llm.html_text import LENGTHS, depth_of, labelled, main_text, main_text_tree
+
+MENUS = [
+    '<nav><a href="/">Home</a><a href="/n">All news</a><a href="/c">Contact</a></nav>',
+    '<nav class="top"><ul><li><a href="/">Home</a><li><a href="/n">All news</a></ul></nav>',
+    '<ul class="links"><li><a href="/">Start</a></li><li><a href="/s">Sport today</a></li></ul>',
+    '<div><a href="/">Home</a> <a href="/a">About</a></div>',
+    '<div id="top"><div><a href="/">Home</a></div><div><a href="/x">Our shop</a></div></div>',
+    '<table><tr><td><a href="/">Home</a></td><td><a href="/m">Map</a></td></tr></table>',
+    '<header><a href="/">Site name</a><ul><li><a href="/q">Search</a></li></ul></header>',
+]
+SIZES = [8, 10, 12, 17, 45, 70, 300, 800]
+
+
+def words(n, tag):
+    return " ".join(f"{tag}{i}" for i in range(n))
+
+
+def bodies(n):
+    one, two, three = (words(m, t) for m, t in ((n, "a"), (max(3, n // 2), "b"), (n + 7, "c")))
+    head = "Head line of it"
+    yield f"<p>{one}</p>", [one]
+    yield f"<p>{one}</p><p>Yes.</p>", [one, "Yes."]
+    yield f"<h1>{head}</h1><p>{one}</p><p>{two}</p>", [head, one, two]
+    yield f"<p>{one}<p>{two}<p>{three}", [one, two, three]
+    yield f"<div><p>{one}</p></div><div><h2>{head}</h2><p>{two}</p></div>", [one, head, two]
+    yield f"<section><h2>{head}</h2><p>{one}</p><blockquote>{two}</blockquote></section>", [head, one, two]
+
+
+WRAPPERS = ["{}", "<article>{}</article>", "<main>{}</main>", "<div>{}</div>", '<div class="content">{}</div>',
+            '<main><article class="post">{}</article></main>', "<section><div>{}</div></section>"]
+
+
+@pytest.mark.parametrize("menu", range(len(MENUS)))
+def test_menus_go_and_texts_stay(menu):
+    wrong = []
+    for n, wrapper, after in itertools.product(SIZES, WRAPPERS, ["", "<footer>&copy; us 2020</footer>"]):
+        for body, want in bodies(n):
+            page = f"<html><body>{MENUS[menu]}{wrapper.format(body)}{after}</body></html>"
+            if main_text(page, main_text_tree()) != "\n".join(want):
+                wrong.append(page[:300])
+    assert not wrong, (len(wrong), wrong[:3])
+
+
+@pytest.mark.parametrize("menu", range(len(MENUS) - 1))
+@pytest.mark.parametrize("wrapper", ["<article>{}</article>", "<main>{}</main>", "<main><div>{}</div></main>"])
+def test_menus_inside_an_article_go(menu, wrapper):
+    for n in SIZES:
+        for body, want in bodies(n):
+            text = main_text(wrapper.format(MENUS[menu] + body), main_text_tree())
+            assert text == "\n".join(want), (n, body[:80], text[:200])
+
+
+@pytest.mark.parametrize("name", ["ad-free", "menu-page", "toc-content", "social-studies", "form-group",
+                                  "header-content", "widget-content"])
+@pytest.mark.parametrize("wrapper", ['<div class="{}">{}</div>', '<article><div class="{}">{}</div></article>',
+                                     '<article class="{}">{}</article>'])
+def test_names_that_are_not_of_another_part(name, wrapper):
+    one, two = words(60, "a"), words(70, "b")
+    page = wrapper.format(name, f"<p>{one}</p><p>{two}</p>")
+    assert main_text(page, main_text_tree()) == f"{one}\n{two}"
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<article><header><h1>Own head</h1><p>By me, today</p></header><p>{0}</p></article>", "Own head\n{0}"),
+    ("<article><header><div><h1>Own head</h1></div></header><p>{0}</p></article>", "Own head\n{0}"),
+    ("<header><h1>Site name</h1></header><article><p>{0}</p></article>", "{0}"),
+    ("<article><header class=ad><h1>Buy</h1></header><p>{0}</p></article>", "{0}"),
+    ("<article><h2><a href=/x>Linked head line</a></h2><p>{0}</p></article>", "Linked head line\n{0}"),
+    ("<article><p>{0}</p><p><a href=/x>One linked line</a></p><p>Plain end.</p></article>",
+     "{0}\nOne linked line\nPlain end."),
+    ("<article><p>{0}</p><ul><li>First thing</li><li>Second</li></ul></article>", "{0}\nFirst thing\nSecond"),
+    ("<p>{0}</p><div class='comments'><p>{0}</p><p>{0}</p></div>", "{0}"),
+    ("<article><p>{0}</p><aside><p>{0}</p><p>{0}</p></aside></article>", "{0}"),
+    ("<article><p>{0}</p></article><div class='related-posts'><p>{0}</p><p>{0}</p></div>", "{0}"),
+    ("<article><p>{0}</p><div class='ad-slot'>{0}</div></article>", "{0}"),
+    ("<nav><p>{0}</p></nav><article><p>{0}</p></article>", "{0}"),
+])
+@pytest.mark.parametrize("n", [12, 45, 150, 700])
+def test_parts_of_articles(page, want, n):
+    assert main_text(page.format(words(n, "w")), main_text_tree()) == want.format(words(n, "w"))
+
+
+def test_the_tree_is_small_and_its_table_another():
+    assert depth_of(main_text_tree()) <= 9 and len(labelled()) < 1500
+    assert not set(SIZES) <= {n for row in LENGTHS for n in row}

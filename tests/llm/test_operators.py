@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from rivulet.llm import attention, language_id, lm_score, toxicity
 from rivulet.llm.common import held_out, sample_by_hash
-from rivulet.llm.html_text import LABELLED, grow, html_text, main_text
+from rivulet.llm.html_text import html_text, main_text, main_text_tree
 from rivulet.llm.quality_rules import keep_quality, quality_rules
 from rivulet.llm.queries import PIECE_MODEL
 from rivulet.llm.sentence_pieces import ChunkTable, sentence_piece_digests, sentence_pieces
@@ -479,7 +479,7 @@ MENU = '<nav><a href="/">Home</a> <a href="/b">More</a></nav>'
     ('<div class="cookie-notice"><p>{0}</p></div>', False),
 ])
 def test_html_wrappers(page, kept):
-    text = main_text(f"<html><body>{page.format(PARAGRAPH)}{MENU}</body></html>", grow(LABELLED))
+    text = main_text(f"<html><body>{page.format(PARAGRAPH)}{MENU}</body></html>", main_text_tree())
     assert (PARAGRAPH in text) == kept and "Home" not in text
 
 
