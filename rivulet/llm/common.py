@@ -42,9 +42,12 @@ def held_out(doc_id: Column | str, modulus: int, held: int) -> Column:
 def sample_by_hash(df: DataFrame, key: Column, share: Column | float, limit: int) -> DataFrame:
     """About ``share`` of the rows, the same ones at every run: those whose
     hashed ``key`` falls in the first ``share`` of the hash range; never more
-    than ``limit`` rows, however often a key repeats."""
-    place = F.xxhash64(key).cast("double") / 2.0 ** 64 + 0.5
-    return df.filter(place < share).limit(limit)
+    than ``limit`` rows, those of the smallest hashes of key, then row, however
+    often a key repeats."""
+    hashed = F.xxhash64(key)
+    row = F.xxhash64(*[F.col(f"`{c}`") for c, kind in df.dtypes if "map<" not in kind])
+    return (df.filter(hashed.cast("double") / 2.0 ** 64 + 0.5 < share)
+            .orderBy(hashed, row).limit(limit))
 
 
 def blocks(batches: Iterator[pa.RecordBatch], text: str,

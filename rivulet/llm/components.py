@@ -6,6 +6,11 @@ smallest of them. Alternating the two leaves one star around the smallest
 node of each component after a number of rounds that grows with the
 logarithm of the path length. Each round is cut off by a reliable checkpoint,
 so a lost executor costs one round.
+
+A large component's smallest node is a hub: most edges may be at it. Minima are
+combined in each task before they are shuffled, and joined back by a key of
+their own (a struct of the node), so that both sides of the join are read from
+an exchange: the shape in which Spark splits a hot key's partition.
 """
 
 from __future__ import annotations
@@ -23,10 +28,13 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     if large:
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        out = both.join(low, "u").filter("v > u").select(F.col("m").alias("u"), "v")
+        out = (both.filter("v > u").withColumn("node", F.struct("u"))
+               .join(low.select(F.struct("u").alias("node"), "m"), "node")
+               .select(F.col("m").alias("u"), "v"))
     else:
         low = both.groupBy("v").agg(F.min("u").alias("m"))
-        hung = both.join(low, "v")
+        hung = (both.withColumn("node", F.struct("v"))
+                .join(low.select(F.struct("v").alias("node"), "m"), "node"))
         out = hung.select(F.col("m").alias("u"), F.col("u").alias("v")).unionByName(
             low.select(F.col("m").alias("u"), "v"))
     return out.filter("u < v").distinct()

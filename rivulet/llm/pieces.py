@@ -9,21 +9,24 @@ import sentencepiece
 
 MARK = "▁"  # the library's mark for a space
 WORDS_PER_TABLE = 400_000
+CHARS_PER_TABLE = 16_000_000  # of its words; their ids are as many at most, give or take the marks
 
 
 class PieceTable:
     """Distinct word -> its piece ids, segmented once by the library (which
     puts a mark in front). The ids of all words stand in one array, so the
     ids of a text are gathered by position, not joined word by word. A table
-    that passes ``limit`` words is started anew."""
+    that passes ``limit`` words, or ``chars`` characters of words, is started
+    anew."""
 
-    def __init__(self, model_file: str, limit: int = WORDS_PER_TABLE):
+    def __init__(self, model_file: str, limit: int = WORDS_PER_TABLE, chars: int = CHARS_PER_TABLE):
         self.model = sentencepiece.SentencePieceProcessor(model_file=model_file)
-        self.limit = limit
+        self.limit, self.most_chars = limit, chars
         self._clear()
 
     def _clear(self) -> None:
         self.row: dict[str, int] = {}
+        self.chars = 0
         self.start = np.zeros(1 << 12, np.int64)
         self.length = np.zeros(1 << 12, np.int64)
         self.flat = np.zeros(1 << 14, np.int32)
@@ -31,7 +34,7 @@ class PieceTable:
 
     def rows(self, words: list[str]) -> np.ndarray:
         """The words' rows in the table; words that it lacks are added."""
-        if len(self.row) > self.limit:
+        if len(self.row) > self.limit or self.chars > self.most_chars:
             self._clear()
         at = np.fromiter(map(self.row.get, words, repeat(-1)), np.int64, len(words))
         missing = np.flatnonzero(at < 0)
@@ -57,6 +60,7 @@ class PieceTable:
         self.flat[self.used:self.used + total] = np.fromiter(
             chain.from_iterable(ids), np.int32, total)
         self.used += total
+        self.chars += sum(map(len, new))
         self.added(new, ids)
 
     def added(self, new: list[str], ids: list[list[int]]) -> None:

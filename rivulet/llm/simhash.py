@@ -159,7 +159,10 @@ def _grouped(rows: DataFrame, distance: int, name: Column) -> DataFrame:
               .select("fp", "first", F.coalesce("root", "fp").alias("root")))
     least = (rooted.join(roots.select("node"), rooted["fp"] == roots["node"], "left_semi")
              .groupBy("root").agg(F.min("first").alias("least")))
-    return (rooted.join(least, "root", "left")
+    # By a key of its own shape: both sides come from an exchange, and a
+    # component that holds much of the table is split.
+    return (rooted.withColumn("of", F.struct("root"))
+            .join(least.select(F.struct("root").alias("of"), "least"), "of", "left")
             .select("fp", "root", F.coalesce("least", "first").alias("first")))
 
 
@@ -185,8 +188,8 @@ def keep_one(docs: DataFrame, text: str = "text", id_col: str = "doc_id", shingl
     rows = materialize(fingerprints(tagged, "t", ["id", "digest"], shingle))
     name = F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id"),
                     F.col("digest").alias("digest"))
-    first = (_grouped(rows, distance, name).groupBy("root").agg(F.min("first").alias("first"))
-             .select("first.id", "first.digest"))
+    # Every fingerprint of a group has its first row; that of the root names it once.
+    first = _grouped(rows, distance, name).filter("fp = root").select("first.id", "first.digest")
     same = (tagged["id"].eqNullSafe(first["id"])) & (tagged["digest"] == first["digest"])
     kept = tagged.drop("t").join(first, same, "left_semi")
     one = Window.partitionBy("id", "digest").orderBy("digest")

@@ -131,7 +131,8 @@ def _mixed(docs: DataFrame, keep: Column, text: str, id_col: str, source: str,
            weights: tuple[int, ...], max_epochs: int, narrow: bool) -> DataFrame:
     tie = F.xxhash64(*[F.col(f"`{c}`") for c, kind in sorted(docs.dtypes) if "map<" not in kind])
     d = docs.select(keep, F.col(source).alias("source"), size_of(text).alias("size"),
-                    F.xxhash64(F.col(id_col), F.lit(SEED)).alias("key"), tie.alias("tie"))
+                    # Rows of one id, or of none, lie apart by their content.
+                    F.xxhash64(F.col(id_col), tie, F.lit(SEED)).alias("key"), tie.alias("tie"))
     small = materialize(d.select(F.struct(F.col(f"__row.{id_col}")).alias("__row"),
                                  "source", "size", "key", "tie"))
     per_source = small.groupBy("source").agg(F.sum("size").alias("source_size"),

@@ -40,6 +40,7 @@ EPOCHS = 3
 PAIR = 0.4
 FTRL = {"alpha": 0.5, "beta": 1.0, "l1": 4.0, "l2": 1.0}
 WORDS_PER_TABLE = 200_000
+CHARS_PER_TABLE = 8_000_000  # of its words
 _WORD = re.compile(r"\w+")
 
 
@@ -53,13 +54,15 @@ class Hasher:
         self.limit = limit
         self.row: dict[str, int] = {}
         self.hashes: list[tuple[int, ...]] = []
+        self.chars = 0
 
     def _add(self, words: set[str]) -> None:
-        if len(self.row) > self.limit:
-            self.row, self.hashes = {}, []
+        if len(self.row) > self.limit or self.chars > CHARS_PER_TABLE:
+            self.row, self.hashes, self.chars = {}, [], 0
         for w in words:
             if w not in self.row:
                 self.row[w] = len(self.hashes)
+                self.chars += len(w)
                 self.hashes.append((zlib.crc32(w.encode("utf-8", "surrogatepass")),
                                     *[zlib.crc32(f"{n}:{w[:n]}".encode("utf-8", "surrogatepass"))
                                       for n in STEMS]))

@@ -28,6 +28,8 @@ from rivulet.session import materialize
 
 SAMPLE = 20_000  # distinct labelled URLs that the trees are fitted on, at most
 SAMPLE_PARTITIONS = 2
+BROADCAST_SUFFIXES = 100_000  # of at most LONGEST bytes, else a shuffle
+LONGEST = 64
 TREES = {"maxIter": 20, "maxDepth": 4, "stepSize": 0.2, "seed": 1}
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -122,9 +124,18 @@ def _suffix_statistics(labelled: DataFrame) -> DataFrame:
 
 def _features(rows: DataFrame, suffixes: DataFrame) -> DataFrame:
     """``rows`` with their lexical features and suffix statistics (an unseen
-    suffix: as one label in a billion, even odds)."""
+    suffix: as one label in a billion, even odds). The statistics are
+    broadcast if they are few and short. If not, the join key is a struct of
+    the suffix, so that both sides are read from an exchange, and a suffix
+    that most URLs have is split."""
+    size = suffixes.agg(F.count(F.lit(1)).alias("n"), F.max(F.octet_length("suffix")).alias("b")).first()
+    if size["n"] <= BROADCAST_SUFFIXES and (size["b"] or 0) <= LONGEST:
+        joined = rows.join(F.broadcast(suffixes), "suffix", "left")
+    else:
+        own = suffixes.select(F.struct("suffix").alias("of"), *SUFFIX)
+        joined = rows.withColumn("of", F.struct("suffix")).join(own, "of", "left").drop("of")
     lexical = lexical_features(F.col("url"), F.col("host"), F.col("path"))
-    return (rows.join(suffixes, "suffix", "left")
+    return (joined
             .select("*", *lexical)
             .fillna({SUFFIX[0]: -21.0, SUFFIX[1]: 0.5}))
 

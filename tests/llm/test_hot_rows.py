@@ -1,0 +1,173 @@
+"""One key on a third of all rows or more: what is dealt to tasks stays even,
+tables of words stay bounded, samples are the same in every run."""
+
+import math
+
+import numpy as np
+import pytest
+from oracle import compare
+from pyspark.sql import functions as F
+
+from rivulet.llm import source_mixing as sm
+from rivulet.llm import url_filter as uf
+from rivulet.llm.common import sample_by_hash
+from rivulet.llm.components import _star, components
+from rivulet.llm.pieces import PieceTable
+from rivulet.llm.queries import PIECE_MODEL
+from rivulet.llm.simhash import keep_one, simhash_groups
+from rivulet.llm.source_mixing import source_mixing
+from rivulet.llm.topk_search import topk_search, topk_sql
+from rivulet.llm.toxicity import Hasher
+from rivulet.session import session_conf
+
+SKEW = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+
+
+def final_plan(df):
+    df.collect()  # of this plan, not of a writer's
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("large", [True, False])
+def test_a_hub_of_edges_is_split(spark, large):
+    edges = spark.range(1, 200_000).select(
+        F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id") * 7).cast("long").alias("u"),
+        (F.col("id") * 7 + 1).alias("v"))
+    if not large:
+        edges = edges.select("u", F.when(F.col("u") == 0, 2_000_000).otherwise(F.col("v")).alias("v"),
+                             F.col("v").alias("x")).select(F.col("x").alias("u"), "v").filter("u < v")
+    with session_conf(spark, SKEW):
+        assert "skew=true" in final_plan(_star(edges, large))
+
+
+def test_components_of_a_star_and_a_path(spark):
+    rows = [(0, i) for i in range(1, 300)] + [(1000 + i, 1001 + i) for i in range(40)] + [(5000, 5001)]
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(rows, "u long, v long")).collect()}
+    assert got == {**dict.fromkeys(range(300), 0), **dict.fromkeys(range(1000, 1041), 1000),
+                   5000: 5000, 5001: 5000}
+
+
+def test_null_ids_are_dealt_to_many_ranges(spark):
+    docs = spark.range(9_000).select(
+        F.when(F.col("id") % 3 > 0, F.lit(None)).otherwise(F.col("id")).cast("long").alias("doc_id"),
+        F.concat(F.lit("some words of text "), F.col("id").cast("string")).alias("text"),
+        F.lit("one").alias("source"))
+    keys = []
+    queued = sm._queued
+
+    def seen(d, keep, sources):
+        keys.append(d.select("key").distinct().count())
+        return queued(d, keep, sources)
+    sm._queued = seen
+    try:
+        out = source_mixing(docs)
+        assert out.count() == 9_000 and out.agg(F.sum("taken")).first()[0] == 9_000 * 5
+    finally:
+        sm._queued = queued
+    assert keys[0] == 9_000
+
+
+def queue_order(rows, weights=(5, 2, 1), epochs=3):
+    """Weighted fair queueing replayed one copy after another."""
+    by = {}
+    for r in rows:
+        by.setdefault(r["source"], []).append(r)
+    order = sorted(by, key=lambda x: (x is None, x or ""))
+    target = {s: by[s][0]["target"] for s in order}
+    budget = sum(r["size"] for r in rows)
+    copies = []
+    for rank, s in enumerate(order):
+        words = sum(r["size"] for r in by[s])
+        place = 0
+        for r in sorted(by[s], key=lambda r: (r["key"], r["tie"])):
+            place += r["size"]
+            for e in range(epochs):
+                if r["size"] and target[s]:
+                    copies.append(((place + e * words) / target[s], rank, place + e * words, r))
+    taken = dict.fromkeys((r["doc_id"] for r in rows), 0)
+    for *_, r in sorted(copies, key=lambda c: c[:3]):
+        if budget - r["size"] < 0:
+            break
+        budget -= r["size"]
+        taken[r["doc_id"]] += r["size"]
+    return taken
+
+
+def test_the_queue_replayed(spark):
+    rng = np.random.default_rng(8)
+    docs = spark.createDataFrame(
+        [(i, " ".join(["w"] * int(rng.integers(0, 40))), ["a", "b", None, "c"][int(rng.integers(4)) % 4])
+         for i in range(700)], "doc_id long, text string, source string")
+    tie = F.xxhash64("doc_id", "source", "text")
+    rows = (docs.join(source_mixing(docs).drop("copies"), "doc_id")
+            .withColumn("tie", tie).withColumn("key", F.xxhash64("doc_id", tie, F.lit(sm.SEED))).collect())
+    assert queue_order(rows) == {r["doc_id"]: r["taken"] for r in rows}
+
+
+def test_large_groups_of_near_copies_keep_one(spark):
+    docs = spark.range(3_000).select(F.col("id").alias("doc_id"), F.when(
+        F.col("id") % 3 > 0, "the same long text again and again in every row of them").otherwise(
+        F.concat(F.lit("words number "), F.sha2(F.col("id").cast("string"), 256))).alias("text"))
+    groups = simhash_groups(docs)
+    assert groups.filter("doc_id % 3 > 0").select("component_id").distinct().collect() == [(1,)]
+    kept = {r["doc_id"] for r in keep_one(docs).collect()}
+    assert kept == {r["component_id"] for r in groups.collect()}
+
+
+def test_suffixes_are_broadcast_after_a_check_or_split(spark, monkeypatch):
+    pages = spark.range(60_000).select(F.col("id").alias("page_id"), F.concat(
+        F.lit("http://host"), F.col("id"), F.when(F.col("id") % 3 > 0, ".com/").otherwise(".org/"),
+        F.when(F.col("id") % 2 > 0, "de/").otherwise("fr/"), F.sha2(F.col("id").cast("string"), 512)).alias("url"))
+    rows = uf._judged_by_rules(pages, F.struct("page_id").alias("__row"), "url", uf.RULES)
+    suffixes = uf.materialize(uf._suffix_statistics(rows.filter("by_rule IS NOT NULL")))
+    want = uf._features(rows, suffixes)
+    with session_conf(spark, SKEW):
+        assert "BroadcastHashJoin" in final_plan(want)
+        monkeypatch.setattr(uf, "BROADCAST_SUFFIXES", 1)
+        split = uf._features(rows, suffixes)
+        assert "skew=true" in final_plan(split)
+    columns = sorted(want.columns)
+    assert sorted(split.columns) == columns
+    assert split.select(columns).exceptAll(want.select(columns)).count() == 0
+
+
+def test_tables_of_long_words_start_anew():
+    table = PieceTable(PIECE_MODEL, chars=10_000)
+    long = ["x" * 4_000 + str(i) for i in range(12)]
+    for w in long:
+        ids, _ = table.gather(table.rows([w]))
+        assert ids.tolist() == table.model.encode(w)
+        assert table.chars <= 14_010 and len(table.row) <= 4
+    hasher = Hasher()
+    for i in range(30):
+        hasher.features("y" * 1_000_000 + str(i))
+    assert hasher.chars <= 9_000_100 and len(hasher.row) <= 10
+
+
+def test_a_sample_is_the_same_in_every_run(spark):
+    rows = spark.range(2_000).select(F.lit(7).alias("id"), F.col("id").cast("string").alias("text"))
+    share = 1.0
+    first = [sorted(r["text"] for r in sample_by_hash(rows.repartition(n), F.col("id"), share, 50).collect())
+             for n in (1, 5, 13)]
+    assert first[0] == first[1] == first[2] and len(first[0]) == 50
+
+
+@pytest.mark.parametrize("wide", [1, 64, 96, 130])
+def test_topk_of_any_width_and_awkward_rows(spark, wide):
+    import duckdb
+
+    rng = np.random.default_rng(wide)
+    rows = [(i, [float(x) for x in rng.normal(size=wide).round(2)], 1, 5) for i in range(230)]
+    rows += [(200, None, 1, 5), (None, rows[3][1], 1, 5), rows[7], rows[7], (7, rows[8][1], 1, 5),
+             (300, [None] * wide, 1, 5), (301, rows[1][1][:wide // 2], 1, 5), (302, [], 1, 5),
+             (100, rows[2][1], 1, 5), (303, [math.nan] * wide, 1, 5)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, code int, q int")
+    con = duckdb.connect()
+    con.register("arrow", df.toArrow())
+    con.execute("CREATE TABLE embeddings AS SELECT * FROM arrow")
+    r = compare(topk_search(df), con, topk_sql())
+    assert r["ok"] and r["rows"][0] >= 30, r
