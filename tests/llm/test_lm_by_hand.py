@@ -1,0 +1,91 @@
+"""Scores of the language model against a plain loop over positions."""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+import sentencepiece
+
+from rivulet.llm import lm_score
+from rivulet.llm.attention import BLOCK, CLASSES, CLUSTERS, MEMBERS, Attention, cut
+from rivulet.llm.lm_score import fit_language_model
+from rivulet.llm.queries import PIECE_MODEL
+
+
+def class_probabilities(m: Attention, before: list[int]) -> np.ndarray:
+    """P(class) at the position after ``before``, from the definition: all
+    classes, 64-bit, one key at a time."""
+    t = len(before)
+    inputs = [CLASSES, *before]  # what stands at position 0, 1, ...
+    start = (t // BLOCK - 1) * BLOCK
+    near, weights, values = m.near.astype(float), [], []
+    for p in range(start, t + 1):
+        x = inputs[p] if p >= 0 else CLASSES
+        weights.append(math.exp(float(m.query[inputs[t]].astype(float) @ m.key[x]) + near[t - p]))
+        values.append(m.value[x].astype(float))
+    seen = sum(w * v for w, v in zip(weights, values)) / sum(weights)
+    hidden = np.tanh(m.own[inputs[t]] + seen)
+    top = np.exp(hidden @ m.top + m.top_bias)
+    result = np.zeros(CLASSES)
+    for cluster in range(CLUSTERS):
+        part = slice(cluster * MEMBERS, (cluster + 1) * MEMBERS)
+        member = np.exp(hidden @ m.out[:, part] + m.bias[part])
+        result[part] = top[cluster] / top.sum() * member / member.sum()
+    return result
+
+
+def test_scores_equal_a_plain_loop(spark):
+    rng = np.random.default_rng(11)
+    vocabulary = ["the", "over", "Straße", "x" * 40, "und", "river", "of", "été", "a,", "9"]
+    texts = [" ".join(rng.choice(vocabulary, n)) for n in (0, 1, 5, 17, 60, 33)] + [None, "\n \t"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = fit_language_model(df, PIECE_MODEL)
+    pieces = sentencepiece.SentencePieceProcessor(model_file=PIECE_MODEL)
+    got = {r.doc_id: r.score for r in lm_score.lm_score(df, model).collect()}
+    for i, text in enumerate(texts):
+        words = (text or "").encode().lower().decode().split()
+        ids = [p for w in words for p in pieces.encode(w)] + [pieces.eos_id()]
+        classes = model.classes.of[ids].tolist()
+        want = 0.0
+        for t, (piece, c) in enumerate(zip(ids, classes)):
+            p = class_probabilities(model.attention, classes[:t])
+            assert math.isclose(p.sum(), 1, rel_tol=1e-9)
+            want += math.log10(p[c]) + model.classes.log_within[piece] / math.log(10)
+        assert got[i] == pytest.approx(want, rel=1e-4, abs=1e-4), text
+
+
+def test_gradients_of_the_clusters():
+    rng = np.random.default_rng(1)
+    lengths = np.array([70, 16, 3])
+    windows, targets, weight, _ = cut(rng.integers(0, CLASSES, lengths.sum()), lengths)
+    model = Attention.start()
+    model.out = rng.normal(0, 0.3, model.out.shape).astype(np.float32)
+    model.top = rng.normal(0, 0.3, model.top.shape).astype(np.float32)
+    grads = model.gradients(windows, targets, weight)
+
+    def loss():
+        return -float((model.log_likelihood(windows, targets) * weight).sum()) / weight.sum()
+    for name, a in model.arrays().items():
+        at = np.unravel_index(np.abs(grads[name]).argmax(), a.shape)
+        kept, ends = a[at], []
+        for move in (0.02, -0.02):
+            a[at] = kept + move
+            ends.append(loss())
+        a[at] = kept
+        assert math.isclose((ends[0] - ends[1]) / 0.04, grads[name][at],
+                            rel_tol=0.05, abs_tol=2e-5), name
+
+
+def test_models_are_averaged_in_two_levels(spark, monkeypatch):
+    """Means of means, weighted by what each model learned from, are the mean."""
+    monkeypatch.setattr(lm_score, "MODELS_PER_SUM", 2)
+    rng = np.random.default_rng(2)
+    rows = [(place, task, int(rng.integers(1, 99)), rng.normal(size=3 - place).tolist())
+            for task in range(7) for place in range(2)]
+    got = lm_score.average_models(spark.createDataFrame(rows, lm_score.MODEL_PARTS)).collect()
+    assert sorted(r.place for r in got) == [0, 1]
+    for r in got:
+        n, values = zip(*[(n, v) for place, _, n, v in rows if place == r.place])
+        assert r.n == sum(n) and np.allclose(r.value, np.average(values, axis=0, weights=n))
