@@ -71,15 +71,15 @@ def blocks(batches: Iterator[pa.RecordBatch], text: str,
 
 
 def map_texts(df: DataFrame, text: str, schema: str,
-              make: Callable[[], Callable[[pa.RecordBatch, list[str]], pa.RecordBatch | None]]
-              ) -> DataFrame:
+              make: Callable[[], Callable[[pa.RecordBatch, list[str]], pa.RecordBatch | None]],
+              chars: int = CHARS_PER_BLOCK) -> DataFrame:
     """``mapInArrow`` over bounded blocks of texts. ``make`` runs once per
     task and returns the function of a block (its model and caches live as
     long as the task)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = make()
-        for block, texts in blocks(batches, text):
+        for block, texts in blocks(batches, text, chars):
             out = of(block, texts)
             if out is not None and out.num_rows:
                 yield out

@@ -44,8 +44,7 @@ def q_simhash(spark, sf_dir):
 def q_lm_score(spark, sf_dir):
     """Log probabilities of documents under a model of the other folds."""
     docs, held = table(spark, sf_dir, "documents"), held_out("doc_id", 7, 2)
-    model = lm.fit_language_model(docs.filter(~held), PIECE_MODEL)
-    return lm.lm_score(docs, model).select(
+    return lm.score_corpus(docs, ~held, PIECE_MODEL).select(
         "doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score",
         "score")
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
 from rivulet.llm import lm_score
 from rivulet.llm.attention import BLOCK, CLASSES, CLUSTERS, MEMBERS, Attention, cut
@@ -89,3 +91,32 @@ def test_models_are_averaged_in_two_levels(spark, monkeypatch):
     for r in got:
         n, values = zip(*[(n, v) for place, _, n, v in rows if place == r.place])
         assert r.n == sum(n) and np.allclose(r.value, np.average(values, axis=0, weights=n))
+
+
+@pytest.mark.parametrize("kind", ["<u2", "<u4"])
+def test_blocks_of_ids_hold_all_rows_in_order(kind):
+    rows = [[1, 2, 3], [4], list(range(50)), [], [5, 6], [7], [8, 9, 10, 11], [12]]
+    batch = pa.record_batch({"n": range(len(rows)), "__ids": [
+        np.array(r, kind).tobytes() for r in rows]})
+    blocks = list(lm_score.id_blocks(iter([batch, batch.slice(0, 0), batch.slice(3, 1)]),
+                                     np.dtype(kind), size=4))
+    assert [i for b, _, _ in blocks for i in b["n"].to_pylist()] == [*range(len(rows)), 3]
+    assert [i for _, ids, _ in blocks for i in ids] == [i for r in rows for i in r]
+    assert all(len(ids) <= 4 or len(lengths) == 1 for _, ids, lengths in blocks)
+
+
+def test_scores_of_a_corpus_are_those_of_two_calls(spark):
+    """Texts encoded once for all, or once for learning and once for scoring."""
+    rng = np.random.default_rng(6)
+    texts = [" ".join(rng.choice(["sun", "moon", "a", "sea"], n)) for n in range(24)] + [None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    learns = F.col("doc_id") % 3 > 0
+    once = lm_score.score_corpus(df, learns, PIECE_MODEL).collect()
+    twice = lm_score.lm_score(df, fit_language_model(df.filter(learns), PIECE_MODEL)).collect()
+    want = {r.doc_id: r for r in twice}
+    assert len(once) == len(want) == len(texts)
+    for r in once:
+        w = want[r.doc_id]
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (w.n_tokens, w.n_known, w.train_tokens)
+        assert r.base_score == pytest.approx(w.base_score)
+        assert r.score == pytest.approx(w.score, rel=1e-3)
