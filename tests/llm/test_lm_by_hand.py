@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from rivulet.llm import lm_score
 from rivulet.llm.attention import BLOCK, CLASSES, CLUSTERS, MEMBERS, Attention, cut
 from rivulet.llm.lm_score import fit_language_model
+from rivulet.llm.pieces import PieceTable
 from rivulet.llm.queries import PIECE_MODEL
 
 
@@ -120,3 +121,54 @@ def test_scores_of_a_corpus_are_those_of_two_calls(spark):
         assert (r.n_tokens, r.n_known, r.train_tokens) == (w.n_tokens, w.n_known, w.train_tokens)
         assert r.base_score == pytest.approx(w.base_score)
         assert r.score == pytest.approx(w.score, rel=1e-3)
+
+
+ODD = [None, "", " ", "A  b\tC\r\n", "\x0b\x0ca\x1cb \x85", "\u3000 \u00a0", "x" * 50, "É a\x00 b", "b b b",
+       "\ufeff \u2581 a", " lead", "trail "]
+
+
+def test_words_of_texts_split_together(monkeypatch):
+    """As text by text; empty strings beside white space at the ends are no words."""
+    monkeypatch.setattr(lm_score, "BYTES", 20)
+    batch, words, numbers = pa.record_batch({"t": pa.array([*ODD * 3, "last"])}).slice(1), [], []
+    for part, texts in lm_score.text_blocks(iter([batch, batch.slice(0, 0)]), "t"):
+        assert len(part) == len(texts)
+        assert len(texts) == 1 or sum(len(t.encode()) for t in texts.to_pylist()) <= 20
+        w, n = lm_score.split_words(texts)
+        words += w.to_pylist()
+        numbers += n.tolist()
+    want = [lm_score.ascii_words(t or "") for t in batch["t"].to_pylist()]
+    assert words == [w for part in want for w in part] and numbers == [len(w) for w in want]
+
+
+def test_only_other_words_that_differ_meet_the_table(monkeypatch):
+    """Frequent words are cut into pieces once for all tasks, others once a
+    block: a word that repeats costs no look-up of its own."""
+    frequent = lm_score.FrequentWords(PIECE_MODEL, {"a": 9, "b": 99, "gone": 4})
+    others, met = PieceTable(PIECE_MODEL, limit=2), []
+    rows = others.rows
+    monkeypatch.setattr(others, "rows", lambda words: met.append(list(words)) or rows(words))
+    pieces = sentencepiece.SentencePieceProcessor(model_file=PIECE_MODEL)
+    for texts in (ODD * 4, ["a b"], [None], ODD[3:6] * 2):
+        met.clear()
+        ids, lengths, words, log, n_words = lm_score._pieces(
+            frequent, others, pa.array([t or "" for t in texts], pa.string()))
+        parts = [lm_score.ascii_words(t or "") for t in texts]
+        want = [[p for w in part for p in pieces.encode(w)] + [pieces.eos_id()] for part in parts]
+        assert ids.tolist() == [i for w in want for i in w]
+        assert lengths.tolist() == [len(w) for w in want]
+        flat = [w for part in parts for w in part]
+        assert words.to_pylist() == flat and n_words.tolist() == [len(p) for p in parts]
+        assert met == [list(dict.fromkeys(w for w in flat if w not in ("a", "b")))]
+        assert np.allclose(log[words.indices.to_numpy()], [
+            {"a": 1, "b": 2}.get(w, math.nan) for w in flat], equal_nan=True)
+
+
+def test_words_are_counted_whole_when_counters_fill(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "WORDS_PER_COUNTER", 2)
+    rng = np.random.default_rng(4)
+    texts = [" ".join(rng.choice(list("ABcdefgh"), 30)) for _ in range(40)] + [None, " "]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(2)
+    got = {r.word: r.n for r in lm_score.word_counts(df, "text").collect()}
+    want = [w for t in texts for w in lm_score.ascii_words(t or "")]
+    assert got == {w: want.count(w) for w in set(want)}
